@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import bpe_codec, sharding, token_counts
 from .common import documents
 
 
@@ -14,9 +14,25 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave_shards(documents(spark, sf_dir))
 
 
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), _vocabulary())
+
+
+def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.encode_documents(documents(spark, sf_dir), _vocabulary())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op3_token_counts": op3_token_counts,
+        "op9_bpe_codec": op9_bpe_codec,
     }
 
 
