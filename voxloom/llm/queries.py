@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, sharding, token_counts
+from . import bpe_codec, sharding, syncmers, token_counts
 from .common import documents
 
 
@@ -24,6 +24,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), _vocabulary())
 
 
+def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_edits(documents(spark, sf_dir))
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(documents(spark, sf_dir), _vocabulary())
 
@@ -32,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op3_token_counts": op3_token_counts,
+        "op5_syncmers": op5_syncmers,
         "op9_bpe_codec": op9_bpe_codec,
     }
 
