@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, sharding, syncmers, token_counts
-from .common import documents
+from . import bpe_codec, decontamination, sharding, syncmers, token_counts
+from .common import documents, table
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,10 @@ def _vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), _vocabulary())
 
@@ -35,6 +39,7 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_decontamination": op2_decontamination,
         "op3_token_counts": op3_token_counts,
         "op5_syncmers": op5_syncmers,
         "op9_bpe_codec": op9_bpe_codec,
