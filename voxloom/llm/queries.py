@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_codec, decontamination, sharding, syncmers, token_counts
+from . import bpe_codec, decontamination, licenses, quality, sharding, syncmers, token_counts, toxicity
 from .common import documents, table
+from .labelled import remainder
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,10 +30,26 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), _vocabulary())
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_edits(documents(spark, sf_dir))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), allowed=remainder("doc_id", 3) != 1)
+    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return quality.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(documents(spark, sf_dir))
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(documents(spark, sf_dir), _vocabulary())
 
@@ -41,7 +59,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sharding": op1_sharding,
         "op2_decontamination": op2_decontamination,
         "op3_token_counts": op3_token_counts,
+        "op4_toxicity": op4_toxicity,
         "op5_syncmers": op5_syncmers,
+        "op7_quality": op7_quality,
+        "op8_licenses": op8_licenses,
         "op9_bpe_codec": op9_bpe_codec,
     }
 
