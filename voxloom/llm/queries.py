@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontamination, licenses, quality, sharding, syncmers, token_counts, toxicity
+from . import bpe_codec, decontamination, licenses, near_dup, quality, sharding, syncmers, token_counts, toxicity
 from .common import documents, table
 from .labelled import remainder
 
@@ -39,6 +39,10 @@ def op5_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_edits(documents(spark, sf_dir))
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.group_documents(documents(spark, sf_dir))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality.fit(docs, table(spark, sf_dir, "labels"), allowed=remainder("doc_id", 3) != 1)
@@ -61,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_counts": op3_token_counts,
         "op4_toxicity": op4_toxicity,
         "op5_syncmers": op5_syncmers,
+        "op6_near_dup": op6_near_dup,
         "op7_quality": op7_quality,
         "op8_licenses": op8_licenses,
         "op9_bpe_codec": op9_bpe_codec,
