@@ -2,13 +2,13 @@
 
 Severity has the ordered grades 0 (none) to 3.  One weight for each word is shared by all
 thresholds: ``P(grade >= j) = sigmoid(w . x - t_j)`` with ``t_1 < t_2 < t_3`` and x the presence of
-words.  The expected severity is the sum of the three probabilities, and a document is toxic
+words and the number of distinct words with a given beginning.  The expected severity is the sum of the three probabilities, and a document is toxic
 where grade 1 or more is likelier than not.
 
 The labels hold one bit, so grades are derived: a document labelled clean has grade 0, one
-labelled toxic grade 1, 2 or 3 as it holds at most one, at most three or more of the words that
+labelled toxic grade 1, 2 or 3 as it holds at most one, at most three or more of the features that
 mark toxic documents in the sample.  The fit takes at most ``MAX_SAMPLE`` labelled documents and the
-``MAX_WORDS`` words most associated with the label, both bounded by parameter; scoring reads every
+``MAX_WORDS`` features most associated with the label, both bounded by parameter; scoring reads every
 word of every document.
 
 Defined cases: a null text is empty; without labelled documents of both kinds the model gives every
@@ -34,16 +34,25 @@ MAX_WORDS = 4_000
 GRADES = 3
 #: Least documents of the sample that a word must be in.
 LEAST_DOCS = 3
-#: Distinct words of a task that are remembered as unweighted.
+#: Distinct words whose weights a task remembers before it starts anew.
 MEMO = 300_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+#: Lengths of the word beginnings that are features besides the words, for inflected and compound forms.
+STEMS = (5, 7)
+
+
 def words(text: str) -> set[str]:
     return set(_WORD.findall(text.lower()))
 
 
+def word_features(word: str) -> list[str]:
+    """The word and its beginnings; a document has each as often as distinct words have it."""
+    return [word, *(f"{word[:n]}-" for n in STEMS if len(word) > n)]
+
+
 @dataclass
 class OrdinalModel:
     weights: dict[str, float] = field(default_factory=dict)
@@ -96,7 +105,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for t, y in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
-                found = sorted(words(t))
+                found = sorted({f for w in words(t) for f in word_features(w)})
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([y] * len(found), pa.int32())], ["word", "label"])
 
     sizes = dict(sample.groupBy((F.col("label") > 0).cast("int").alias("toxic")).count().collect())
@@ -116,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = shipped.value
         for b in batches:
-            rows = [sorted(have[w] for w in words(t) if w in have) for t in b.column("text").to_pylist()]
+            rows = [sorted(have[f] for w in words(t) for f in word_features(w) if f in have) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(rows, pa.list_(pa.int32()))], ["label", "features"])
 
     fitted = sample.mapInArrow(featurize, "label int, features array<int>").collect()  # bounded by the sample
@@ -128,17 +137,20 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 
 class _Weights(dict):
-    """Weights by word; words without one are remembered as 0, so many at most."""
+    """Total weight of each word met, with its beginnings; so many are remembered at most."""
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self.weights = weights
 
     def __missing__(self, word: str) -> float:
-        if len(self) > MEMO + MAX_WORDS:
-            for w in [w for w, v in self.items() if v == 0.0]:
-                del self[w]
-        self[word] = 0.0
-        return 0.0
+        if len(self) >= MEMO:
+            self.clear()
+        w = self[word] = sum(self.weights.get(f, 0.0) for f in word_features(word))
+        return w
 
 
-def _etas(model: OrdinalModel, memo: _Weights, texts: list) -> np.ndarray:
+def _etas(memo: _Weights, texts: list) -> np.ndarray:
     return np.array([sum(map(memo.__getitem__, words(t))) if t else 0.0 for t in texts], dtype=float)
 
 
@@ -153,7 +165,7 @@ def score(docs: DataFrame, model: OrdinalModel, key: str = "doc_id", text: str =
         m = shipped.value
         memo = _Weights(m.weights)
         for b in batches:
-            p = m.probabilities(_etas(m, memo, b.column("text").to_pylist()))
+            p = m.probabilities(_etas(memo, b.column("text").to_pylist()))
             grade = (p >= 0.5).sum(axis=1)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *map(pa.array, p.T), pa.array(p.sum(axis=1)), pa.array(grade.astype("i4")), pa.array(grade > 0)], names)
 
@@ -168,7 +180,7 @@ def drop_toxic(docs: DataFrame, model: OrdinalModel, text: str = "text") -> Data
         m = shipped.value
         memo = _Weights(m.weights)
         for b in batches:
-            p = m.probabilities(_etas(m, memo, b.column(at).to_pylist()))
+            p = m.probabilities(_etas(memo, b.column(at).to_pylist()))
             yield b.filter(pa.array(p[:, 0] < 0.5, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
