@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontamination, licenses, near_dup, quality, sharding, syncmers, token_counts, toxicity
+from . import bpe_codec, decontamination, language_model, licenses, near_dup, quality, sharding, syncmers, token_counts, toxicity
 from .common import documents, table
 from .labelled import remainder
 
@@ -58,6 +58,10 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encode_documents(documents(spark, sf_dir), _vocabulary())
 
 
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(documents(spark, sf_dir), remainder("doc_id", 7) == 2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -69,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality": op7_quality,
         "op8_licenses": op8_licenses,
         "op9_bpe_codec": op9_bpe_codec,
+        "op10_language_model": op10_language_model,
     }
 
 
