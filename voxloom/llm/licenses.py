@@ -2,8 +2,8 @@
 
 Templates are cut into half-overlapping windows.  Each window's character k-grams are winnowed:
 of every ``SPREAD`` k-grams in a row the one with the least hash goes into the inverted index, so
-any shared stretch of ``K + SPREAD - 1`` characters meets the index.  Where a document's k-gram is
-found there, the window is aligned in a band around that diagonal.  Windows within their edit
+any shared stretch of ``K + 2 * SPREAD - 1`` characters meets the index twice on its diagonal.  Where
+a document does, the window is aligned in a band around that diagonal.  Windows within their edit
 budget add up to the covered share of the template; templates covered to ``COVERAGE`` are reported.
 
 Templates are a parameter; their index is broadcast, and ``MAX_TEMPLATE_CHARS`` bounds it.
@@ -105,7 +105,15 @@ class LicenseScanner:
         place, window, offset = self.index.expand(at, k)
         breadth = self.edits[window] + 1
         band = (place - offset) // breadth
-        pairs = np.unique(np.stack([window, band]), axis=1)
+        low = int(band.min())
+        breadths = int(band.max()) - low + 1
+        # distinct fingerprints of a window in a band; a lone one is a chance
+        once = np.unique((window * breadths + band - low) * WINDOW + offset) // WINDOW
+        group, n = np.unique(once, return_counts=True)
+        group = group[n > 1]
+        if not len(group):
+            return []
+        pairs = np.stack([group // breadths, group % breadths + low])
         hits = []
         wide = 3 * int(self.edits.max()) + 2
         for part in range(0, pairs.shape[1], 512):  # many candidates are aligned in turns, to bound memory
