@@ -35,9 +35,10 @@ def resolve_paths(rows: DataFrame, listing: DataFrame, roots: list[str], raw: st
     return numbered.join(best, "row_id", "left").drop("row_id")
 
 
-def load_rows(rows: DataFrame, keep_silence: bool = False, path: str = "resolved") -> DataFrame:
-    """Manifest rows with ``outcome`` and the three columns of the training table."""
+def load_rows(rows: DataFrame, keep_silence: bool = False, path: str = "resolved", also: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Manifest rows with ``outcome`` and the three columns of the training table (and those of ``also``)."""
     return rows.select(
+        *also,
         row_outcome(F.col("speaker"), F.col("text"), F.col(path), keep_silence).alias("outcome"),
         F.col(path).alias("audio"),
         strip(F.coalesce("text", F.lit(""))).alias("text"),

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.audio import encode_wav
+
 
 def write_jsonl(df: DataFrame, path: str) -> int:
     """JSON lines with explicit nulls; the count is observed while writing."""
@@ -43,3 +49,13 @@ def write_training_table(rows: DataFrame, path: str) -> None:
 def for_audio_training(manifest: DataFrame) -> DataFrame:
     """The manifest with the column name that audio loaders expect."""
     return manifest.withColumnRenamed("audio_path", "audio")
+
+
+def clip_table(rendered: DataFrame, rate: int) -> DataFrame:
+    """(path, bytes): every rendered clip as a 16-bit recording, for a table or for files."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"path": b["audio_path"], "bytes": [encode_wav(np.frombuffer(s, "<i2") / 32767, rate) for s in b["samples"]]})
+
+    return rendered.select("audio_path", "samples").mapInPandas(run, "path string, bytes binary")
