@@ -1,0 +1,64 @@
+"""Every registered speech query against its SQL, and every class of the classifying ones in use."""
+
+import os
+
+import duckdb
+import pandas as pd
+import pytest
+
+from voxloom.plans import oracles, queries
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+TABLES = "conversations documents embeddings events pages benchmark labels".split()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{SF}/{t}.parquet"
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{p}{'/*.parquet' if os.path.isdir(p) else ''}'")
+    return con
+
+
+def plain(v):
+    if v is None or v is pd.NaT or v is pd.NA or isinstance(v, float) and v != v:
+        return None
+    if isinstance(v, float) or hasattr(v, "dtype") and v.dtype.kind == "f":
+        return int(v) if v == int(v) else float(v)
+    return int(v) if hasattr(v, "dtype") and v.dtype.kind in "iu" else v
+
+
+def rows(pdf):
+    cols = sorted(pdf.columns)
+    return cols, sorted(str(tuple(plain(v) for v in r)) for r in pdf[cols].astype(object).itertuples(index=False))
+
+
+@pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
+def test_query_equals_sql(spark, duck, name):
+    got = rows(queries.queries()[name](spark, SF).toPandas())
+    assert got == rows(duck.sql(oracles.oracle_sql()[name]).df())
+    assert got[1]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_every_class_occurs(spark):
+    sf = "/root/testdata/sf0.01"
+    q = queries.queries()
+    assert q["q23_reject_counts"](spark, sf).count() == 9
+    assert q["q25_tiers"](spark, sf).count() == 3
+    assert q["q31_length_buckets"](spark, sf).count() == 5
+    assert q["q32_duration_bands"](spark, sf).count() == 5
+    assert q["q38_load_rows"](spark, sf).count() == 4
+    assert q["q37_pair_files"](spark, sf).select("skip_reason").distinct().count() == 3
+    assert {r.split for r in q["q28_split_seeded"](spark, sf).select("split").distinct().collect()} == {"train", "test"}
+
+
+def test_agreement_query(spark):
+    got = queries.queries()["q40_agreement"](spark, SF).toPandas()
+    assert got.score.dropna().between(0, 1).all() and (got.n_missed >= 0).all()
+
+
+def test_registry_covers_oracles():
+    assert set(oracles.oracle_sql()) <= set(queries.queries())

@@ -84,7 +84,8 @@ def listen(corpus: Corpus, cfg: Settings, plugins: Plugins, decoder: Decoder = a
 
 
 def build_chunks(segments: DataFrame, heard: DataFrame, cfg: Settings) -> DataFrame:
-    """Chunks of all calls, numbered within their call in order of speaker, group and piece."""
+    """Chunks of the heard calls, numbered within their call in order of speaker, group and piece."""
+    segments = segments.join(heard.select("call_id"), "call_id", "left_semi")
     mapping = heard.select("call_id", F.inline("mapping"))
     regions = heard.select("call_id", F.posexplode("regions").alias("channel", "regions"))
     grouped = turns.assign_groups(segments, cfg)
