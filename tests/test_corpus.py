@@ -163,7 +163,9 @@ def test_aligned_path(spark, folder, tmp_path):
 
         return words
 
-    stats = aligned_path.run(spark, folder, str(tmp_path / "out"), Plugins(word_aligner=align), CFG).first()
+    stats = aligned_path.run(spark, folder, str(tmp_path / "out"), Plugins(word_aligner=align), CFG, keep_prepared=True).first()
+    prep = spark.read.parquet(f"{tmp_path}/out/prepared").collect()
+    assert len(prep) == 8 and all(audio.decode_wav(bytes(r.bytes))[0].shape == (1, 14 * SR) and r.text_path == r.path[:-3] + "txt" and r.text for r in prep)
     assert stats.chunks_kept == stats.train + stats.test == 8 and stats.dropped_short == 0
     lines = sorted(r.value for r in spark.read.text(f"{tmp_path}/out/clips.tsv").collect())
     assert len(lines) == 8 and lines[0].split("\t")[0].endswith("call_0_Customer_000.wav") and "accept(0.9" in lines[0]
@@ -173,8 +175,10 @@ def test_aligned_path(spark, folder, tmp_path):
         aligned_path.run(spark, folder, "x", Plugins())
 
 
-def test_diagnose(spark, folder):
-    t = diagnose.run(spark, f"{folder}/c1")
+def test_diagnose(spark, folder, tmp_path):
+    t = diagnose.run(spark, f"{folder}/c1", dump_to=str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/clips").count() == 2
+    assert {r.value.split("\t")[0] for r in spark.read.text(f"{tmp_path}/_text.tsv").collect()} == {"chunk_00_Expert.wav", "chunk_02_Customer.wav"}
     assert {(r.speaker, r.channel) for r in t["mapping"].collect()} == {("Expert", 0), ("Customer", 1)}
     assert all(r.share > 0.99 for r in t["energy"].collect() if (r.speaker, r.channel) in {("Expert", 0), ("Customer", 1)})
     assert [r.status for r in t["chunks"].orderBy("chunk_idx").collect()] == ["KEEP", "DROP[excess_overlap]", "KEEP", "DROP[not_persian]"]
@@ -214,3 +218,13 @@ def test_streams_equal_batch(spark, tmp_path):
     s = stream_turns.gap_sessions(timed, "3 seconds", "1 second").writeStream.format("memory").queryName("sessions").outputMode("append").trigger(availableNow=True).start()
     s.awaitTermination(120)
     assert spark.table("sessions").agg(F.sum("n_turns")).first()[0] <= 60
+
+
+def test_command_line(spark, folder, tmp_path, capsys):
+    from voxloom.__main__ import main
+
+    main(["build", "--corpus", folder, "--out", str(tmp_path / "o"), "--no-align", "--no-second-asr"])
+    main(["stats", f"{tmp_path}/o/train.jsonl"])
+    main(["diagnose", "--dir", f"{folder}/c0"])
+    said = capsys.readouterr().out
+    assert "excess_overlap" in said and "review" in said and "=== mapping ===" in said

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import replace
+from importlib import import_module
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .functions.gates import duration_band
 from .operators import reports
-from .plans import diagnose, training_table, turn_path
+from .plans import aligned_path, diagnose, training_table, turn_path
+from .plans.plugins import Plugins
 from .settings import load_settings
 
 
@@ -21,6 +23,12 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("--corpus", "--out"):
         build.add_argument(name, required=True)
     build.add_argument("--gold")
+    al = sub.add_parser("align", help="corpus folder to manifests by word alignment")
+    for name in ("--corpus", "--out", "--aligner"):
+        al.add_argument(name, required=True, help="module:function that makes the word aligner" if name == "--aligner" else None)
+    al.add_argument("--gold")
+    al.add_argument("--limit", type=int, default=0)
+    al.add_argument("--keep-prep", action="store_true")
     build.add_argument("--no-align", action="store_true")
     build.add_argument("--no-second-asr", action="store_true")
     tab = sub.add_parser("table", help="manifests to a training table")
@@ -33,7 +41,8 @@ def main(argv: list[str] | None = None) -> None:
     stats.add_argument("manifest")
     diag = sub.add_parser("diagnose", help="every intermediate of a call")
     diag.add_argument("--dir", required=True)
-    for x in (build, diag):
+    diag.add_argument("--dump")
+    for x in (build, al, diag):
         x.add_argument("--config")
     a = p.parse_args(argv)
 
@@ -42,6 +51,10 @@ def main(argv: list[str] | None = None) -> None:
         cfg = load_settings(a.config)
         cfg = replace(cfg, align=replace(cfg.align, enabled=cfg.align.enabled and not a.no_align), second_asr=replace(cfg.second_asr, enabled=cfg.second_asr.enabled and not a.no_second_asr))
         turn_path.run(spark, a.corpus, a.out, cfg, gold=a.gold).show(truncate=False)
+    elif a.what == "align":
+        module, _, name = a.aligner.partition(":")
+        plugins = Plugins(word_aligner=getattr(import_module(module), name))
+        aligned_path.run(spark, a.corpus, a.out, plugins, load_settings(a.config), a.gold, a.limit, a.keep_prep).show(truncate=False)
     elif a.what == "table":
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(a.clips)
         clips = files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.col("content").alias("bytes"))
@@ -55,7 +68,7 @@ def main(argv: list[str] | None = None) -> None:
         for t in (reports.totals(rows), reports.shares(reports.counts(rows, duration_band(F.col("duration")), "band")), reports.counts(rows, F.col("tier"), "tier"), reports.counts(rows, F.col("source"), "source"), reports.confidence_histogram(rows).orderBy("bucket")):
             t.show(truncate=False)
     else:
-        for name, t in diagnose.run(spark, a.dir, load_settings(a.config)).items():
+        for name, t in diagnose.run(spark, a.dir, load_settings(a.config), dump_to=a.dump).items():
             print(f"=== {name} ===")
             t.show(100, truncate=False)
 

@@ -22,6 +22,17 @@ def speaker_texts(corpus: turn_path.Corpus, heard: DataFrame) -> DataFrame:
     return rows.select("call_id", "speaker", joined.alias("ref_text")).join(mapping, ["call_id", "speaker"], "left").withColumn("channel", F.coalesce("channel", F.lit(0)))
 
 
+def prepared(texts: DataFrame, corpus: turn_path.Corpus, cfg: Settings, folder: str, decoder: Decoder = audio.decode_wav) -> DataFrame:
+    """(path, bytes, text_path, text): each speaker's channel as a recording beside the reference text."""
+    channels = decode(corpus.recordings.select(F.col("wav_path").alias("path"), "content"), cfg.audio.target_sr, decoder).withColumnRenamed("path", "wav_path")
+    rows = texts.join(corpus.calls.select("call_id", "wav_path"), "call_id").join(channels.drop("error"), ["wav_path", "channel"])
+    stem = F.format_string(f"{folder}/%s_%s", turn_path.text.safe_id(F.col("call_id")), F.col("speaker"))
+    rows = rows.select(stem.alias("stem"), "ref_text", "samples")
+    clips = writers.clip_table(rows.select(F.concat("stem", F.lit(".wav")).alias("audio_path"), "samples"), cfg.audio.target_sr)
+    texts_out = rows.select(F.concat("stem", F.lit(".wav")).alias("path"), F.concat("stem", F.lit(".txt")).alias("text_path"), F.col("ref_text").alias("text"))
+    return clips.join(texts_out, "path")
+
+
 def align(texts: DataFrame, corpus: turn_path.Corpus, cfg: Settings, plugins: Plugins, decoder: Decoder = audio.decode_wav) -> DataFrame:
     """(call_id, speaker, channel, words, error) from the word aligner, without low words at either end."""
     channels = decode(corpus.recordings.select(F.col("wav_path").alias("path"), "content"), cfg.audio.target_sr, decoder).withColumnRenamed("path", "wav_path")
@@ -39,13 +50,16 @@ def build_chunks(aligned: DataFrame, cfg: Settings) -> DataFrame:
     return chunks.withColumns({"speaker_chunk": F.col("chunk_idx"), **empty}).withColumn("chunk_idx", place.cast("int"))
 
 
-def run(spark: SparkSession, root: str, out: str, plugins: Plugins, cfg: Settings = Settings(), gold: str | None = None, limit: int = 0, decoder: Decoder = audio.decode_wav) -> DataFrame:  # noqa: B008
+def run(spark: SparkSession, root: str, out: str, plugins: Plugins, cfg: Settings = Settings(), gold: str | None = None, limit: int = 0, keep_prepared: bool = False, decoder: Decoder = audio.decode_wav) -> DataFrame:  # noqa: B008
     """The whole path; returns the one-row statistics.  A call whose alignment fails is skipped with its reason."""
     if plugins.word_aligner is None:
         raise ValueError("the aligned path needs a word aligner")
     corpus = turn_path.read_corpus(spark, root, limit)
     heard = turn_path.listen(corpus, cfg, plugins, decoder)
-    align(speaker_texts(corpus, heard.where("error is null")), corpus, cfg, plugins, decoder).write.mode("overwrite").parquet(f"{out}/words")
+    texts = speaker_texts(corpus, heard.where("error is null"))
+    if keep_prepared:
+        prepared(texts, corpus, cfg, f"{out}/prep", decoder).write.mode("overwrite").parquet(f"{out}/prepared")
+    align(texts, corpus, cfg, plugins, decoder).write.mode("overwrite").parquet(f"{out}/words")
     aligned = spark.read.parquet(f"{out}/words")
     failed = aligned.where("error is not null").groupBy("call_id").agg(F.min("error").alias("reason"))
     aligned = aligned.join(failed.select("call_id"), "call_id", "left_anti")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import audio, text
 from ..operators import reports
 from ..settings import Settings
+from ..sources import writers
 from . import turn_path
 from .plugins import Plugins
 
@@ -57,12 +58,22 @@ def chunk_report(judged: DataFrame) -> DataFrame:
     )
 
 
-def run(spark: SparkSession, root: str, cfg: Settings = Settings(), plugins: Plugins = Plugins()) -> dict[str, DataFrame]:  # noqa: B008
-    """Report tables of the calls below a folder."""
+def dump(judged: DataFrame, cfg: Settings, out: str) -> None:
+    """Kept clips as a table of recordings, and their texts as lines, to check by ear."""
+    name = F.format_string("chunk_%02d_%s.wav", F.col("chunk_idx"), F.col("speaker"))
+    kept = judged.where("reject_reason is null").withColumn("audio_path", name)
+    writers.clip_table(kept, cfg.audio.target_sr).write.mode("overwrite").parquet(f"{out}/clips")
+    writers.write_lines(kept, F.concat_ws("\t", "audio_path", "text"), f"{out}/_text.tsv")
+
+
+def run(spark: SparkSession, root: str, cfg: Settings = Settings(), plugins: Plugins = Plugins(), dump_to: str | None = None) -> dict[str, DataFrame]:  # noqa: B008
+    """Report tables of the calls below a folder; clips and texts go to ``dump_to``."""
     corpus = turn_path.read_corpus(spark, root)
     heard = turn_path.listen(corpus, cfg, plugins)
     chunks = turn_path.build_chunks(corpus.segments.where("not bad_call"), heard.where("error is null"), cfg)
     judged = turn_path.judge(turn_path.render(chunks, corpus, cfg, plugins), corpus, cfg)
+    if dump_to:
+        dump(judged, cfg, dump_to)
     return {
         "turns": reports.turn_stats(corpus.segments, cfg.chunk.min_s),
         "channels": channel_report(corpus, cfg),
