@@ -14,7 +14,7 @@ def remainder(key: str, n: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, allowed: Column | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, label) of at most ``most`` labelled documents, drawn by a hash of the key.
+    """(doc_id, text, label) of the documents of at most ``most`` labelled keys, drawn by a hash of the key.
 
     The drawn keys number at most ``most``, which bounds what is broadcast; only their texts move.
     Rows without a key or a label are never drawn; of contradicting labels the highest counts.
@@ -25,4 +25,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, a
     drawn = drawn.groupBy(F.col(key).alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
     drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return materialize(texts.join(F.broadcast(drawn), "doc_id"), "sample").limit(2 * most)
+    return materialize(texts.join(F.broadcast(drawn), "doc_id"), "sample")
