@@ -31,7 +31,7 @@ from .passages import BLOCK, SPAN, GramIndex, Window, cut_windows, fold, short_h
 
 Q = 8
 WINDOW = 96
-RATE = 0.08
+RATE = 0.1
 
 
 class Scanner:
