@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import gates, scoring, text
 from voxloom.operators import manifest, reports, signal
+from voxloom.operators.ranking import global_rank
 from voxloom.settings import Settings, load_settings, overlay
 
 CFG = Settings()
@@ -133,6 +134,15 @@ def test_overlap_cap(spark):
     assert manifest.cap_overlap(corpus(spark, 5, 1), CFG, ["chunk_idx"]).count() == 4
 
 
+def test_global_rank(spark):
+    rows = [(i * 7919 % 1000, i % 3) for i in range(1000)] + [(5, None), (None, 1)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(7)
+    got = global_rank(df, [F.col("b").desc(), F.col("a").asc()]).collect()
+    want = sorted(rows, key=lambda r: (-(-1 if r[1] is None else r[1]), -1 if r[0] is None else r[0]))
+    assert [(r.a, r.b) for r in sorted(got, key=lambda r: r["rank"])] == want and sorted(r["rank"] for r in got) == list(range(1002))
+    assert global_rank(df.limit(0), [F.col("a")]).collect() == []
+
+
 @pytest.mark.parametrize("n,want", [(100, 5), (20, 1), (10, 1), (1, 1)])
 def test_split_sizes(spark, n, want):
     df = corpus(spark, n, 0)

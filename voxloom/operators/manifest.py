@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.gates import effective_duration
 from ..settings import Settings
+from .ranking import global_rank
 
 
 def cap_overlap(chunks: DataFrame, cfg: Settings, order: list[str]) -> DataFrame:
     """Clean chunks, and of those with overlap the most confident up to a share of all (``order`` breaks ties).
 
-    The k best come from a distributed sort with a limit, so that no task sees all of them; the count
-    is one pass before.
+    The cap grows with the corpus, so the k best come from ranks over key ranges rather than from a
+    sort with a limit, which would pass them through the driver.
     """
     clean = chunks.where(~F.col("has_overlap"))
     if not cfg.overlap.keep:
@@ -24,8 +25,9 @@ def cap_overlap(chunks: DataFrame, cfg: Settings, order: list[str]) -> DataFrame
     cap = int(cfg.overlap.max_fraction_of_dataset * total)
     if crossed <= cap:
         return chunks
-    best = chunks.where("has_overlap").orderBy(F.coalesce("confidence", F.lit(0.0)).desc(), *order)
-    return clean.unionByName(best.limit(cap))
+    keys = [F.coalesce("confidence", F.lit(0.0)).desc(), *(F.col(c).asc() for c in order)]
+    best = global_rank(chunks.where("has_overlap"), keys, "overlap_rank")
+    return clean.unionByName(best.where(F.col("overlap_rank") < cap).drop("overlap_rank"))
 
 
 def n_test(n_calls: int, cfg: Settings) -> int:
@@ -36,7 +38,8 @@ def test_calls_by_hash(chunks: DataFrame, cfg: Settings, call: str = "call_id")
     """The test calls: first in order of a seeded digest."""
     calls = chunks.select(call).distinct()
     key = F.md5(F.concat(F.col(call).cast("string"), F.lit(f":{cfg.split.seed}")))
-    return calls.orderBy(key, call).limit(n_test(calls.count(), cfg))
+    ranked = global_rank(calls, [key.asc(), F.col(call).asc()], "call_rank")
+    return ranked.where(F.col("call_rank") < n_test(calls.count(), cfg)).drop("call_rank")
 
 
 #: Most calls whose ids may come to the driver for the seeded shuffle.

@@ -18,8 +18,9 @@ EVENTS = """seg AS (
   FROM events)"""
 
 REGIONS = f"""reg AS (
-  SELECT call_id, speaker, row_number() OVER (PARTITION BY call_id, speaker ORDER BY "start", seg_idx) - 1 AS r_idx, "start" AS s, "end" + {H} / 2 AS e
-  FROM seg WHERE seg_idx % 3 <> 0)"""
+  SELECT call_id, speaker, row_number() OVER (PARTITION BY call_id, speaker ORDER BY "start", seg_idx) - 1 AS r_idx,
+         "start" + CASE WHEN "end" - "start" < 20000000 THEN {H} / 4 ELSE 0 END AS s, "end" + {H} / 2 AS e
+  FROM seg)"""
 
 CLUSTERS = f"""marked AS (
   SELECT *, CASE WHEN s - lag(e) OVER (PARTITION BY call_id, speaker ORDER BY r_idx) >= 5 * {H} THEN 1 ELSE 0 END AS opens FROM reg),
@@ -216,6 +217,11 @@ top AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY energy DESC,
 first AS (SELECT call_id, speaker, channel FROM top WHERE place = 1)
 SELECT * FROM first UNION ALL
 SELECT DISTINCT e.call_id, e.speaker, 1 - first.channel FROM e JOIN first ON e.call_id = first.call_id AND e.speaker <> first.speaker""",
+    "q19_turns_with_channel": f"""WITH {TALK}, {SIGNALS},
+e AS (SELECT (vec_id // 4)::VARCHAR AS call_id, CASE WHEN vec_id % 4 < 2 THEN 'assistant' ELSE 'user' END AS speaker, (vec_id % 2)::INT AS channel, sum(energy) AS energy FROM frames WHERE frame_idx < 2 GROUP BY ALL),
+first AS (SELECT call_id, speaker, channel FROM e QUALIFY row_number() OVER (PARTITION BY call_id ORDER BY energy DESC, speaker, channel) = 1),
+map AS (SELECT * FROM first UNION ALL SELECT DISTINCT e.call_id, e.speaker, 1 - first.channel FROM e JOIN first ON e.call_id = first.call_id AND e.speaker <> first.speaker)
+SELECT call_id, speaker, seg_idx, coalesce(channel, 0) AS channel FROM seg LEFT JOIN map USING (call_id, speaker)""",
     "q20_normalize": rf"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
   translate(text, 'يىكة' || chr(8204) || '٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹', 'ییکه 01234567890123456789'), '[\x{{064b}}-\x{{0652}}\x{{0670}}]', '', 'g'),
   '[^\p{{L}}\p{{N}}_\x{{0600}}-\x{{06FF}}\s]', ' ', 'g'), '{BLANK}+', ' ', 'g'), '^ | $', '', 'g') AS normalized FROM documents""",

@@ -336,6 +336,7 @@ def q36_json_extract(spark, sf_dir):
 
 @query
 def q37_pair_files(spark, sf_dir):
+    """Every document id makes paths; which of them exist is part of the made-up folders, so that all cases of pairing occur."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("i"))
     path = lambda *parts: F.concat(F.lit("/c/"), F.expr("i div 4").cast("string"), *parts)
     js = d.select(path(F.lit("/"), F.when(F.expr("i div 4") % 3 == 0, F.col("i").cast("string")).otherwise("report"), F.lit(".json")).alias("path")).distinct()
@@ -354,6 +355,7 @@ def _manifest_rows(spark, sf_dir):
 
 
 def _listing(spark, sf_dir):
+    """Which made-up recordings exist below which root, so that every rank of candidates occurs."""
     c = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("i")).distinct()
     roots = F.explode(F.array(F.lit(""), F.lit("/work/"), F.lit("/data/build/")))
     return c.select("i", roots.alias("root")).where("(root = '' and i % 5 = 0) or (root = '/work/' and i % 3 = 0) or (root = '/data/build/' and i % 2 = 0)").select(F.concat("root", F.lit("clips/"), "i", F.lit(".wav")).alias("path"))
