@@ -1,7 +1,7 @@
 """Quality classification by a linear-chain conditional random field over lines.
 
 Every line of a document is good or bad.  A line's evidence is its own shape (letter case, symbols,
-digits, separators, repeated words, lengths) and that of its two neighbours; transition weights
+digits, separators, repeated and doubled words, lengths) and that of its two neighbours; transition weights
 tie the labels of neighbouring lines.  Forward-backward gives each line's probability of being
 good, and the document's score is their mean weighted by length.
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ _CUTS = {
     "high": (0.02, 0.1),
     "word": (3.0, 5.0, 7.0, 9.0),
     "distinct": (0.3, 0.6, 0.8, 0.95),
+    "repeat": (0.03, 0.15, 0.4),
     "size": (2.0, 3.5, 5.0, 6.5),
 }
 N_STEPS = sum(map(len, _CUTS.values()))
@@ -77,6 +79,7 @@ def measure(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     split = [line.split() for line in lines]
     n_words = np.array([len(w) for w in split], dtype=float)
     n_distinct = np.array([len(set(w)) for w in split], dtype=float)
+    share["repeat"] = np.array([sum(map(eq, w, w[1:])) for w in split]) / np.maximum(n_words, 1)
     share["word"] = size / np.maximum(n_words, 1)
     share["distinct"] = np.where(n_words > 0, n_distinct / np.maximum(n_words, 1), 1.0)
     share["size"] = np.log1p(size)
