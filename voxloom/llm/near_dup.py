@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, small_parts
 from .components import components
 from .sketches import BANDS, SIZE, WordHashes, band_keys, digest, shingles, sketch
 
@@ -61,7 +61,7 @@ def sketch_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
-        for b in batches:
+        for b in small_parts(batches):
             n, nodes, bands, marks = [], [], [], []
             for t in b.column("text").to_pylist():
                 items = shingles(t, memo)
@@ -86,7 +86,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
-        for b in batches:
+        for b in small_parts(batches):
             nodes, items = [], []
             for node, t in zip(b.column("node").to_pylist(), b.column("text").to_pylist()):
                 found = shingles(t, memo)

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_parts
 from .labelled import labelled_sample
 
 MAX_SAMPLE = 4_000
@@ -188,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, key:
     sample = labelled_sample(docs, labels, "quality", most, allowed, key, text)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_parts(batches):
             for t, y in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
                 steps, _, n = measure([t])
                 packed = np.packbits(steps, axis=None).tobytes()
@@ -210,7 +211,7 @@ def score(docs: DataFrame, model: ChainModel, key: str = "doc_id", text: str = "
     kind = slim.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_parts(batches):
             s = document_scores(shipped.value, b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s), pa.array((s >= 0.5).astype("i4"))], ["doc_id", "score", "predicted"])
 
@@ -222,7 +223,7 @@ def drop_bad(docs: DataFrame, model: ChainModel, text: str = "text") -> DataFram
     at, shipped = docs.columns.index(text), docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_parts(batches):
             s = document_scores(shipped.value, [t or "" for t in b.column(at).to_pylist()])
             yield b.filter(pa.array(s >= 0.5, pa.bool_()))
 

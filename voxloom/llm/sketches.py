@@ -14,7 +14,7 @@ WORDS = 5
 BANDS, ROWS = 32, 6
 SIZE = BANDS * ROWS
 #: Distinct words whose hashes a task remembers before it starts anew.
-MEMO = 400_000
+MEMO = 150_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64) * _BASE)

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_parts
 from .labelled import labelled_sample
 
 MAX_SAMPLE = 20_000
@@ -35,7 +36,7 @@ GRADES = 3
 #: Least documents of the sample that a word must be in.
 LEAST_DOCS = 3
 #: Distinct words whose weights a task remembers before it starts anew.
-MEMO = 300_000
+MEMO = 100_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -103,7 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     sample = labelled_sample(docs, labels, "toxic", most, key=key, text=text)
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small_parts(batches):
             for t, y in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
                 found = sorted({f for w in words(t) for f in word_features(w)})
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([y] * len(found), pa.int32())], ["word", "label"])
@@ -124,7 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = shipped.value
-        for b in batches:
+        for b in small_parts(batches):
             rows = [sorted(have[f] for w in words(t) for f in word_features(w) if f in have) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(rows, pa.list_(pa.int32()))], ["label", "features"])
 
@@ -164,7 +165,7 @@ def score(docs: DataFrame, model: OrdinalModel, key: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
         memo = _Weights(m.weights)
-        for b in batches:
+        for b in small_parts(batches):
             p = m.probabilities(_etas(memo, b.column("text").to_pylist()))
             grade = (p >= 0.5).sum(axis=1)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *map(pa.array, p.T), pa.array(p.sum(axis=1)), pa.array(grade.astype("i4")), pa.array(grade > 0)], names)
@@ -179,7 +180,7 @@ def drop_toxic(docs: DataFrame, model: OrdinalModel, text: str = "text") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
         memo = _Weights(m.weights)
-        for b in batches:
+        for b in small_parts(batches):
             p = m.probabilities(_etas(memo, b.column(at).to_pylist()))
             yield b.filter(pa.array(p[:, 0] < 0.5, pa.bool_()))
 
