@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from voxloom.llm import decontamination as dc
 from voxloom.llm.alignment import banded
@@ -91,3 +92,20 @@ def test_bound_of_the_lemma():
     for w in dc.cut_windows(0, prose(60), dc.WINDOW, dc.RATE, dc.Q):
         assert w.least == len(w.cp) + 1 - dc.Q * (w.edits + 1) > 0
     assert np.array_equal(fold("A\tÉ\nİ"), [ord("a"), 32, ord("é"), 32, ord("İ")])
+
+
+def test_ids_of_other_types(spark):
+    rng = random.Random(4)
+    items = [prose(40, rng) for _ in range(2)]
+    texts = [*(prose(60, rng) for _ in range(5)), items[1], *(prose(60, rng) for _ in range(3)), items[0]]
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")  # the first batches of a task find nothing
+    try:
+        for kind in ("string", "int"):
+            bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string").withColumn("item_id", F.col("item_id").cast(kind))
+            docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").withColumn("doc_id", F.col("doc_id").cast(kind)).coalesce(1)
+            got = dc.find_leaks(docs, bench)
+            assert got.schema["item_id"].dataType.simpleString() == kind
+            assert sorted((int(r.doc_id), int(r.item_id)) for r in got.collect()) == [(5, 1), (9, 0)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .alignment import banded
 from .passages import BLOCK, SPAN, GramIndex, Window, cut_windows, fold, short_hashes
@@ -126,6 +127,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     spark = docs.sparkSession
     kinds = {k: d.schema[k].dataType.simpleString() for d, k in ((docs, key), (benchmark, item))}
     schema = f"doc_id {kinds[key]}, item_id {kinds[item]}, n_windows int, edits int, leak_start long, leak_end long"
+    item_type = to_arrow_type(benchmark.schema[item].dataType)
     slim = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
 
     def scan(windows: list[Window]) -> DataFrame:
@@ -143,7 +145,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
                 cols = list(zip(*rows)) or [()] * 6
                 types = [pa.int32(), pa.int32(), pa.int64(), pa.int64()]
                 keys = b.column("doc_id").take(pa.array(cols[0], pa.int64()))
-                items = pa.array(cols[1], pa.int64() if kinds[item] == "bigint" else None)
+                items = pa.array(cols[1], item_type)
                 yield pa.RecordBatch.from_arrays([keys, items, *(pa.array(c, t) for c, t in zip(cols[2:], types))], ["doc_id", "item_id", "n_windows", "edits", "leak_start", "leak_end"])
 
         return slim.mapInArrow(run, schema)
