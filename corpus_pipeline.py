@@ -25,8 +25,8 @@ def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return near_dup.drop_near_duplicates(docs)
+    """One document of each group of near copies, from a similarity of word shingles of 0.8 on."""
+    return near_dup.drop_near_duplicates(docs, threshold=80)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,6 +87,30 @@ def test_odd_ids_and_empty(spark):
     assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in got) == [(-1, -1, True), (-1, 7, False), (5, 5, True), (7, 7, True), (7, 7, True)]
 
 
+def test_threshold_of_the_pipeline(spark):
+    """A planted copy at 0.82: the pipeline's stage drops it, op6 keeps it."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    base = [f"v{i}" for i in range(104)]  # 100 shingles
+    edited = base[:20] + ["new"] + base[21:80] + ["other"] + base[81:]
+    rows = [(i, " ".join(t)) for i, t in enumerate([base, edited, base[4:-14], prose(90)])]
+    memo = sk.WordHashes()
+    sets = [set(sk.shingles(t, memo).tolist()) for _, t in rows]
+    near = [len(sets[0] & s) / len(sets[0] | s) for s in sets]
+    assert 0.81 <= near[1] < 0.83 and 0.81 <= near[2] < 0.83 and near[3] == 0
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in pipeline.keep_distinct(spark, docs, "").collect()) == [0, 3]
+    assert all(r.kept for r in nd.group_documents(docs).collect())
+
+
+def test_bands_of_a_threshold():
+    assert nd.band_rows(85) == sk.ROWS and nd.band_rows(80) == 5
+    for t in (70, 80, 85, 90):
+        r = nd.band_rows(t)
+        assert (1 - (t / 100) ** r) ** (sk.SIZE // r) < nd.MISS
+    x = sk.sketch(np.arange(50, dtype=np.uint64))
+    assert len(sk.band_keys(x)) == sk.BANDS and len(set(sk.band_keys(x, 5).tolist())) == 38
+
+
 def test_sketch_fills_and_estimates():
     rng = np.random.default_rng(1)
     for n in (1, 3, 50, 2000):

@@ -1,9 +1,10 @@
 """MinHash near-deduplication with fast similarity sketches, banding and exact verification.
 
 1. Every document becomes the set of its distinct 5-word shingles and a sketch of 192 coordinates
-   in 32 bands of 6.  Documents with equal sets are one node from here on.
-2. Nodes that share a band's key share a bucket.  Two nodes of similarity 0.85 share none with
-   probability (1 - 0.85^6)^32 < 3e-7.
+   in bands, whose breadth follows from the threshold (``band_rows``).  Documents with equal sets are
+   one node from here on.
+2. Nodes that share a band's key share a bucket.  Two nodes at the threshold share none with
+   probability below 3e-7: (1 - 0.85^6)^32 at 0.85, (1 - 0.8^5)^38 at 0.8.
 3. In each bucket every node is verified against the least one on full sets; the links' components
    follow.
 4. Buckets that still hold several components are compared wholly, pair by pair inside tasks of at
@@ -32,10 +33,12 @@ from pyspark.sql import functions as F
 
 from .common import materialize, small_parts
 from .components import components
-from .sketches import BANDS, SIZE, WordHashes, band_keys, digest, shingles, sketch
+from .sketches import SIZE, WordHashes, band_keys, digest, shingles, sketch
 
-#: A link has 100 * intersection >= THRESHOLD * union.
+#: A link has 100 * intersection >= threshold * union; this one is op6's.
 THRESHOLD = 85
+#: Chance at most that two sets at the threshold share no band.
+MISS = 3e-7
 #: Nodes of one side of a comparison inside a task.
 BLOCK = 512
 
@@ -46,6 +49,11 @@ def least_agreement(threshold: int = THRESHOLD) -> int:
     return int(SIZE * (j - 6 * (j * (1 - j) / SIZE) ** 0.5))
 
 
+def band_rows(threshold: int = THRESHOLD) -> int:
+    """The most coordinates a band for which ``MISS`` holds."""
+    return max(r for r in range(1, SIZE + 1) if r == 1 or (1 - (threshold / 100) ** r) ** (SIZE // r) < MISS)
+
+
 def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     low, high = sorted((len(a), len(b)))
     if 100 * low < threshold * high:
@@ -54,10 +62,11 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     return 100 * both >= threshold * (len(a) + len(b) - both)
 
 
-def sketch_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def sketch_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, node, bands, marks) of every document."""
     slim = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
+    rows = band_rows(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
@@ -69,7 +78,7 @@ def sketch_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -
                 if len(items):
                     s = sketch(items)
                     nodes.append(digest(items))
-                    bands.append(band_keys(s))
+                    bands.append(band_keys(s, rows))
                     marks.append(s.astype(np.uint8).tobytes())
                 else:
                     nodes.append(None), bands.append(None), marks.append(None)
@@ -98,7 +107,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     return hit.mapInArrow(run, "node binary, items binary").groupBy("node").agg(F.first("items").alias("items"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) that are linked, on full sets."""
     have = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
     have = have.join(sets.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
@@ -106,13 +115,13 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column("items_a"), batch.column("items_b")
-            keep = [linked(np.frombuffer(a[i].as_py(), np.uint64), np.frombuffer(b[i].as_py(), np.uint64)) for i in range(batch.num_rows)]
+            keep = [linked(np.frombuffer(a[i].as_py(), np.uint64), np.frombuffer(b[i].as_py(), np.uint64), threshold) for i in range(batch.num_rows)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return have.select("a", "b", "items_a", "items_b").mapInArrow(run, "a binary, b binary")
 
 
-def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
+def _compare(pdf: pd.DataFrame, threshold: int) -> pd.DataFrame:
     """Links between the components of one bucket's block pair, as few as join what they join."""
     pdf = pdf.sort_values(["block", "node"], kind="stable").reset_index(drop=True)
     n = len(pdf)
@@ -133,12 +142,12 @@ def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
     size = np.array([len(x) for x in items])
     block, bucket = pdf["block"].to_numpy(), pdf["bucket"].iloc[0]
     two = block[0] != block[-1] or pdf["i"].iloc[0] != pdf["j"].iloc[0]
-    least, found = least_agreement(), []
+    least, found = least_agreement(threshold), []
     for x in range(n - 1):
         y = np.arange(x + 1, n)
         if two:  # pairs inside a block have a task of their own
             y = y[block[y] != block[x]]
-        y = y[100 * np.minimum(size[y], size[x]) >= THRESHOLD * np.maximum(size[y], size[x])]
+        y = y[100 * np.minimum(size[y], size[x]) >= threshold * np.maximum(size[y], size[x])]
         y = y[[find(v) != find(x) for v in y.tolist()]] if len(y) else y
         if len(y):
             y = y[(marks[y] == marks[x]).sum(axis=1) >= least]
@@ -146,15 +155,15 @@ def _compare(pdf: pd.DataFrame) -> pd.DataFrame:
             same = bands[y] == bands[x]
             y = y[bands[y, same.argmax(axis=1)] == bucket]
         for v in y.tolist():
-            if find(v) != find(x) and linked(items[x], items[v]):
+            if find(v) != find(x) and linked(items[x], items[v], threshold):
                 root[find(v)] = find(x)
                 found.append((pdf["node"].iloc[x], pdf["node"].iloc[v]))
     return pd.DataFrame(found, columns=["a", "b"])
 
 
-def group_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def group_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """n_shingles, component_id and kept for every document."""
-    sketched = materialize(sketch_documents(docs, key, text), "sketches")
+    sketched = materialize(sketch_documents(docs, key, text, threshold), "sketches")
     nodes = sketched.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
     nodes = materialize(nodes, "nodes")
 
@@ -164,7 +173,7 @@ def group_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shared = materialize(inside.join(hubs, "bucket"), "buckets")
     stars = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     sets = materialize(_sets(docs, shared.select("node").distinct().join(nodes.select("node", "id"), "node"), key, text), "sets")
-    links = materialize(_verified(stars, sets), "links")
+    links = materialize(_verified(stars, sets, threshold), "links")
     roots = components(links)
 
     # what the stars left open: larger buckets with nodes of several components
@@ -175,7 +184,11 @@ def group_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     others = F.sequence(F.lit(0), (n_blocks - 1).cast("int"))
     members = members.withColumn("other", F.explode(others)).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "n")
     members = members.join(nodes.select("node", "bands", "marks"), "node").join(sets, "node")
-    more = members.groupBy("bucket", "i", "j").applyInPandas(_compare, "a binary, b binary")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _compare(pdf, threshold)
+
+    more = members.groupBy("bucket", "i", "j").applyInPandas(compare, "a binary, b binary")
     roots = components(links.unionByName(materialize(more, "links")))
 
     named = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -186,7 +199,7 @@ def group_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """One document of each group, with all its columns; rows without an id stay."""
-    gone = group_documents(docs, key, text).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).where("gone_id is not null").distinct()
+    gone = group_documents(docs, key, text, threshold).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).where("gone_id is not null").distinct()
     return docs.join(gone, docs[key] == gone["gone_id"], "left_anti")

@@ -72,13 +72,14 @@ def sketch(items: np.ndarray) -> np.ndarray:
     return out
 
 
-_POWERS = np.array([pow(int(_BASE), j + 1, 1 << 64) for j in range(ROWS)], dtype=np.uint64)
-_BAND = np.arange(1, BANDS + 1, dtype=np.uint64) * _SEEDS[:BANDS]
+_POWERS = np.array([pow(int(_BASE), j + 1, 1 << 64) for j in range(SIZE)], dtype=np.uint64)
+_BAND = np.arange(1, SIZE + 1, dtype=np.uint64) * _SEEDS[:SIZE]
 
 
-def band_keys(coordinates: np.ndarray) -> np.ndarray:
-    """One 64-bit key a band; the band's number is part of it."""
-    return mix((mix(coordinates).reshape(BANDS, ROWS) * _POWERS).sum(axis=1, dtype=np.uint64) ^ _BAND).view(np.int64)
+def band_keys(coordinates: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """One 64-bit key a band of ``rows`` coordinates; the band's number is part of it."""
+    n = SIZE // rows
+    return mix((mix(coordinates[: n * rows]).reshape(n, rows) * _POWERS[:rows]).sum(axis=1, dtype=np.uint64) ^ _BAND[:n]).view(np.int64)
 
 
 def digest(items: np.ndarray) -> bytes:
