@@ -87,6 +87,16 @@ def test_odd_ids_and_empty(spark):
     assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in got) == [(-1, -1, True), (-1, 7, False), (5, 5, True), (7, 7, True), (7, 7, True)]
 
 
+def test_filter_decides_by_row(spark):
+    """Repeated rows, copies without an id, and a clean text that shares its id with a copy."""
+    a, b, c, d = (" ".join(prose(30)) for _ in range(4))
+    rows = [(7, a, 0), (7, a, 0), (None, a, 1), (None, b, 2), (None, b, 2), (9, c, 3), (9, a, 4), (3, d, 5), (None, None, 6), (4, None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tag int").repartition(3)
+    kept = nd.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.tag) for r in kept.collect()) == [(-1, 2), (-1, 6), (3, 5), (4, 7), (7, 0), (9, 3)]
+
+
 def test_threshold_of_the_pipeline(spark):
     """A planted copy at 0.82: the pipeline's stage drops it, op6 keeps it."""
     pipeline = pytest.importorskip("corpus_pipeline")

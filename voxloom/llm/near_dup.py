@@ -18,7 +18,8 @@ links, not with pairs.
 Defined cases: a null text, or one without words, has no shingles and is alone; fewer than five
 words are one shingle; repeated rows count as documents of their own with one id; a null id takes
 part but never names a component that has other ids; an empty table gives no rows; other
-columns are not read (the filter passes them through).
+columns are not read (the filter passes them through).  The filter decides by row instead of by id:
+of rows repeated under one id or without one it keeps one, and a row never goes for its namesake.
 """
 
 from __future__ import annotations
@@ -200,6 +201,13 @@ def group_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", th
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """One document of each group, with all its columns; rows without an id stay."""
-    gone = group_documents(docs, key, text, threshold).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).where("gone_id is not null").distinct()
-    return docs.join(gone, docs[key] == gone["gone_id"], "left_anti")
+    """One row of each group, with all its columns: the first by (id, row), null ids last.
+
+    Rows are told apart by a number of their own, written with them once so that it stays, as ids may
+    be null or repeated.
+    """
+    row, rank = "near_dup_row", "near_dup_rank"
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    ranked = numbered.withColumn(rank, F.struct(F.col(key).isNull().alias("no_id"), F.col(key).alias("id"), F.col(row).alias("row")))
+    gone = group_documents(ranked, rank, text, threshold).where(~F.col("kept")).select(F.col("doc_id.row").alias(row))
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
