@@ -61,6 +61,25 @@ def test_scanner_equals_brute_force():
             assert plain_best("".join(map(chr, windows[w].cp)), folded[a:b]) <= windows[w].edits
 
 
+def test_quotations_from_every_offset(spark):
+    """Exact quotations of the least length are found wherever in the item they begin; so is a run of 13 words."""
+    rng = random.Random(23)
+    least = dc.WINDOW + dc.STRIDE - 1
+    assert least == 51
+    text = " ".join("".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randrange(2, 9))) for _ in range(120))
+    lead, tail = prose(20, rng), prose(20, rng)
+    for size in (60, 97, 160, 233, 290, 394):
+        item = text[:size].strip()
+        docs, bench = [(0, lead + tail)], [(5, item)]
+        for at in range(len(item) - least + 1):
+            docs.append((1 + at, f"{lead} {item[at : at + least]} {tail}"))
+        if size == 394:
+            words = item.split()
+            docs += [(1000 + k, f"{lead} {' '.join(words[k : k + 13])} {tail}") for k in range(len(words) - 12)]
+        docs, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+        assert [r.doc_id for r in dc.drop_leaks(docs, bench).collect()] == [0]
+
+
 def test_leaks_and_filter(spark, monkeypatch):
     items = [prose(40), prose(14), None, "", "tiny"]
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")

@@ -1,12 +1,13 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
-Every benchmark item is cut into half-overlapping windows of ``WINDOW`` characters.  A window of m
+Every benchmark item is cut into windows of ``WINDOW`` characters, one every ``STRIDE``.  A window of m
 characters that occurs with at most e edits shares at least ``m + 1 - q (e + 1)`` q-grams with
 the place where it occurs, all on at most e + 1 neighbouring diagonals.  So a text is first
 scanned for stretches with that many q-grams of any window; there the q-grams are counted by
 window and by overlapping diagonal bands of twice that breadth; bands that reach the window's bound
 are verified by banded alignment.  A document is contaminated where a window occurs within its
-budget; quotations shorter than a window of a longer item stay.
+budget.  So an exact quotation of ``WINDOW + STRIDE - 1`` = 51 characters or more is found wherever in
+the item it begins, shorter ones of 48 only where they hold a window, and yet shorter ones never.
 
 The benchmark is the query set and is held against all documents in blocks whose index has a
 bounded size (``passages.BLOCK`` code points); a larger benchmark takes more passes.
@@ -31,7 +32,7 @@ from .alignment import banded
 from .passages import BLOCK, SPAN, GramIndex, Window, cut_windows, fold, short_hashes
 
 Q = 8
-WINDOW = 96
+WINDOW, STRIDE = 48, 4
 RATE = 0.1
 
 
@@ -88,8 +89,10 @@ class Scanner:
             band = (diagonal + shift) // breadth
             # distinct offsets of a window within a band
             n_bands, longest = int(band.max()) + 1, int(self.size.max())
-            group = np.unique((window * n_bands + band) * longest + offset) // longest
-            group, n = np.unique(group, return_counts=True)
+            once = np.sort((window * n_bands + band) * longest + offset)
+            group = once[np.diff(once, prepend=-1) > 0] // longest
+            first = np.flatnonzero(np.diff(group, prepend=-1))
+            group, n = group[first], np.diff(np.append(first, len(group)))
             in_window = group // n_bands
             good = n >= self.bound[in_window]
             low = (group % n_bands)[good] * breadth - shift - self.size.max()
@@ -113,8 +116,9 @@ def blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text", size:
     now: list[Window] = []
     held = 0
     for item, t in benchmark.select(key, text).where(F.col(text).isNotNull()).toLocalIterator():
-        now += cut_windows(item, t, WINDOW, RATE, Q)
-        held += len(t)
+        cut = cut_windows(item, t, WINDOW, RATE, Q, STRIDE)
+        now += cut
+        held += sum(len(w.cp) for w in cut)
         if held >= size:
             yield now
             now, held = [], 0

@@ -8,8 +8,8 @@ import numpy as np
 
 from .syncmers import code_points
 
-#: Most code points of patterns in one block; a block's index is broadcast.
-BLOCK = 1 << 21
+#: Most code points of windows in one block; a block's index is broadcast.
+BLOCK = 1 << 22
 #: Code points of a text that are scanned at once.
 SPAN = 1 << 19
 _LUT_BITS = 22
@@ -51,8 +51,8 @@ class Window:
     least: int
 
 
-def cut_windows(item: object, text: str, size: int, rate: float, q: int) -> list[Window]:
-    """Half-overlapping windows; ``least`` is the q-gram lemma's bound, m + 1 - q (e + 1)."""
+def cut_windows(item: object, text: str, size: int, rate: float, q: int, stride: int | None = None) -> list[Window]:
+    """Windows every ``stride`` characters (half-overlapping without); ``least`` is the q-gram lemma's bound, m + 1 - q (e + 1)."""
     cp = fold(text.strip())
     m = min(size, len(cp))
     if m < q:
@@ -60,7 +60,7 @@ def cut_windows(item: object, text: str, size: int, rate: float, q: int) -> list
     edits = int(rate * m)
     while edits and m + 1 - q * (edits + 1) < 1:
         edits -= 1
-    starts = [*range(0, len(cp) - m, max(1, m // 2)), len(cp) - m]
+    starts = [*range(0, len(cp) - m, stride or max(1, m // 2)), len(cp) - m]
     return [Window(item, len(cp), s, cp[s : s + m], edits, m + 1 - q * (edits + 1)) for s in starts]
 
 
