@@ -228,3 +228,14 @@ def test_command_line(spark, folder, tmp_path, capsys):
     main(["diagnose", "--dir", f"{folder}/c0"])
     said = capsys.readouterr().out
     assert "excess_overlap" in said and "review" in said and "=== mapping ===" in said
+
+
+def test_channels_follow_from_whole_signals(spark, tmp_path):
+    """A speaker who is loud only later in the signal has the most energy of the call."""
+    from voxloom.plans import queries
+
+    early, late = [0.4] * 16 + [0.0] * 48, [0.0] * 16 + [0.4] * 48
+    rows = [(0, early, 1), (1, [0.01] * 64, 1), (2, late, 1), (3, [0.01] * 64, 1)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(r.speaker, r.channel) for r in queries.queries()["q19_channel_assign"](spark, str(tmp_path)).collect()}
+    assert got == {("caller", 0), ("agent", 1)}

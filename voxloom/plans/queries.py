@@ -175,7 +175,7 @@ def q18_energy_share(spark, sf_dir):
 
 
 def _energies(spark, sf_dir):
-    e = _frames(spark, sf_dir).where("frame_idx < 2").groupBy("vec_id").agg(F.sum("energy").alias("energy"))
+    e = _frames(spark, sf_dir).groupBy("vec_id").agg(F.sum("energy").alias("energy"))
     return e.select(
         F.expr("vec_id div 4").cast("string").alias("call_id"),
         F.when(F.col("vec_id") % 4 < 2, "agent").otherwise("caller").alias("speaker"),
