@@ -60,3 +60,26 @@ def test_winnowing_takes_the_least_of_every_run():
             run = h[i : i + 4]
             assert any(i <= a < i + 4 and h[a] == run.min() for a in at)
         assert len(np.unique(at)) == len(at)
+
+
+def test_versions_and_variants_are_told_apart():
+    scanner, rng = li.LicenseScanner(li.TEMPLATES), random.Random(6)
+    for name, t in li.TEMPLATES.items():
+        for text in (t, f"{prose(20, rng)} {t}; {prose(20, rng)}"):
+            licenses = {n.split("/")[0] for n, *_ in scanner(text)}
+            assert licenses == {name.split("/")[0]}, name
+    two = f"{li.TEMPLATES['GPL-2.0/notice']}. {prose(40, rng)} {li.TEMPLATES['GPL-3.0/notice']}."
+    assert {n for n, *_ in scanner(two)} == {"GPL-2.0/notice", "GPL-3.0/notice"}
+
+
+def test_long_templates_and_repetitive_texts():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    body = " ".join(word() for _ in range(3000))
+    rule = "-" * 40
+    scanner = li.LicenseScanner({"long/text": body, **{f"ruled{i}/text": f"{prose(9, rng)} {rule} {prose(9, rng)}" for i in range(50)}})
+    (name, share, spans), = scanner(f"{prose(50, rng)} {body} {prose(50, rng)}")
+    assert name == "long/text" and share == 1.0 and spans[0][1] - spans[0][0] == len(body)
+    (name, share, _), = scanner(f"{prose(50, rng)} {edit(body, 300, rng)} {prose(50, rng)}")
+    assert name == "long/text" and li.COVERAGE <= share < 1
+    assert scanner("-" * 100_000) == [] and scanner(("- " * 50 + "\n") * 1000) == []

@@ -1,6 +1,7 @@
 """Leak search against brute force, and the aligner against a plain table."""
 
 import random
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -81,11 +82,12 @@ def test_quotations_from_every_offset(spark):
 
 
 def test_leaks_and_filter(spark, monkeypatch):
-    items = [prose(40), prose(14), None, "", "tiny"]
+    rng = random.Random(31)  # of its own, so that what other tests draw doesn't matter
+    items = [prose(40, rng), prose(14, rng), None, "", "tiny"]
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
-    leaky = prose(50) + " " + items[0].upper().replace(" ", "\n") + " " + prose(20)
-    quote = prose(30) + " " + " ".join(items[0].split()[:6]) + " " + prose(30)
-    rows = [(1, prose(300), "z"), (2, leaky, "z"), (3, quote, "z"), (4, None, "z"), (5, "", "z"), (6, edit(items[1], 5), None), (None, items[1], "z"), (2, leaky, "z")]
+    leaky = prose(50, rng) + " " + items[0].upper().replace(" ", "\n") + " " + prose(20, rng)
+    quote = prose(30, rng) + " " + " ".join(items[0].split()[:6]) + " " + prose(30, rng)
+    rows = [(1, prose(300, rng), "z"), (2, leaky, "z"), (3, quote, "z"), (4, None, "z"), (5, "", "z"), (6, edit(items[1], 5, rng), None), (None, items[1], "z"), (2, leaky, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
     for size in (1 << 21, 10):
         monkeypatch.setattr(dc, "blocks", lambda b, i="item_id", f=dc.blocks, s=size: f(b, i, size=s))
@@ -128,3 +130,68 @@ def test_ids_of_other_types(spark):
             assert sorted((int(r.doc_id), int(r.item_id)) for r in got.collect()) == [(5, 1), (9, 0)]
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def test_repetitive_texts_stay_small():
+    """Items that share a run of blanks against a million blanks: few matches, little memory."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9)))
+    items = [" ".join(word() for _ in range(8)) + " " * 10 + " ".join(word() for _ in range(8)) for _ in range(3000)]
+    scanner = dc.Scanner([w for i, t in enumerate(items) for w in dc.cut_windows(i, t, dc.WINDOW, dc.RATE, dc.Q, dc.STRIDE)])
+    tracemalloc.start()
+    try:
+        assert scanner(" " * 1_000_000) == []
+        assert {scanner.windows[w].item for w, *_ in scanner((items[7] + "   ") * 2_000)} >= {7}
+        assert tracemalloc.get_traced_memory()[1] < 1 << 29
+    finally:
+        tracemalloc.stop()
+
+
+def test_repetitive_texts_equal_brute_force():
+    rng = random.Random(5)
+    items = ["a" + " " * 70 + "b", "ab" * 40, "the end" + " " * 10 + "of the line and more of it here", "-" * 60, "x" * 20 + "y" * 30 + "x" * 20]
+    windows = [w for i, t in enumerate(items) for w in dc.cut_windows(i, t, dc.WINDOW, dc.RATE, dc.Q, dc.STRIDE)]
+    scanner = dc.Scanner(windows)
+    texts = [" " * 900, "ab" * 500, "-" * 700 + "z", ("the end" + " " * 12 + "of the\n") * 20, "x" * 300 + "y" * 31 + "x" * 300, "aab" * 200, edit(items[4] * 9, 40, rng), edit(items[0] * 9, 30, rng)]
+    for text in texts:
+        folded = "".join(map(chr, fold(text)))
+        want = {i: e for i, w in enumerate(windows) if (e := plain_best("".join(map(chr, w.cp)), folded)) <= w.edits}
+        assert {w: e for w, e, *_ in scanner(text)} == want
+        assert bool(scanner(text, any_=True)) == bool(want)
+
+
+def test_a_long_item_is_spread_over_blocks(spark, monkeypatch):
+    rng = random.Random(9)
+    item = "  " + prose(400, rng) + "\u3000"
+    bench = spark.createDataFrame([(1, item), (2, prose(9, rng))], "item_id long, text string")
+    whole = [(w.item, w.start, w.cp.tobytes()) for w in dc.cut_windows(1, item, dc.WINDOW, dc.RATE, dc.Q, dc.STRIDE)]
+    monkeypatch.setattr(dc, "PIECE", 200)
+    for size in (1 << 19, 500):
+        got = [b for b in dc.blocks(bench, size=size)]
+        assert len(got) == (1 if size > 500 else len(got)) and (size > 500 or len(got) > 3)
+        assert {(w.item, w.start, w.cp.tobytes()) for b in got for w in b if w.item == 1} == set(whole)
+
+
+def test_the_whole_query_equals_brute_force(spark, tmp_path):
+    """op2 over small tables against the full edit table of every window and document."""
+    from voxloom.llm import queries
+
+    rng = random.Random(17)
+    items = [prose(n, rng) for n in (20, 9, 13)] + [None]
+    texts = []
+    for k in range(24):
+        core = rng.choice(items[:3])
+        text = prose(rng.randrange(9), rng) + " " + (edit(core[rng.randrange(40) :], rng.randrange(9), rng) if k % 2 else "") + " " + prose(rng.randrange(9), rng)
+        texts.append(text)
+    texts += [None, "", texts[1]]
+    spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = {}
+    for i, t in enumerate(texts):
+        folded = "".join(map(chr, fold(t or "")))
+        for j, item in enumerate(items):
+            found = [plain_best("".join(map(chr, w.cp)), folded) <= w.edits for w in dc.cut_windows(j, item or "", dc.WINDOW, dc.RATE, dc.Q, dc.STRIDE)]
+            if any(found):
+                want[i, j] = sum(found)
+    got = {(r.doc_id, r.item_id): r.n_windows for r in queries.op2_decontamination(spark, str(tmp_path)).collect()}
+    assert got == want and want

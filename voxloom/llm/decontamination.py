@@ -29,96 +29,121 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .alignment import banded
-from .passages import BLOCK, SPAN, GramIndex, Window, cut_windows, fold, short_hashes
+from .passages import BLOCK, SPAN, GramIndex, Shapes, Window, crowded, cut_windows, fold, meetings, short_hashes
 
 Q = 8
 WINDOW, STRIDE = 48, 4
 RATE = 0.1
+#: Most characters of neighbouring windows that are one pattern of the index.
+PART = 1_024
+#: Characters of an item that come to the driver in one row; a multiple of ``STRIDE``.
+PIECE = 1 << 14
+#: Windows that are aligned at once.
+VERIFIED = 1_024
+
+#: Fixed value: white space as Python's ``str.strip`` knows it.
+_BLANKS = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 class Scanner:
-    """Finds the windows of one block in texts."""
+    """Finds the windows of one block in texts.
+
+    Neighbouring windows of an item are one pattern of at most ``PART`` characters, so each gram is
+    indexed once, not once for every window that holds it.
+    """
 
     def __init__(self, windows: list[Window]):
         self.windows = windows
-        self.index = GramIndex(Q, [(short_hashes(w.cp, Q), np.arange(len(w.cp) - Q + 1), i) for i, w in enumerate(windows)])
+        parts: list[list] = []  # first window, end in the item, pieces of code points
+        owner, start = [], []
+        for i, w in enumerate(windows):
+            end = w.start + len(w.cp)
+            if parts:
+                v, upto, pieces = windows[parts[-1][0]], parts[-1][1], parts[-1][2]
+                last = windows[i - 1]
+                joins = w.item == last.item and w.least == v.least and last.start < w.start <= upto < end <= v.start + PART
+            if parts and joins:
+                pieces.append(w.cp[upto - w.start :])
+                parts[-1][1] = end
+            else:
+                parts.append([i, end, [w.cp]])
+            owner.append(len(parts) - 1)
+            start.append(w.start - windows[parts[-1][0]].start)
+        self.start = np.array(start, dtype=np.int64)
+        self.first = np.array([p[0] for p in parts] + [len(windows)], dtype=np.int64)
+        cps = [np.concatenate(p[2]) for p in parts]
+        self.index = GramIndex(Q, [(short_hashes(cp, Q), np.arange(len(cp) - Q + 1), i) for i, cp in enumerate(cps)])
         self.least = min((w.least for w in windows), default=1)
-        self.reach = max((len(w.cp) + w.edits for w in windows), default=Q)
         self.edits = max((w.edits for w in windows), default=0)
-        self.size = np.array([len(w.cp) for w in windows])
-        self.bound = np.array([w.least for w in windows])
-
-    def __call__(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(window, edits, start, end) of every window that occurs."""
+        self.reach = max((len(w.cp) + w.edits for w in windows), default=Q)
+        self.bound = np.array([w.least for w in windows], dtype=np.int64)
+        self.grams = np.array([len(w.cp) - Q + 1 for w in windows], dtype=np.int64)
+        half, head = self.edits + 1, self.first[:-1]
+        self.breadth = 2 * half
+        width = max(map(len, cps), default=Q) + WINDOW + 1
+        self.shapes = Shapes(self.bound[head], self.grams[head] - 1, np.full(len(parts), self.breadth), width, self.reach, (0, half))
+
+    def __call__(self, text: str, any_: bool = False) -> list[tuple[int, int, int, int]]:
+        """(window, edits, start, end) of every window that occurs, or of the first found with ``any_``."""
         if not text or not self.windows:
             return []
         found: dict[int, tuple[int, int, int]] = {}
+        seen: set[bytes] = set()
         step = SPAN - 2 * self.reach
         for a in range(0, max(1, len(text) - 2 * self.reach), step):
-            for w, edits, start, end in self._span(fold(text[a : a + SPAN])):
-                if w not in found or edits < found[w][0]:
+            exact = {w for w, x in found.items() if x[0] == 0}
+            for w, edits, start, end in self._span(fold(text[a : a + SPAN]), exact, seen):
+                if w not in found or (edits, start + a) < found[w][:2]:
                     found[w] = (edits, start + a, end + a)
+                if any_:
+                    return [(w, *found[w])]
         return [(w, *x) for w, x in sorted(found.items())]
 
-    def _span(self, cp: np.ndarray) -> list[tuple[int, int, int, int]]:
+    def _span(self, cp: np.ndarray, exact: set[int], seen: set[bytes]) -> Iterator[tuple[int, int, int, int]]:
         if len(cp) < Q:
-            return []
+            return
         at, k = self.index.present(cp)
         if len(at) < self.least:
-            return []
-        # places in a stretch of `reach` characters with `least` grams or more
-        ahead = np.searchsorted(at, at + self.reach, "left") - np.arange(len(at))
-        dense = np.zeros(len(at) + 1, dtype=np.int64)
-        starts = np.flatnonzero(ahead >= self.least)
-        if not len(starts):
-            return []
-        np.add.at(dense, starts, 1)
-        np.add.at(dense, starts + ahead[starts], -1)
-        keep = np.cumsum(dense[:-1]) > 0
-        place, window, offset = self.index.expand(at[keep], k[keep])
-        # a window needs its bound over all diagonals first
-        some = np.bincount(window, minlength=len(self.windows))[window] >= self.bound[window]
-        if not some.any():
-            return []
-        place, window, offset = place[some], window[some], offset[some]
-        breadth = 2 * (self.edits + 1)
-        diagonal = place - offset + self.size.max()
-        half = self.edits + 1
-        candidates: list[tuple[int, int]] = []
-        for shift in (0, half):
-            band = (diagonal + shift) // breadth
-            # distinct offsets of a window within a band
-            n_bands, longest = int(band.max()) + 1, int(self.size.max())
-            once = np.sort((window * n_bands + band) * longest + offset)
-            group = once[np.diff(once, prepend=-1) > 0] // longest
-            first = np.flatnonzero(np.diff(group, prepend=-1))
-            group, n = group[first], np.diff(np.append(first, len(group)))
-            in_window = group // n_bands
-            good = n >= self.bound[in_window]
-            low = (group % n_bands)[good] * breadth - shift - self.size.max()
-            candidates += zip(in_window[good].tolist(), low.tolist())
-        out, seen = [], set()
-        patterns, regions, origin = [], [], []
-        for w, low in sorted(set(candidates)):
-            begin = max(0, low - self.edits)
-            patterns.append(self.windows[w].cp)
-            regions.append(cp[begin : begin + len(self.windows[w].cp) + breadth + 2 * self.edits])
-            origin.append((w, begin))
-        for (w, begin), (edits, start, end) in zip(origin, banded(patterns, regions, breadth + 2 * self.edits)):
-            if edits <= self.windows[w].edits and (w, begin + start) not in seen:
-                seen.add((w, begin + start))
-                out.append((w, edits, begin + start, begin + end))
-        return out
+            return
+        keep = crowded(at, self.reach, self.least)
+        for met in meetings(self.index, cp, at[keep], k[keep], self.shapes, seen):
+            # the lemma's bound for each window of the band's pattern
+            n = self.first[met.pattern + 1] - self.first[met.pattern]
+            window = np.repeat(self.first[met.pattern] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+            lowest = np.repeat(met.group * self.shapes.width, n) + self.start[window]
+            held = np.searchsorted(met.key, lowest + self.grams[window]) - np.searchsorted(met.key, lowest)
+            good = np.flatnonzero(held >= self.bound[window])
+            low = np.repeat(met.low, n)[good] + self.start[window[good]]
+            chosen = sorted(zip(low.tolist(), window[good].tolist()))
+            for a in range(0, len(chosen), VERIFIED):
+                now = [(max(0, d - self.edits), w) for d, w in chosen[a : a + VERIFIED] if w not in exact]
+                patterns = [self.windows[w].cp for _, w in now]
+                regions = [cp[begin : begin + len(p) + self.breadth + 2 * self.edits] for (begin, _), p in zip(now, patterns)]
+                for (begin, w), (edits, start, end) in zip(now, banded(patterns, regions, self.breadth + 2 * self.edits)):
+                    if edits <= self.windows[w].edits:
+                        if not edits:
+                            exact.add(w)
+                        yield w, edits, begin + start, begin + end
 
 
 def blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = BLOCK) -> Iterator[list[Window]]:
-    """The benchmark's windows in blocks of bounded size, read row by row."""
+    """The benchmark's windows in blocks of bounded size, read piece by piece.
+
+    Long items are cut in Spark into pieces that overlap by a window less a stride, so neither a
+    row that reaches the driver nor a block grows with an item.
+    """
+    stripped = F.btrim(F.col(text), F.lit(_BLANKS))
+    items = benchmark.select(F.col(key).alias("item"), stripped.alias("text")).where(F.col("text").isNotNull())
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.length("text") - WINDOW), F.lit(PIECE))
+    pieces = items.select("item", "text", F.explode(starts).alias("start"))
+    pieces = pieces.select("item", "start", F.expr(f"substring(text, start + 1, {PIECE + WINDOW - STRIDE})"))
     now: list[Window] = []
     held = 0
-    for item, t in benchmark.select(key, text).where(F.col(text).isNotNull()).toLocalIterator():
-        cut = cut_windows(item, t, WINDOW, RATE, Q, STRIDE)
-        now += cut
-        held += sum(len(w.cp) for w in cut)
+    for item, start, t in pieces.toLocalIterator():
+        for w in cut_windows(item, t, WINDOW, RATE, Q, STRIDE, strip=False):
+            w.start += start
+            now.append(w)
+        held += len(t)
         if held >= size:
             yield now
             now, held = [], 0
@@ -171,7 +196,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             scanner = Scanner(shipped.value)
             for b in batches:
-                yield b.filter(pa.array([not scanner(t) for t in b.column(at).to_pylist()], pa.bool_()))
+                yield b.filter(pa.array([not scanner(t, any_=True) for t in b.column(at).to_pylist()], pa.bool_()))
 
         return kept.mapInArrow(run, docs.schema)
 

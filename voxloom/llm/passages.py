@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
 from .syncmers import code_points
 
-#: Most code points of windows in one block; a block's index is broadcast.
-BLOCK = 1 << 22
+#: Most code points of patterns in one block; a block's index is broadcast.
+BLOCK = 1 << 19
 #: Code points of a text that are scanned at once.
 SPAN = 1 << 19
+#: Characters of a region of a text, whose grams are held against the index as a set first.
+REGION = 256
+#: Pairs of a place and an occurrence that are held at once; one region's own may be more, see ``meetings``.
+HELD = 1 << 20
 _LUT_BITS = 22
 
 
@@ -51,9 +57,9 @@ class Window:
     least: int
 
 
-def cut_windows(item: object, text: str, size: int, rate: float, q: int, stride: int | None = None) -> list[Window]:
+def cut_windows(item: object, text: str, size: int, rate: float, q: int, stride: int | None = None, strip: bool = True) -> list[Window]:
     """Windows every ``stride`` characters (half-overlapping without); ``least`` is the q-gram lemma's bound, m + 1 - q (e + 1)."""
-    cp = fold(text.strip())
+    cp = fold(text.strip() if strip else text)
     m = min(size, len(cp))
     if m < q:
         return []
@@ -95,3 +101,122 @@ class GramIndex:
         n = self.count[k]
         row = np.repeat(self.first[k] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
         return np.repeat(at, n), self.window[row], self.offset[row]
+
+
+def crowded(at: np.ndarray, reach: int, least: int) -> np.ndarray:
+    """Which of the ascending places lie in a stretch of ``reach`` characters with ``least`` places or more."""
+    ahead = np.searchsorted(at, at + reach, "left") - np.arange(len(at))
+    starts = np.flatnonzero(ahead >= least)
+    covered = np.zeros(len(at) + 1, dtype=np.int64)
+    np.add.at(covered, starts, 1)
+    np.add.at(covered, starts + ahead[starts], -1)
+    return np.cumsum(covered[:-1]) > 0
+
+
+def _runs(sizes: np.ndarray, group: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of whole groups (neighbouring equal numbers) whose sizes add up to ``most``, or of one group."""
+    ends = np.append(np.flatnonzero(np.diff(group)) + 1, len(group))
+    upto = np.cumsum(sizes)[ends - 1]
+    at, done, g = 0, 0, 0
+    while at < len(group):
+        g = max(g + 1, int(np.searchsorted(upto, done + most, "right")))
+        yield slice(at, int(ends[g - 1]))
+        at, done = int(ends[g - 1]), int(upto[g - 1])
+
+
+@dataclass
+class Shapes:
+    """What a meeting with a pattern takes, by pattern: ``least`` distinct offsets that lie at most
+    ``span`` apart, in a band of ``breadth`` diagonals; bands begin at each of ``shifts``."""
+
+    least: np.ndarray
+    span: np.ndarray
+    breadth: np.ndarray
+    width: int  # more than the longest pattern and span together
+    reach: int  # the most characters that an occurrence takes
+    shifts: tuple[int, ...]
+
+    def close(self, key: np.ndarray, pattern: np.ndarray) -> np.ndarray:
+        """Whether ``least`` sorted distinct keys from each one on lie within ``span``."""
+        j = np.arange(len(key)) + self.least[pattern] - 1
+        return (j < len(key)) & (key[np.minimum(j, len(key) - 1)] - key <= self.span[pattern])
+
+
+@dataclass
+class Meetings:
+    """Bands of diagonals with enough grams: pattern and lowest diagonal of each, and the sorted keys ``group * width + offset``."""
+
+    pattern: np.ndarray
+    low: np.ndarray
+    group: np.ndarray
+    key: np.ndarray
+
+
+def _is_new(cp: np.ndarray, seen: set[bytes]) -> bool:
+    digest = hashlib.blake2b(cp.tobytes(), digest_size=16).digest()
+    if digest in seen:
+        return False
+    seen.add(digest)
+    return True
+
+
+def meetings(index: GramIndex, cp: np.ndarray, at: np.ndarray, k: np.ndarray, shapes: Shapes, seen: set[bytes] | None) -> Iterator[Meetings]:
+    """Where a text may hold patterns, in slices of bounded size and in the order of the text.
+
+    The text is cut into regions that overlap by ``reach``, so every occurrence lies in one.  A region's
+    grams are held against the index as a set first: a pattern needs enough offsets with any of them,
+    however often the region repeats a gram.  Only then are places paired with offsets and counted by
+    diagonal.  A region that is equal to an earlier one of the text (a run of one character, a repeated
+    line) has nothing new and is passed over; ``seen`` holds their digests (None: none is passed over).
+
+    Memory: the set of one region meets each offset of the index at most once, and a region and
+    pattern pair at most the region's characters times the pattern's.
+    """
+    step = max(REGION, 4 * shapes.reach)
+    region = at // step
+    again = np.flatnonzero((at % step < shapes.reach) & (region > 0))
+    place, gram = np.concatenate([at, at[again]]), np.concatenate([k, k[again]])
+    region = np.concatenate([region, region[again] - 1])
+    keep = slice(None)
+    if seen is not None:
+        new = [r for r in np.unique(region).tolist() if _is_new(cp[r * step : (r + 1) * step + shapes.reach + index.q], seen)]
+        keep = np.isin(region, new)
+    if not len(region[keep]):
+        return
+    n_grams, n_patterns, width = len(index.keys), len(shapes.least), shapes.width
+    have = region[keep] * n_grams + gram[keep]
+    order = np.argsort(have, kind="stable")
+    have, place = have[order], place[keep][order]
+    first = np.flatnonzero(np.diff(have, prepend=-1))
+    sets, times = have[first], np.diff(np.append(first, len(have)))
+    gram, region = sets % n_grams, sets // n_grams
+    for part in _runs(index.count[gram], region, HELD):
+        row, pattern, offset = index.expand(np.arange(part.start, part.stop), gram[part])
+        key = (region[row] * n_patterns + pattern) * width + offset
+        order = np.argsort(key, kind="stable")
+        key, row, pattern = key[order], row[order], pattern[order]
+        pair = key // width
+        good = np.unique(pair[shapes.close(key, pattern)])
+        if not len(good):
+            continue
+        inside = np.searchsorted(good, pair)
+        inside = np.flatnonzero(good[np.minimum(inside, len(good) - 1)] == pair)
+        row, pattern, offset, pair = row[inside], pattern[inside], key[inside] % width, pair[inside]
+        for run in _runs(times[row], pair, HELD):
+            r, n = row[run], times[row[run]]
+            where = place[np.repeat(first[r] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())]
+            which, off = np.repeat(pattern[run], n), np.repeat(offset[run], n)
+            _, dense = np.unique(pair[run], return_inverse=True)
+            dense = np.repeat(dense, n)
+            for shift in shapes.shifts:
+                breadth = shapes.breadth[which]
+                band = (where - off + width + shift) // breadth
+                n_bands = int(band.max()) + 1
+                whole = np.unique((dense * n_bands + band) * width + off)
+                group = whole // width
+                owner = np.zeros(int(dense.max()) + 1, np.int64)
+                owner[dense] = which
+                close = np.unique(group[shapes.close(whole, owner[group // n_bands])])
+                if len(close):
+                    of = owner[close // n_bands]
+                    yield Meetings(of, close % n_bands * shapes.breadth[of] - shift - width, close, whole)
