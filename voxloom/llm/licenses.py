@@ -35,6 +35,8 @@ WINDOW = 120
 RATE = 0.1
 COVERAGE = 0.7
 MAX_TEMPLATE_CHARS = 1 << 21
+#: Alignments that a text's scan remembers.
+KNOWN = 50_000
 
 #: Notices, headers and the parts of short licenses, by name of license and form.
 TEMPLATES = {
@@ -175,12 +177,19 @@ class LicenseScanner:
             return []
         hits = []
         wide = 3 * int(self.edits.max()) + 2
-        # equal stretches far apart are hits of their own, so no region is passed over
+        # equal stretches far apart are hits of their own, so no region is passed over, but aligned once
+        known: dict[tuple[int, bytes], tuple[int, int, int]] = {}
         for met in meetings(self.index, cp, at[keep], k[keep], self.shapes, None):
             for part in range(0, len(met.pattern), 512):
                 chosen = [(w, max(0, low - int(self.edits[w]))) for w, low in zip(met.pattern[part : part + 512].tolist(), met.low[part : part + 512].tolist())]
                 regions = [cp[begin : begin + len(self.windows[w].cp) + 3 * int(self.edits[w]) + 1] for w, begin in chosen]
-                for (w, begin), (edits, start, end) in zip(chosen, banded([self.windows[w].cp for w, _ in chosen], regions, wide)):
+                keys = [(w, r.tobytes()) for (w, _), r in zip(chosen, regions)]
+                new = {key: r for key, r in zip(keys, regions) if key not in known}
+                if len(known) > KNOWN:
+                    known = {key: known[key] for key in keys if key in known}
+                known.update(zip(new, banded([self.windows[w].cp for w, _ in new], list(new.values()), wide)))
+                for (w, begin), key in zip(chosen, keys):
+                    edits, start, end = known[key]
                     if edits <= self.edits[w]:
                         hits.append((w, begin + start, begin + end, edits))
         return hits
