@@ -2,18 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which a cluster names; only where unset, one of this machine."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or f"file://{os.path.join(tempfile.gettempdir(), f'voxloom-{os.getpid()}')}"
+from ..scratch import materialize
 
 
 def global_rank(df: DataFrame, keys: list[Column], name: str = "rank") -> DataFrame:
@@ -22,10 +14,7 @@ def global_rank(df: DataFrame, keys: list[Column], name: str = "rank") -> DataFr
     Rows are dealt by ranges of the keys and written once with the number of their range; a rank is
     then the rows of earlier ranges, from one count a range, plus the place within the range.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/ranges-{uuid.uuid4().hex}"
-    df.repartitionByRange(*keys).withColumn("range_no", F.spark_partition_id()).write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = materialize(df.repartitionByRange(*keys).withColumn("range_no", F.spark_partition_id()), "ranges")
     before = Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("range_no").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.select("range_no", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
