@@ -72,3 +72,68 @@ def test_likeness_is_the_longest_chain():
     a, b = np.array([1, 2, 3, 4, 5, 6]), np.array([9, 3, 4, 1, 6])
     assert sy.likeness(a, b) == 2 * 3 / 11
     assert sy.likeness(a, a) == 1.0 and sy.likeness(a, a[:0]) == 0.0
+
+
+def test_likeness_equals_the_full_table_with_repeats(monkeypatch):
+    rng = np.random.default_rng(4)
+    for pairs in (1 << 22, 0):  # by pairs, by bits
+        monkeypatch.setattr(sy, "PAIRS", pairs)
+        assert sy.likeness(np.array([1, 2]), np.array([2, 1, 2])) == 0.8
+        for _ in range(60):
+            a, b = (rng.integers(0, rng.integers(1, 12), rng.integers(0, 40)) for _ in range(2))
+            table = np.zeros((len(a) + 1, len(b) + 1), int)
+            for i, x in enumerate(a):
+                for j, y in enumerate(b):
+                    table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
+            total = len(a) + len(b)
+            assert sy.likeness(a, b) == (2 * table[-1, -1] / total if total else 1.0)
+    monkeypatch.setattr(sy, "PAIRS", 1 << 22)
+    a, b = np.repeat(np.arange(4), 5000), np.repeat(np.arange(3, -1, -1), 5000)
+    assert sy.likeness(a, b) == 0.25
+
+
+def loop(rows):
+    """Result of every row by a loop over all rows in order of key, then hash of the text."""
+    out = []
+    for k, (i, t) in enumerate(rows):
+        nxt = rows[(k + 1) % len(rows)][1]
+        e = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+        a, b, c = (x[1] for x in sy.anchors([t, e, nxt]))
+        out.append((i is not None, i or 0, len(t), hashlib.sha256(e.encode()).hexdigest(), sy.likeness(a, b), sy.likeness(a, c)))
+    return sorted(out)
+
+
+def test_skewed_ids_spread_and_follow_the_loop(spark, monkeypatch):
+    """An outlying id, null ids and many equal rows: same successors as a loop, and no cell that holds most rows."""
+    monkeypatch.setattr(sy, "ROWS_PER_CELL", 20)
+    rng = random.Random(2)
+    text = lambda: "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(30, 90)))
+    outlying = [(i, text()) for i in range(600)] + [(1 << 60, text())]
+    null = [(None, text()) for _ in range(500)] + [(i, text()) for i in range(100)]
+    equal = [(7, "the same line of text again and again")] * 400 + [(None, "same")] * 200 + [(i, text()) for i in range(300)]
+    sizes = []
+    deal = sy._stream
+
+    def counted(batches, *rest):
+        held = list(batches)
+        by = {}
+        for b in held:
+            for c in zip(b.column("cell").to_pylist(), b.column("stream").to_pylist()):
+                by[c] = by.get(c, 0) + 1
+        open(f"{folder}/{rng.random()}-{id(held)}", "w").write(str(max(by.values(), default=0)))
+        return deal(iter(held), *rest)
+
+    import os
+    import tempfile
+
+    for rows in (outlying, null, equal):
+        folder = tempfile.mkdtemp()
+        monkeypatch.setattr(sy, "_stream", counted)
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        got = sy.fingerprint_edits(docs).collect()
+        monkeypatch.setattr(sy, "_stream", deal)
+        h = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) AS h").collect()}
+        ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, h[r[1]]))
+        assert sorted((r.doc_id is not None, r.doc_id or 0, r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got) == loop(ordered)
+        sizes.append(max(int(open(f"{folder}/{f}").read()) for f in os.listdir(folder)))
+    assert max(sizes) < 150, sizes

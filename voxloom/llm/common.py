@@ -2,38 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset, as in
-    local tests, a temporary folder of this machine is used.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    own = os.path.join(tempfile.gettempdir(), f"voxloom-{os.getpid()}")
-    spark.conf.set("spark.checkpoint.dir", f"file://{own}")
-    return f"file://{own}"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    This cuts the lineage: an executor that is lost later costs a read, not a recomputation.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..scratch import discard, materialize  # noqa: F401  used by the operators
 
 
 def small_parts(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -30,14 +30,15 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b); the root is the least node reachable.
 
-    Each round is written to the shared folder, which keeps the lineage short; the number of
-    rounds grows with the logarithm of the longest path.  Hot nodes are pre-aggregated, never
+    Each round is written to the shared folder, which keeps the lineage short, and the one before is
+    deleted; the number of rounds grows with the logarithm of the longest path.  Hot nodes are pre-aggregated, never
     gathered.
     """
     now = materialize(_small_star(edges.where("a != b")), "edges")
     before = None
     while (state := _state(now)) != before:
         before = state
-        now = materialize(_small_star(_large_star(now)), "edges")
+        last, now = now, materialize(_small_star(_large_star(now)), "edges")
+        discard(last)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
