@@ -138,3 +138,30 @@ def test_components_of_long_paths(spark):
     RNG.shuffle(edges)
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 105: 100, 103: 100}
+
+
+def test_sql_says_the_same():
+    import duckdb
+    import pandas as pd
+
+    from voxloom.llm import oracles
+
+    rows = corpus()
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"text": object}))
+    got = con.sql(oracles.NEAR_DUP).fetchall()
+    assert {i: (n, c, kept) for i, n, c, kept in got} == brute(rows)
+
+
+def test_large_star_and_shared_text(spark, monkeypatch):
+    """A hub of many streams, ids that repeat with other texts, and a text that many rows without id share."""
+    monkeypatch.setattr(nd, "STREAM", 3)
+    monkeypatch.setattr(nd, "BLOCK", 4)
+    base = prose(150)
+    rows = [(i, " ".join(base[:100] + [f"z{i}"] + base[101:])) for i in range(40)]
+    other = " ".join(prose(60))
+    rows += [(None, other)] * 20 + [(500, other), (500, " ".join(prose(30))), (500, rows[3][1])]
+    got = nd.group_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.component_id for r in got if r.doc_id is not None and r.doc_id < 40} == {0}
+    assert [r.component_id for r in got if r.doc_id is None] == [500] * 20
+    assert sorted(r.component_id for r in got if r.doc_id == 500) == [0, 500, 500]

@@ -10,7 +10,8 @@
 4. Buckets that still hold several components are compared wholly, pair by pair inside tasks of at
    most two blocks of ``BLOCK`` nodes, skipping pairs that are in one component already, that meet in
    an earlier band's bucket, or whose sketches agree in fewer coordinates than six standard deviations
-   below the threshold; the rest is verified on full sets.  Only links leave a task.
+   below the threshold.  A first pass over the sketches alone leaves the nodes of a block pair that
+   have a pair to verify; full sets travel for these only.  Nodes and links leave a task, never pairs.
 
 So no bucket is capped, no pair of a bucket stays undecided, and rows grow with nodes and
 links, not with pairs.
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_parts
+from .common import discard, materialize, small_parts
 from .components import components
 from .sketches import SIZE, WordHashes, band_keys, digest, shingles, sketch
 
@@ -41,7 +42,9 @@ THRESHOLD = 85
 #: Chance at most that two sets at the threshold share no band.
 MISS = 3e-7
 #: Nodes of one side of a comparison inside a task.
-BLOCK = 512
+BLOCK = 256
+#: Members of a bucket whose sets meet the hub's in one stream; a larger bucket has several.
+STREAM = 4_096
 
 
 def least_agreement(threshold: int = THRESHOLD) -> int:
@@ -64,8 +67,8 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
 
 
 def sketch_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """(doc_id, n_shingles, node, bands, marks) of every document."""
-    slim = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    """(doc_id, text_hash, n_shingles, node, bands, marks) of every document."""
+    slim = docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
     rows = band_rows(threshold)
 
@@ -83,16 +86,20 @@ def sketch_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", t
                     marks.append(s.astype(np.uint8).tobytes())
                 else:
                     nodes.append(None), bands.append(None), marks.append(None)
-            columns = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "bands", "marks"])
+            columns = [b.column("doc_id"), b.column("text_hash"), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "node", "bands", "marks"])
 
-    return slim.mapInArrow(run, f"doc_id {kind}, n_shingles long, node binary, bands array<long>, marks binary")
+    return slim.mapInArrow(run, f"doc_id {kind}, text_hash long, n_shingles long, node binary, bands array<long>, marks binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """(node, items) for the wanted (node, id): the full sets, from the text of one document each."""
-    texts = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    hit = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["id"])).select("node", "text")
+    """(node, items) for the wanted (node, row): the full sets, from the text of one document each.
+
+    A document is met by id and hash of its text, as many may share either.
+    """
+    texts = docs.select(F.struct(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash")).alias("own"), F.col(text).alias("text"))
+    same = (texts["own.text_hash"] == wanted["row.text_hash"]) & texts["own.doc_id"].eqNullSafe(wanted["row.doc_id"])
+    hit = texts.join(wanted, same).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
@@ -100,7 +107,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
             nodes, items = [], []
             for node, t in zip(b.column("node").to_pylist(), b.column("text").to_pylist()):
                 found = shingles(t, memo)
-                if len(found) and digest(found) == node:  # ids may be repeated with other texts
+                if len(found) and digest(found) == node:
                     nodes.append(node)
                     items.append(found.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(items, pa.binary())], ["node", "items"])
@@ -108,64 +115,115 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     return hit.mapInArrow(run, "node binary, items binary").groupBy("node").agg(F.first("items").alias("items"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) that are linked, on full sets."""
-    have = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a")
-    have = have.join(sets.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
+def _verified(stars: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a: hub, b: member) that are linked, on full sets.
+
+    A hub's set travels once for each stream of ``STREAM`` members and is met there by theirs, one after another.
+    """
+    streams = F.ceil(F.col("n") / STREAM).cast("int")
+    hubs = stars.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    heads = hubs.select("a", F.explode(F.sequence(F.lit(0), streams - 1)).alias("stream"), F.col("a").alias("node"))
+    members = stars.join(hubs, "a").select("a", F.pmod(F.xxhash64("b"), streams).cast("int").alias("stream"), F.col("b").alias("node"))
+    rows = heads.withColumn("member", F.lit(False)).unionByName(members.withColumn("member", F.lit(True))).join(sets, "node")
+    rows = rows.select("a", "stream", "member", "node", "items").repartition("a", "stream").sortWithinPartitions("a", "stream", "member")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = np.zeros(0, np.uint64)
         for batch in batches:
-            a, b = batch.column("items_a"), batch.column("items_b")
-            keep = [linked(np.frombuffer(a[i].as_py(), np.uint64), np.frombuffer(b[i].as_py(), np.uint64), threshold) for i in range(batch.num_rows)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return have.select("a", "b", "items_a", "items_b").mapInArrow(run, "a binary, b binary")
-
-
-def _compare(pdf: pd.DataFrame, threshold: int) -> pd.DataFrame:
-    """Links between the components of one bucket's block pair, as few as join what they join."""
-    pdf = pdf.sort_values(["block", "node"], kind="stable").reset_index(drop=True)
-    n = len(pdf)
-    root = list(range(n))
-    first: dict = {}
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for i, r in enumerate(pdf["root"]):
-        root[i] = first.setdefault(r, i)
-    marks = np.frombuffer(b"".join(pdf["marks"]), np.uint8).reshape(n, SIZE)
-    bands = np.stack(pdf["bands"].to_numpy()).astype(np.int64)
-    items = [np.frombuffer(x, np.uint64) for x in pdf["items"]]
-    size = np.array([len(x) for x in items])
-    block, bucket = pdf["block"].to_numpy(), pdf["bucket"].iloc[0]
-    two = block[0] != block[-1] or pdf["i"].iloc[0] != pdf["j"].iloc[0]
-    least, found = least_agreement(threshold), []
-    for x in range(n - 1):
-        y = np.arange(x + 1, n)
-        if two:  # pairs inside a block have a task of their own
-            y = y[block[y] != block[x]]
-        y = y[100 * np.minimum(size[y], size[x]) >= threshold * np.maximum(size[y], size[x])]
-        y = y[[find(v) != find(x) for v in y.tolist()]] if len(y) else y
+            member, items, keep = batch.column("member").to_pylist(), batch.column("items"), []
+            for i in range(batch.num_rows):
+                own = np.frombuffer(items[i].as_py(), np.uint64)
+                if not member[i]:
+                    hub = own
+                keep.append(member[i] and linked(hub, own, threshold))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("node")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return rows.mapInArrow(run, "a binary, b binary")
+
+
+class _Block:
+    """The nodes of one bucket's block pair, with their components."""
+
+    def __init__(self, pdf: pd.DataFrame, threshold: int):
+        self.pdf = pdf = pdf.sort_values(["block", "node"], kind="stable").reset_index(drop=True)
+        self.threshold, self.least = threshold, least_agreement(threshold)
+        first: dict = {}
+        self.root = np.array([first.setdefault(r, i) for i, r in enumerate(pdf["root"])])
+        self.marks = np.frombuffer(b"".join(pdf["marks"]), np.uint8).reshape(len(pdf), SIZE)
+        self.bands = np.stack(pdf["bands"].to_numpy()).astype(np.int64)
+        self.size = pdf["n_items"].to_numpy()
+        self.block, self.bucket = pdf["block"].to_numpy(), pdf["bucket"].iloc[0]
+        self.two = pdf["i"].iloc[0] != pdf["j"].iloc[0]
+
+    def open(self, x: int) -> np.ndarray:
+        """The later nodes that node x has to be verified against."""
+        y = np.arange(x + 1, len(self.pdf))
+        if self.two:  # pairs inside a block have a task of their own
+            y = y[self.block[y] != self.block[x]]
+        y = y[100 * np.minimum(self.size[y], self.size[x]) >= self.threshold * np.maximum(self.size[y], self.size[x])]
+        y = y[self.root[y] != self.root[x]]
         if len(y):
-            y = y[(marks[y] == marks[x]).sum(axis=1) >= least]
+            y = y[(self.marks[y] == self.marks[x]).sum(axis=1) >= self.least]
         if len(y):
-            same = bands[y] == bands[x]
-            y = y[bands[y, same.argmax(axis=1)] == bucket]
-        for v in y.tolist():
-            if find(v) != find(x) and linked(items[x], items[v], threshold):
-                root[find(v)] = find(x)
-                found.append((pdf["node"].iloc[x], pdf["node"].iloc[v]))
-    return pd.DataFrame(found, columns=["a", "b"])
+            same = self.bands[y] == self.bands[x]
+            y = y[self.bands[y, same.argmax(axis=1)] == self.bucket]
+        return y
+
+    def promising(self) -> np.ndarray:
+        """Which nodes have a pair to verify."""
+        out = np.zeros(len(self.pdf), bool)
+        for x in range(len(self.pdf) - 1):
+            y = self.open(x)
+            out[y] = True
+            out[x] |= bool(len(y))
+        return out
+
+    def links(self) -> list[tuple[bytes, bytes]]:
+        """Links between the components, as few as join what they join."""
+        items = [np.frombuffer(x, np.uint64) for x in self.pdf["items"]]
+        found = []
+        for x in range(len(items) - 1):
+            for v in self.open(x).tolist():
+                if self.root[v] != self.root[x] and linked(items[x], items[v], self.threshold):
+                    self.root[self.root == self.root[v]] = self.root[x]
+                    found.append((self.pdf["node"].iloc[x], self.pdf["node"].iloc[v]))
+        return found
+
+
+_GROUP = ["bucket", "i", "j"]
+
+
+def _block_links(shared: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links that the stars left open: from larger buckets with nodes of several components."""
+    open_ = shared.where("n > 2").select("bucket", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = open_.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket")
+    n_blocks = F.ceil(F.col("n") / BLOCK)
+    members = open_.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
+    others = F.sequence(F.lit(0), (n_blocks - 1).cast("int"))
+    members = members.join(nodes.select("node", "bands", "marks", "n_items"), "node")
+    members = members.withColumn("other", F.explode(others)).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "n")
+    columns = [*_GROUP, "block", "node", "root", "bands", "marks", "n_items"]
+    members = members.select(*columns)
+
+    def promising(pdf: pd.DataFrame) -> pd.DataFrame:
+        b = _Block(pdf, threshold)
+        return b.pdf[b.promising()]
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_Block(pdf, threshold).links(), columns=["a", "b"])
+
+    left = materialize(members.groupBy(*_GROUP).applyInPandas(promising, members.schema), "promising")
+    more = materialize(left.join(sets, "node").groupBy(*_GROUP).applyInPandas(links, "a binary, b binary"), "links")
+    discard(left)
+    return more
 
 
 def group_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """n_shingles, component_id and kept for every document."""
     sketched = materialize(sketch_documents(docs, key, text, threshold), "sketches")
-    nodes = sketched.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
+    row = F.struct("doc_id", "text_hash")
+    nodes = sketched.where("node is not null").groupBy("node")
+    nodes = nodes.agg(F.min("doc_id").alias("id"), F.min(row).alias("row"), F.first("bands").alias("bands"), F.first("marks").alias("marks"), F.first("n_shingles").alias("n_items"))
     nodes = materialize(nodes, "nodes")
 
     # buckets of two nodes or more, with their least node and size
@@ -173,24 +231,12 @@ def group_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     hubs = inside.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = materialize(inside.join(hubs, "bucket"), "buckets")
     stars = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    sets = materialize(_sets(docs, shared.select("node").distinct().join(nodes.select("node", "id"), "node"), key, text), "sets")
+    sets = materialize(_sets(docs, shared.select("node").distinct().join(nodes.select("node", "row"), "node"), key, text), "sets")
     links = materialize(_verified(stars, sets, threshold), "links")
     roots = components(links)
-
-    # what the stars left open: larger buckets with nodes of several components
-    open_ = shared.where("n > 2").select("bucket", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = open_.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket")
-    n_blocks = F.ceil(F.col("n") / BLOCK)
-    members = open_.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
-    others = F.sequence(F.lit(0), (n_blocks - 1).cast("int"))
-    members = members.withColumn("other", F.explode(others)).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "n")
-    members = members.join(nodes.select("node", "bands", "marks"), "node").join(sets, "node")
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _compare(pdf, threshold)
-
-    more = members.groupBy("bucket", "i", "j").applyInPandas(compare, "a binary, b binary")
-    roots = components(links.unionByName(materialize(more, "links")))
+    more = _block_links(shared, roots, nodes, sets, threshold)
+    discard(sets), discard(shared)
+    roots = components(links.unionByName(more))
 
     named = nodes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))

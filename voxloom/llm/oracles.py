@@ -37,3 +37,27 @@ SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, ((pos * 16
        (pos - ((((pos * 16) // total) * total + 15) // 16))::BIGINT AS slot, NULL::INT AS grown_shard, source
 FROM placed
 """
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+#: Groups of near copies from all pairs that share a shingle; equal sets are one node.
+NEAR_DUP = rf"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[\x09-\x0D ]+'), lambda w: w <> '') AS ws
+  FROM documents),
+sets AS (
+  SELECT row_id, doc_id, list_sort(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END) AS items
+  FROM words),
+nodes AS (SELECT min(row_id) AS node, items, len(items) AS n FROM sets WHERE len(items) > 0 GROUP BY items),
+member AS (SELECT node, n, unnest(items) AS item FROM nodes),
+pairs AS (SELECT a.node AS x, b.node AS y, a.n AS nx, b.n AS ny, count(*) AS shared FROM member a JOIN member b ON a.item = b.item AND a.node < b.node GROUP BY ALL),
+links AS (SELECT x, y FROM pairs WHERE 100 * shared >= 85 * (nx + ny - shared)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT node, node AS other FROM nodes UNION SELECT r.node, e.y FROM reach r JOIN edges e ON e.x = r.other),
+rows_of AS (SELECT s.row_id, s.doc_id, s.items, n.node FROM sets s LEFT JOIN nodes n ON n.items = s.items),
+least AS (SELECT r.node, min(o.doc_id) AS component_id FROM reach r JOIN rows_of o ON o.node = r.other GROUP BY r.node)
+SELECT doc_id, len(items)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id, doc_id IS NOT DISTINCT FROM coalesce(component_id, doc_id) AS kept
+FROM rows_of LEFT JOIN least USING (node)
+"""

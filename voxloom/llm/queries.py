@@ -82,4 +82,5 @@ def oracle_sql() -> dict[str, str]:
 
     return {
         "op1_sharding": oracles.SHARDING,
+        "op6_near_dup": oracles.NEAR_DUP,
     }
