@@ -2,6 +2,8 @@
 
 import io
 import json
+import os
+import struct
 import wave
 from dataclasses import replace
 
@@ -239,3 +241,112 @@ def test_channels_follow_from_whole_signals(spark, tmp_path):
     spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
     got = {(r.speaker, r.channel) for r in queries.queries()["q19_channel_assign"](spark, str(tmp_path)).collect()}
     assert got == {("caller", 0), ("agent", 1)}
+
+
+def test_calls_that_share_an_id_stay_apart(spark, tmp_path):
+    """Two pairs whose documents name the same request give the chunks of two calls, with clips of their own."""
+    root = tmp_path / "c"
+    sound = wav(tone([(0.3, 3.8), (8.2, 11.9)], 14), tone([(4.2, 7.9), (12.0, 13.0)], 14))
+    for name in ("one", "two"):
+        (root / name).mkdir(parents=True)
+        (root / name / "report.json").write_text(json.dumps({"transcript": TALK, "request_id": "same"}), encoding="utf-8")
+        (root / name / f"{name}.wav").write_bytes(sound)
+    stats = turn_path.run(spark, str(root), str(tmp_path / "out"), CFG).first()
+    assert (stats.calls, stats.calls_skipped, stats.chunks_kept) == (2, 0, 4)
+    scored = spark.read.parquet(f"{tmp_path}/out/scored").collect()
+    assert {r.call_id for r in scored} == {"same"} and len({r.pair for r in scored}) == 2 and len({r.audio_path for r in scored}) == 4
+    assert sorted(tuple(r.segment_indices) for r in scored) == [(0,), (0,), (1,), (1,)]
+    sides = [spark.read.json(f"{tmp_path}/out/{s}.jsonl").count() for s in ("train", "test") if os.path.getsize(_part(tmp_path / "out" / f"{s}.jsonl"))]
+    assert sides == [4]  # calls of one id are on one side
+
+
+def _part(folder):
+    return max(folder.glob("part-*"), key=os.path.getsize)
+
+
+def test_build_then_table(spark, folder, tmp_path):
+    from voxloom.__main__ import main
+
+    o = f"{tmp_path}/o"
+    main(["build", "--corpus", folder, "--out", o, "--no-align", "--no-second-asr"])
+    main(["table", "--manifest", o, "--clips", f"{o}/recordings", "--out", f"{tmp_path}/t"])
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 8
+    # the same clips as files, and a split that isn't there
+    (tmp_path / "o" / "audio").mkdir()
+    for r in spark.read.parquet(f"{o}/recordings").collect():
+        with open(r.path, "wb") as f:
+            f.write(bytes(r.bytes))
+    main(["table", "--manifest", o, "--clips", f"{o}/audio", "--out", f"{tmp_path}/u", "--splits", "train,test,extra"])
+    assert spark.read.parquet(f"{tmp_path}/u").count() == 8
+    # a path relative to the manifest's folder, and one to its parent; rows without the usual columns
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "a.wav").write_bytes(wav(tone([], 1)))
+    (tmp_path / "m" / "train.jsonl").write_text('{"audio_path": "a.wav", "text": "x"}\n{"audio_path": "m/a.wav", "text": "y"}\n{"audio_path": "b.wav", "text": "z"}\n', encoding="utf-8")
+    main(["table", "--manifest", f"{tmp_path}/m/train.jsonl", "--clips", f"{tmp_path}/m", "--out", f"{tmp_path}/v"])
+    assert {r.text for r in spark.read.parquet(f"{tmp_path}/v").collect()} == {"x", "y"}
+    main(["stats", f"{tmp_path}/m/train.jsonl"])
+
+
+def test_other_formats_of_recordings():
+    """Companded and float samples, and the extensible header, against the definition of G.711."""
+    codes = np.arange(256, dtype=np.uint8)
+    mu, a = audio.expand_mu_law(codes), audio.expand_a_law(codes)
+    assert mu[0xFF] == 0 and mu[0x80] == 8031 and mu[0x00] == -8031 and (mu[:128] == -mu[128:]).all()
+    assert a[0xD5] == 1 and a[0x55] == -1 and a[0xAA] == 4032 and (a[:128] == -a[128:]).all()
+    assert len(np.unique(mu)) == 255 and len(np.unique(a)) == 256
+
+    def riff(tag, bits, raw, n_ch=2, extra=b""):
+        fmt = struct.pack("<HHIIHH", tag, n_ch, 8000, 8000 * n_ch * bits // 8, n_ch * bits // 8, bits) + extra
+        body = b"WAVEfmt " + struct.pack("<I", len(fmt)) + fmt + b"LIST" + struct.pack("<I", 3) + b"abc\0" + b"data" + struct.pack("<I", len(raw)) + raw
+        return b"RIFF" + struct.pack("<I", len(body)) + body
+
+    x, rate = audio.decode_wav(riff(audio.MU_LAW, 8, codes.tobytes()))
+    assert rate == 8000 and x.shape == (2, 128) and np.allclose(x[0], mu[::2] / 8192) and np.allclose(audio.decode_wav(riff(audio.A_LAW, 8, codes.tobytes()))[0][1], a[1::2] / 4096)
+    y = np.linspace(-1, 1, 8, dtype="<f4")
+    assert np.allclose(audio.decode_wav(riff(audio.FLOAT, 32, y.tobytes(), 1))[0][0], y)
+    wide = struct.pack("<HHI", 22, 16, 3) + struct.pack("<H", audio.PCM) + b"\0" * 14
+    assert np.allclose(audio.decode_wav(riff(audio.EXTENSIBLE, 16, np.array([16384, -16384], "<i2").tobytes(), 1, wide))[0][0], [0.5, -0.5])
+    for raw in (b"", b"RIFF0000WAVE", riff(0x31, 16, b"\0" * 8), riff(audio.PCM, 16, b"")[:30]):
+        with pytest.raises((ValueError, struct.error)):
+            audio.decode_wav(raw)
+
+
+def test_detector_falls_back_and_batches_fall_apart(spark):
+    from voxloom.plans import plugins as pl
+
+    def broken():
+        raise RuntimeError("no model")
+
+    x = tone([(0.3, 0.6)], 1)
+    for plugin in (broken, lambda: lambda x, rate: broken()):
+        assert np.array_equal(pl.detector(plugin)(x, SR), audio.speech_regions(x, SR))
+    assert pl.detector(lambda: lambda x, rate: [(0, 1)])(x, SR).tolist() == [[0.0, 1.0]]
+
+    class Model:
+        def __call__(self, x, rate):
+            if len(x) == 3:
+                broken()
+            return f"one {len(x)}"
+
+        def batch(self, clips, rate):
+            if any(len(x) == 3 for x in clips):
+                broken()
+            return [f"batch of {len(clips)}" for _ in clips]
+
+    rows = [(i, bytes(2 * n) if n else None) for i, n in enumerate([1, 2, 0, 4, 5, 3, 6])]
+    df = spark.createDataFrame(rows, "i int, s binary").coalesce(1)
+    got = {r.i: r.t for r in df.select("i", pl.transcript_column(Model, "s", SR, 2).alias("t")).collect()}
+    assert got == {0: "batch of 2", 1: "batch of 2", 2: None, 3: "batch of 2", 4: "batch of 2", 5: None, 6: "one 6"}
+
+
+def test_split_method_is_checked_first(spark, monkeypatch):
+    from voxloom.operators import manifest
+
+    digest = replace(CFG, split=replace(CFG.split, method="digest"))
+    monkeypatch.setattr(manifest, "MAX_SHUFFLED_CALLS", 3)
+    manifest.check_split(3, CFG), manifest.check_split(10**9, digest)
+    for n, cfg in ((4, CFG), (1, replace(CFG, split=replace(CFG.split, method="x")))):
+        with pytest.raises(ValueError):
+            manifest.check_split(n, cfg)
+    rows = spark.createDataFrame([(str(i),) for i in range(40)], "call_id string")
+    assert manifest.test_calls(rows, digest).count() == 2

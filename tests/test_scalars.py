@@ -3,6 +3,7 @@
 import random
 from dataclasses import replace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -182,3 +183,53 @@ def test_settings(tmp_path):
     assert s.chunk.max_s == 20 and s.chunk.short_band == (2, 6) and s.split == CFG.split and s.to_dict()["filt"]["min_chars"] == 2
     p.write_text("")
     assert load_settings(str(p)) == load_settings() == overlay(CFG, None) == CFG
+
+
+def test_matched_words_equal_difflib():
+    import random
+    from difflib import SequenceMatcher
+
+    from voxloom.functions import text
+
+    rng = random.Random(3)
+    for k in range(300):
+        words = [str(i) for i in range(rng.choice([2, 5, 40]))]
+        a = [rng.choice(words) for _ in range(rng.randrange(60))]
+        b = [w for w in a if rng.random() < 0.8] if k % 2 else [rng.choice(words) for _ in range(rng.randrange(60))]
+        want = np.zeros(len(a), bool)
+        for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
+            want[m.a : m.a + m.size] = True
+        assert np.array_equal(text.matched_words(a, b), want)
+    most, text.MAX_PAIRS = text.MAX_PAIRS, 3
+    try:
+        assert text.matched_words(list("abcab"), list("xabyab")).tolist() == [True, True, False, True, True]
+    finally:
+        text.MAX_PAIRS = most
+
+
+def test_agreement_divides_matched_by_all(spark):
+    from voxloom.functions import text
+
+    df = spark.createDataFrame([("a b c", "a x c")], "r string, h string")
+    assert df.select(text.agreement(F.col("r"), F.col("h")).alias("a")).first().a.score == 2 / 3
+
+
+def test_mean_duration_counts_absent_as_nothing(spark):
+    from voxloom.operators import reports
+
+    got = reports.totals(spark.createDataFrame([(3.0,), (None,), (6.0,)], "duration double")).first()
+    assert (got.n_records, got.hours, got.mean_duration) == (3, 9 / 3600, 3.0)
+
+
+def test_next_cut_looks_ahead_as_far_as_needed():
+    from voxloom.operators import turns
+
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        start = np.cumsum(rng.integers(1, 4, 400)).astype(float)
+        end = start + rng.integers(0, 3, 400)
+        for i in (0, 7, 399):
+            got = turns.next_cut(start, end, i, 300.0, 50.0, 2.0)
+            full = i + 1 + int(np.searchsorted(np.maximum.accumulate(end[i + 1 :]) - start[i] > 300.0, True))
+            fit = [k for k in range(i + 1, full) if end[k - 1] - start[i] >= 50.0 and start[k] - end[k - 1] >= 2.0]
+            assert got == (max(fit, key=lambda k: (start[k] - end[k - 1], -k)) if fit else full)

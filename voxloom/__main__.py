@@ -14,6 +14,8 @@ from .operators import reports
 from .plans import aligned_path, diagnose, training_table, turn_path
 from .plans.plugins import Plugins
 from .settings import load_settings
+from .sources.audio import read_clips
+from .sources.manifests import default_roots
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -56,15 +58,19 @@ def main(argv: list[str] | None = None) -> None:
         plugins = Plugins(word_aligner=getattr(import_module(module), name))
         aligned_path.run(spark, a.corpus, a.out, plugins, load_settings(a.config), a.gold, a.limit, a.keep_prep).show(truncate=False)
     elif a.what == "table":
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(a.clips)
-        clips = files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.col("content").alias("bytes"))
-        training_table.run(spark, a.manifest, clips, a.out, tuple(a.splits.split(",")), keep_silence=a.keep_silence, rate=a.sr).show()
+        clips = read_clips(spark, a.clips)
+        splits = tuple(s.strip() for s in a.splits.split(",") if s.strip())
+        training_table.run(spark, a.manifest, clips, a.out, splits, tuple(default_roots(a.manifest)), a.keep_silence, a.sr).show(truncate=False)
     elif a.what == "stats":
         rows = spark.read.json(a.manifest)
         if not rows.take(1):
             print("empty manifest")
             return
-        rows = rows.select("duration", "confidence", F.coalesce("tier", F.lit("?")).alias("tier"), (F.coalesce("source", F.lit("silver")) if "source" in rows.columns else F.lit("silver")).alias("source"))
+        have = lambda name, kind: F.col(name).cast(kind) if name in rows.columns else F.lit(None).cast(kind)
+        rows = rows.select(
+            have("duration", "double").alias("duration"), have("confidence", "double").alias("confidence"),
+            F.coalesce(have("tier", "string"), F.lit("?")).alias("tier"), F.coalesce(have("source", "string"), F.lit("silver")).alias("source"),
+        )
         for t in (reports.totals(rows), reports.shares(reports.counts(rows, duration_band(F.col("duration")), "band")), reports.counts(rows, F.col("tier"), "tier"), reports.counts(rows, F.col("source"), "source"), reports.confidence_histogram(rows).orderBy("bucket")):
             t.show(truncate=False)
     else:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import struct
 import wave
 
 import numpy as np
@@ -10,12 +11,62 @@ import numpy as np
 FRAME_MS, THRESHOLD_DB = 30, -35.0
 
 
+#: Format tags of RIFF recordings.
+PCM, FLOAT, A_LAW, MU_LAW, EXTENSIBLE = 1, 3, 6, 7, 0xFFFE
+
+
+def _chunks(content: bytes) -> dict[bytes, bytes]:
+    """Chunks of a RIFF file by name, the first of each; a data chunk of unknown length reaches to the end."""
+    if content[:4] != b"RIFF" or content[8:12] != b"WAVE":
+        raise ValueError("no RIFF recording")
+    found: dict[bytes, bytes] = {}
+    at = 12
+    while at + 8 <= len(content):
+        name, size = content[at : at + 4], struct.unpack_from("<I", content, at + 4)[0]
+        found.setdefault(name, content[at + 8 : at + 8 + size])
+        at += 8 + size + size % 2
+    if b"fmt " not in found or b"data" not in found:
+        raise ValueError("a recording without format or data")
+    return found
+
+
+def expand_mu_law(code: np.ndarray) -> np.ndarray:
+    """14-bit samples of mu-law bytes (G.711): inverted bits of sign, exponent and mantissa, with a bias of 33."""
+    c = ~code
+    size = (((c & 15).astype(np.int32) * 2 + 33) << ((c >> 4) & 7)) - 33
+    return np.where(c & 0x80, -size, size)
+
+
+def expand_a_law(code: np.ndarray) -> np.ndarray:
+    """13-bit samples of A-law bytes (G.711): every second bit inverted, the lowest exponent without a leading bit."""
+    c = code ^ 0x55
+    e = ((c >> 4) & 7).astype(np.int32)
+    size = (c & 15).astype(np.int32) * 2 + 1
+    size = np.where(e > 0, (size + 32) << np.maximum(e - 1, 0), size)
+    return np.where(c & 0x80, size, -size)
+
+
 def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
-    """(channels x samples in float32, rate) of a PCM file of 8, 16, 24 or 32 bits."""
-    with wave.open(io.BytesIO(content)) as f:
-        n_ch, width, rate = f.getnchannels(), f.getsampwidth(), f.getframerate()
-        raw = f.readframes(f.getnframes())
-    if width == 1:
+    """(channels x samples in float32, rate) of a RIFF file: PCM of 8, 16, 24 or 32 bits, floats, A-law or mu-law.
+
+    Other codecs are a ``decoder`` of the caller's.
+    """
+    parts = _chunks(content)
+    tag, n_ch, rate, _, _, bits = struct.unpack_from("<HHIIHH", parts[b"fmt "])
+    if tag == EXTENSIBLE:
+        tag = struct.unpack_from("<H", parts[b"fmt "], 24)[0]
+    width = bits // 8
+    raw = parts[b"data"]
+    if not n_ch or not width or (tag, width) not in {(PCM, 1), (PCM, 2), (PCM, 3), (PCM, 4), (FLOAT, 4), (FLOAT, 8), (A_LAW, 1), (MU_LAW, 1)}:
+        raise ValueError(f"format {tag} with {bits} bits isn't read here")
+    raw = raw[: len(raw) // (n_ch * width) * n_ch * width]
+    if tag == FLOAT:
+        x = np.frombuffer(raw, f"<f{width}").astype(np.float64)
+    elif tag == MU_LAW:
+        x = expand_mu_law(np.frombuffer(raw, np.uint8)) / 8192
+    elif tag == A_LAW:
+        x = expand_a_law(np.frombuffer(raw, np.uint8)) / 4096
+    elif width == 1:
         x = (np.frombuffer(raw, np.uint8).astype(np.float64) - 128) / 128
     elif width == 3:
         b = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,6 +59,49 @@ def preview(c: Column, size: int = 45) -> Column:
     return F.replace(F.substring(c, 1, size), F.lit("\n"), F.lit(" "))
 
 
+#: Pairs of equal words that the block search holds at once; beyond, it goes word by word.
+MAX_PAIRS = 1 << 22
+
+
+def matched_words(a: list[str], b: list[str]) -> np.ndarray:
+    """Which words of a lie in matching blocks with b: the longest common run (the first in a, then in b), then the same to
+    its left and right.
+
+    All maximal common runs are found once, as stretches of diagonals; a part of the texts clips them.
+    """
+    out = np.zeros(len(a), bool)
+    number: dict[str, int] = {}
+    x, y = (np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int64) for words in (a, b))
+    order = np.argsort(y, kind="stable")
+    low, high = np.searchsorted(y[order], x, "left"), np.searchsorted(y[order], x, "right")
+    n = high - low
+    if int(n.sum()) > MAX_PAIRS:
+        for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
+            out[m.a : m.a + m.size] = True
+        return out
+    i = np.repeat(np.arange(len(x)), n)
+    j = order[np.repeat(low - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(len(i))] if len(i) else i
+    d = j - i
+    order = np.lexsort((i, d))
+    i, d = i[order], d[order]
+    opens = np.flatnonzero((np.diff(d, prepend=d[:1] - 1) != 0) | (np.diff(i, prepend=-2) != 1))
+    runs = np.stack([d[opens], i[opens], i[np.append(opens[1:], len(i)) - 1] + 1]) if len(i) else np.zeros((3, 0), np.int64)
+    parts = [(0, len(a), 0, len(b), runs)]
+    while parts:
+        a0, a1, b0, b1, (d, s, e) = parts.pop()
+        s, e = np.maximum(s, np.maximum(a0, b0 - d)), np.minimum(e, np.minimum(a1, b1 - d))
+        there = e > s
+        d, s, e = d[there], s[there], e[there]
+        if not len(d):
+            continue
+        k = np.lexsort((d, s, s - e))[0]
+        begin, end, off = int(s[k]), int(e[k]), int(d[k])
+        out[begin:end] = True
+        left, right = s < begin, e > end
+        parts += [(a0, begin, b0, begin + off, (d[left], s[left], e[left])), (end, a1, end + off, b1, (d[right], s[right], e[right]))]
+    return out
+
+
 @F.pandas_udf(T.StructType().add("score", "double").add("missed", T.ArrayType(T.StringType())))
 def _matched(ref: pd.Series, hyp: pd.Series) -> pd.DataFrame:
     """Both texts are normalised; the matcher is Ratcliff-Obershelp's, which no built-in function is."""
@@ -67,9 +111,9 @@ def _matched(ref: pd.Series, hyp: pd.Series) -> pd.DataFrame:
             rows.append((None, []))
             continue
         words, heard = r.split(), h.split()
-        m = SequenceMatcher(None, words, heard, autojunk=False)
-        missed = [w for tag, a, b, _, _ in m.get_opcodes() if tag in ("replace", "delete") for w in words[a:b]]
-        rows.append((1 - len(missed) / len(words) if words else None, missed))
+        found = matched_words(words, heard)
+        missed = [w for w, there in zip(words, found.tolist()) if not there]
+        rows.append(((len(words) - len(missed)) / len(words) if words else None, missed))
     return pd.DataFrame(rows, columns=["score", "missed"])
 
 

@@ -59,6 +59,19 @@ def test_calls_by_shuffle(chunks: DataFrame, cfg: Settings, call: str = "call_id
     return chunks.sparkSession.createDataFrame([(i,) for i in ids[: n_test(len(ids), cfg)]], chunks.select(call).schema)
 
 
+def check_split(n_calls: int, cfg: Settings) -> None:
+    """Raises before any work where the split at its end couldn't be made."""
+    if cfg.split.method not in ("shuffle", "digest"):
+        raise ValueError(f"split.method is {cfg.split.method!r}; it may be 'shuffle' or 'digest'")
+    if cfg.split.method == "shuffle" and n_calls > MAX_SHUFFLED_CALLS:
+        raise ValueError(f"{n_calls} calls are more than a seeded shuffle may bring to the driver; set split.method to 'digest'")
+
+
+def test_calls(chunks: DataFrame, cfg: Settings, call: str = "call_id") -> DataFrame:
+    """The test calls by the method that the settings name."""
+    return (test_calls_by_hash if cfg.split.method == "digest" else test_calls_by_shuffle)(chunks, cfg, call)
+
+
 def split_by_call(chunks: DataFrame, test_calls: DataFrame, call: str = "call_id") -> DataFrame:
     """Chunks with ``split``; every call is wholly on one side."""
     marked = test_calls.select(call, F.lit("test").alias("split"))

@@ -24,7 +24,9 @@ def confidence_histogram(df: DataFrame, c: str = "confidence", width: int = 40)
 
 
 def totals(records: DataFrame) -> DataFrame:
-    return records.agg(F.count(F.lit(1)).alias("n_records"), (F.sum("duration") / 3600).alias("hours"), F.avg("duration").alias("mean_duration"))
+    """Records, hours and mean duration; a record without duration counts with 0."""
+    seconds = F.coalesce("duration", F.lit(0.0))
+    return records.agg(F.count(F.lit(1)).alias("n_records"), (F.sum(seconds) / 3600).alias("hours"), F.avg(seconds).alias("mean_duration"))
 
 
 def tier_counts(df: DataFrame) -> DataFrame:

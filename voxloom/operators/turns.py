@@ -176,8 +176,17 @@ def silence_clusters(regions: DataFrame, keys: list[str], silence: float) -> Dat
 
 
 def next_cut(start: np.ndarray, end: np.ndarray, i: int, max_s: float, target: float, pause: float) -> int:
-    """Where the chunk that opens with word i ends: at the longest pause past the target, else where it is full."""
-    full = i + 1 + int(np.searchsorted(np.maximum.accumulate(end[i + 1 :]) - start[i] > max_s, True))
+    """Where the chunk that opens with word i ends: at the longest pause past the target, else where it is full.
+
+    The look-ahead doubles until the chunk is full, so a walk over all words stays linear.
+    """
+    ahead = 64
+    while True:
+        past = np.maximum.accumulate(end[i + 1 : i + 1 + ahead]) - start[i] > max_s
+        full = i + 1 + int(np.searchsorted(past, True))
+        if full <= i + len(past) or i + 1 + ahead >= len(end):
+            break
+        ahead *= 2
     k = np.arange(i + 1, full)
     gaps = start[k] - end[k - 1]
     fit = (end[k - 1] - start[i] >= target) & (gaps >= pause)

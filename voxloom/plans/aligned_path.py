@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import audio, gates, scoring
 from ..operators import manifest, reports, turns
+from ..scratch import materialize
 from ..settings import Settings
 from ..sources import writers
 from ..sources.audio import Decoder, decode
@@ -25,8 +26,8 @@ def speaker_texts(corpus: turn_path.Corpus, heard: DataFrame) -> DataFrame:
 def prepared(texts: DataFrame, corpus: turn_path.Corpus, cfg: Settings, folder: str, decoder: Decoder = audio.decode_wav) -> DataFrame:
     """(path, bytes, text_path, text): each speaker's channel as a recording beside the reference text."""
     channels = decode(corpus.recordings.select(F.col("wav_path").alias("path"), "content"), cfg.audio.target_sr, decoder).withColumnRenamed("path", "wav_path")
-    rows = texts.join(corpus.calls.select("call_id", "wav_path"), "call_id").join(channels.drop("error"), ["wav_path", "channel"])
-    stem = F.format_string(f"{folder}/%s_%s", turn_path.text.safe_id(F.col("call_id")), F.col("speaker"))
+    rows = texts.join(corpus.calls.select("call_id", "wav_path", "clip_stem"), "call_id").join(channels.drop("error"), ["wav_path", "channel"])
+    stem = F.format_string(f"{folder}/%s_%s", F.col("clip_stem"), F.col("speaker"))
     rows = rows.select(stem.alias("stem"), "ref_text", "samples")
     clips = writers.clip_table(rows.select(F.concat("stem", F.lit(".wav")).alias("audio_path"), "samples"), cfg.audio.target_sr)
     texts_out = rows.select(F.concat("stem", F.lit(".wav")).alias("path"), F.concat("stem", F.lit(".txt")).alias("text_path"), F.col("ref_text").alias("text"))
@@ -55,7 +56,10 @@ def run(spark: SparkSession, root: str, out: str, plugins: Plugins, cfg: Setting
     if plugins.word_aligner is None:
         raise ValueError("the aligned path needs a word aligner")
     corpus = turn_path.read_corpus(spark, root, limit)
-    heard = turn_path.listen(corpus, cfg, plugins, decoder)
+    n_calls = corpus.calls.count()
+    manifest.check_split(n_calls, cfg)
+    corpus.segments = materialize(corpus.segments, "turns")
+    heard = materialize(turn_path.listen(corpus, cfg, plugins, decoder), "heard")
     texts = speaker_texts(corpus, heard.where("error is null"))
     if keep_prepared:
         prepared(texts, corpus, cfg, f"{out}/prep", decoder).write.mode("overwrite").parquet(f"{out}/prepared")
@@ -64,24 +68,28 @@ def run(spark: SparkSession, root: str, out: str, plugins: Plugins, cfg: Setting
     failed = aligned.where("error is not null").groupBy("call_id").agg(F.min("error").alias("reason"))
     aligned = aligned.join(failed.select("call_id"), "call_id", "left_anti")
 
-    rendered = turn_path.render(build_chunks(aligned, cfg), corpus, cfg, plugins, decoder, trim=False).drop("silence_ratio")
-    path = F.format_string(f"{out}/audio/%s_%s_%03d.wav", turn_path.text.safe_id(F.col("call_id")), F.col("speaker"), F.col("speaker_chunk"))
+    chunks = materialize(build_chunks(aligned, cfg), "chunks")
+    rendered = turn_path.named(turn_path.render(chunks, corpus, cfg, plugins, decoder, trim=False), corpus).drop("silence_ratio")
+    path = F.format_string(f"{out}/audio/%s_%s_%03d.wav", F.col("clip_stem"), F.col("speaker"), F.col("speaker_chunk"))
     rendered = rendered.withColumns({"tier": scoring.tier(cfg, F.col("confidence")), "loss_weight": scoring.loss_weight(cfg, F.col("confidence")), "audio_path": path})
     rendered.write.mode("overwrite").parquet(f"{out}/clips")
-    clips = spark.read.parquet(f"{out}/clips").drop("samples")
     short = gates.effective_duration() < cfg.chunk.min_s
+    whole = spark.read.parquet(f"{out}/clips")
+    writers.clip_table(whole.where(~short), cfg.audio.target_sr).write.mode("overwrite").parquet(f"{out}/recordings")
+    clips = whole.drop("samples")
     kept = clips.where(~short)
-    records = manifest.split_by_call(manifest.to_records(kept), manifest.test_calls_by_shuffle(kept, cfg))
+    records = manifest.split_by_call(manifest.to_records(kept), manifest.test_calls(kept, cfg))
     turn_path.write_corpus(records, spark.read.json(gold) if gold else None, cfg, out)
     writers.write_clip_list(records, f"{out}/clips.tsv")
     skipped = turn_path.skipped_calls(corpus, heard).unionByName(failed.join(corpus.calls, "call_id").select("wav_path", "reason"))
     writers.write_lines(skipped, writers.skipped_line(reason="reason"), f"{out}/skipped_calls.txt")
 
     tiers = reports.as_map(reports.tier_counts(records), "tier").withColumnRenamed("counts", "tiers").withColumn("one", F.lit(1))
+    gone = skipped.agg(F.count_distinct("wav_path").alias("calls_skipped")).withColumn("calls", F.lit(n_calls).cast("long")).withColumn("one", F.lit(1))
     counts = records.agg(
-        F.count(F.lit(1)).alias("chunks_kept"), F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "test").alias("test"), F.count_if(F.col("tier") == "review").alias("review_queue")
+        F.count(F.lit(1)).alias("chunks"), F.count(F.lit(1)).alias("chunks_kept"), F.count_if(F.col("split") == "train").alias("train"), F.count_if(F.col("split") == "test").alias("test"), F.count_if(F.col("tier") == "review").alias("review_queue")
     ).withColumn("one", F.lit(1))
     dropped = clips.agg(F.count_if(short).alias("dropped_short")).withColumn("one", F.lit(1))
-    stats = counts.join(tiers, "one").join(dropped, "one").drop("one")
+    stats = counts.join(tiers, "one").join(dropped, "one").join(gone, "one").drop("one")
     writers.write_stats(stats, f"{out}/build_stats")
     return spark.read.schema(stats.schema).json(f"{out}/build_stats")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import audio, text
 from ..operators import reports
+from ..scratch import materialize
 from ..settings import Settings
 from ..sources import writers
 from . import turn_path
@@ -34,7 +35,7 @@ def channel_report(corpus: turn_path.Corpus, cfg: Settings) -> DataFrame:
 def energy_report(corpus: turn_path.Corpus, cfg: Settings) -> DataFrame:
     """Share of a speaker's energy in every channel during that speaker's turns."""
     segs = corpus.segments.where("speaker <> ''").groupBy("call_id").agg(F.collect_list(F.struct("speaker", "start", "end")).alias("segs"))
-    rows = corpus.calls.select("call_id", "wav_path").join(segs, "call_id").join(corpus.recordings, "wav_path")
+    rows = turn_path.at_recordings(segs, corpus, corpus.segments.count())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -69,15 +70,16 @@ def dump(judged: DataFrame, cfg: Settings, out: str) -> None:
 def run(spark: SparkSession, root: str, cfg: Settings = Settings(), plugins: Plugins = Plugins(), dump_to: str | None = None) -> dict[str, DataFrame]:  # noqa: B008
     """Report tables of the calls below a folder; clips and texts go to ``dump_to``."""
     corpus = turn_path.read_corpus(spark, root)
-    heard = turn_path.listen(corpus, cfg, plugins)
-    chunks = turn_path.build_chunks(corpus.segments.where("not bad_call"), heard.where("error is null"), cfg)
+    heard = materialize(turn_path.listen(corpus, cfg, plugins), "heard")
+    chunks = materialize(turn_path.build_chunks(corpus.segments.where("not bad_call"), heard.where("error is null"), cfg), "chunks")
+    own = lambda df: turn_path.named(df, corpus).drop("pair", "clip_stem")
     judged = turn_path.judge(turn_path.render(chunks, corpus, cfg, plugins), corpus, cfg)
     if dump_to:
         dump(judged, cfg, dump_to)
     return {
-        "turns": reports.turn_stats(corpus.segments, cfg.chunk.min_s),
+        "turns": own(reports.turn_stats(corpus.segments, cfg.chunk.min_s)),
         "channels": channel_report(corpus, cfg),
-        "mapping": heard.select("call_id", F.inline("mapping")),
-        "energy": energy_report(corpus, cfg),
+        "mapping": own(heard.select("call_id", F.inline("mapping"))),
+        "energy": own(energy_report(corpus, cfg)),
         "chunks": chunk_report(judged),
     }

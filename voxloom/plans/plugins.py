@@ -29,6 +29,8 @@ class Scorer(Protocol):
 
 
 class Transcriber(Protocol):
+    """May also have ``batch(clips, rate)``, the transcripts of several clips at once."""
+
     def __call__(self, x: np.ndarray, rate: int) -> str | None:
         """A second transcript."""
 
@@ -46,6 +48,17 @@ class Plugins:
     word_aligner: Callable[[], WordAligner] | None = None
 
 
+def detector(plugin: Callable[[], Vad]) -> Vad:
+    """The speech detector; where it can't be loaded or fails on a signal, the energy threshold stands in."""
+    model = _guarded(plugin)
+
+    def regions(x: np.ndarray, rate: int) -> np.ndarray:
+        found = _guarded(model, x, rate) if model is not None else None
+        return speech_regions(x, rate) if found is None else np.asarray(found, float).reshape(-1, 2)
+
+    return regions
+
+
 def _pcm(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<i2").astype(np.float32) / 32767
 
@@ -70,7 +83,14 @@ def score_column(plugin: Callable[[], Scorer] | None, text: str, samples: str, r
     return run(text, samples)
 
 
-def transcript_column(plugin: Callable[[], Transcriber] | None, samples: str, rate: int) -> Column:
+def _transcripts(model: Transcriber, clips: list[np.ndarray], rate: int) -> list[str | None]:
+    """Of several clips; a batch that fails is taken clip by clip, so that a bad one costs only itself."""
+    together = getattr(model, "batch", None)
+    found = _guarded(together, clips, rate) if together and clips else None
+    return list(found) if found is not None and len(found) == len(clips) else [_guarded(model, x, rate) for x in clips]
+
+
+def transcript_column(plugin: Callable[[], Transcriber] | None, samples: str, rate: int, batch_size: int = 8) -> Column:
     if plugin is None:
         return F.lit(None).cast("string")
 
@@ -78,7 +98,13 @@ def transcript_column(plugin: Callable[[], Transcriber] | None, samples: str, ra
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = plugin()
         for raws in batches:
-            yield pd.Series([_guarded(model, _pcm(r), rate) if r else None for r in raws], dtype="object")
+            out = pd.Series([None] * len(raws), dtype="object")
+            there = [i for i, r in enumerate(raws) if r]
+            for a in range(0, len(there), max(1, batch_size)):
+                part = there[a : a + max(1, batch_size)]
+                for i, t in zip(part, _transcripts(model, [_pcm(raws.iloc[i]) for i in part], rate)):
+                    out.iloc[i] = t
+            yield out
 
     return run(samples)
 

@@ -330,8 +330,8 @@ def _call_docs(spark, sf_dir):
 @query
 def q36_json_extract(spark, sf_dir):
     docs = _call_docs(spark, sf_dir)
-    s = calls.segments(docs).select("call_id", "seg_idx", "start", "end", "text", "speaker", "overlap", "bad_call")
-    return docs.select("stem", "call_id", "audio_quality").join(s, "call_id", "left")
+    s = calls.segments(docs, also=("stem", "audio_quality"), outer=True)
+    return s.select("call_id", "stem", "audio_quality", "seg_idx", "start", "end", "text", "speaker", "overlap", "bad_call")
 
 
 @query

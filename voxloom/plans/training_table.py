@@ -13,7 +13,8 @@ from ..sources import manifests, writers
 def run(spark: SparkSession, manifest: str, clips: DataFrame, out: str, splits: tuple[str, ...] = ("train", "test"), roots: tuple[str, ...] = (), keep_silence: bool = False, rate: int = 16_000) -> DataFrame:
     """Write (audio, text, confidence) by split; returns counts of outcomes by split.
 
-    ``clips`` has (path, bytes) of the recordings that exist; clips join their rows by path.
+    ``clips`` has (path, bytes) of the recordings that exist; clips join their rows by path.  A split
+    without a manifest is one row with the outcome ``missing_split``.
     """
     files = manifests.split_files(spark, manifest, list(splits))
     parts = [manifests.read_manifest(spark, p).withColumn("split", F.lit(s)) for s, p in files.items()]
@@ -27,4 +28,6 @@ def run(spark: SparkSession, manifest: str, clips: DataFrame, out: str, splits:
     kept = judged.where("outcome = 'kept'").join(clips.select(F.col("path").alias("audio"), "bytes"), "audio")
     audio = F.struct(F.col("audio").alias("path"), "bytes", F.lit(rate).alias("sampling_rate")).alias("audio")
     writers.write_training_table(kept.select(audio, "text", "confidence", "split"), out)
-    return judged.groupBy("split", "outcome").agg(F.count(F.lit(1)).alias("n"))
+    found = judged.groupBy("split", "outcome").agg(F.count(F.lit(1)).alias("n"))
+    missing = [] if manifest.endswith(".jsonl") else [(s, "missing_split", 0) for s in splits if s not in files]
+    return found.unionByName(spark.createDataFrame(missing, found.schema)) if missing else found

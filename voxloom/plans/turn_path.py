@@ -3,6 +3,10 @@
 Waveforms enter two Arrow functions, one before chunks exist (speech and channels) and one after
 (clips); between them only intervals and text move.  A call that can't be read becomes a row of
 ``skipped``; it never fails the job.
+
+A call is a pair of files.  Ids of calls may repeat (every file may name the same request), so up to the
+gates the key ``call_id`` is the document's path; ``named`` puts the calls' own ids back, which decide
+the split and name the clips.
 """
 
 from __future__ import annotations
@@ -17,15 +21,23 @@ from pyspark.sql import functions as F
 
 from ..functions import audio, gates, scoring, text
 from ..operators import manifest, reports, turns
+from ..scratch import materialize
 from ..settings import Settings
 from ..sources import calls, writers
 from ..sources.audio import Decoder, read_recordings
-from .plugins import Plugins, score_column, transcript_column
+from .plugins import Plugins, detector, score_column, transcript_column
+
+#: Rows of spans that may be broadcast to where the recordings are read.
+MAX_BROADCAST_SPANS = 500_000
 
 
 @dataclass
 class Corpus:
-    """Calls with their documents, turns and recordings; ``skipped`` holds paths and reasons."""
+    """Calls with their documents, turns, recordings and the pairs of files behind them.
+
+    ``calls`` has the pair's key (``call_id``), the call's own id (``name``) and the stem of its clips, which
+    is that id, with a mark of the pair where ids repeat.
+    """
 
     calls: DataFrame
     segments: DataFrame
@@ -46,14 +58,40 @@ def read_corpus(spark: SparkSession, root: str, limit: int = 0) -> Corpus:
     docs = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root, wholetext=True)
     docs = docs.select(_plain("_metadata.file_path").alias("json_path"), F.try_parse_json("value").alias("call"))
     stem = F.regexp_extract("wav_path", r"([^/]*)\.[^./]*$", 1)
-    rows = good.join(docs, "json_path").withColumn("call_id", F.coalesce(calls.call_id(F.col("call"), stem), stem))
-    rows = rows.select("call_id", "json_path", "wav_path", "call", calls.audio_quality(F.col("call")).alias("audio_quality"))
+    rows = good.join(docs, "json_path").withColumn("name", F.coalesce(calls.call_id(F.col("call"), stem), stem))
+    shared = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", F.lit(True).alias("shared"))
+    mark = F.when(F.col("shared"), F.concat(F.lit("_"), F.substring(F.md5("json_path"), 1, 8))).otherwise("")
+    rows = rows.join(shared, "name", "left").select(
+        F.col("json_path").alias("call_id"),
+        "name",
+        F.concat(text.safe_id(F.col("name")), mark).alias("clip_stem"),
+        "json_path",
+        "wav_path",
+        "call",
+        calls.audio_quality(F.col("call")).alias("audio_quality"),
+    )
     return Corpus(rows, calls.segments(rows.where("call is not null")), wav.select(_plain("path").alias("wav_path"), "content"), pairs)
 
 
+def named(rows: DataFrame, corpus: Corpus) -> DataFrame:
+    """Rows with the calls' own ids in ``call_id``, the pair in ``pair``, and the stem of clips."""
+    names = corpus.calls.select("call_id", "name", "clip_stem")
+    return rows.join(names, "call_id").withColumnRenamed("call_id", "pair").withColumnRenamed("name", "call_id")
+
+
+def at_recordings(rows: DataFrame, corpus: Corpus, n_spans: int | None = None) -> DataFrame:
+    """Rows of calls with the content of their recordings.
+
+    Up to ``MAX_BROADCAST_SPANS`` spans (``n_spans`` is their counted number) go to where the recordings
+    are read, so that no waveform is shuffled; more of them meet in a shuffle.
+    """
+    spans = corpus.calls.select("call_id", "wav_path").join(rows, "call_id")
+    return corpus.recordings.join(F.broadcast(spans) if n_spans is not None and n_spans <= MAX_BROADCAST_SPANS else spans, "wav_path")
+
+
 def _listen(cfg: Settings, plugins: Plugins, decoder: Decoder):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vad = plugins.vad()
+        vad = detector(plugins.vad)
         for b in batches:
             for call_id, content, segs in zip(b["call_id"], b["content"], b["segs"]):
                 try:
@@ -78,7 +116,7 @@ def _listen(cfg: Settings, plugins: Plugins, decoder: Decoder):
 def listen(corpus: Corpus, cfg: Settings, plugins: Plugins, decoder: Decoder = audio.decode_wav) -> DataFrame:
     """(call_id, mapping, regions by channel, error) of every call with usable turns."""
     good = corpus.segments.where("not bad_call").groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("seg_idx", "speaker", "start", "end"))).alias("segs"))
-    rows = corpus.calls.select("call_id", "wav_path").join(good, "call_id").join(corpus.recordings, "wav_path").select("call_id", "content", "segs")
+    rows = at_recordings(good, corpus, corpus.segments.count()).select("call_id", "content", "segs")
     kind = "call_id string, mapping array<struct<speaker:string,channel:int>>, regions array<array<struct<s:double,e:double>>>, error string"
     return rows.mapInPandas(_listen(cfg, plugins, decoder), kind)
 
@@ -88,8 +126,8 @@ def build_chunks(segments: DataFrame, heard: DataFrame, cfg: Settings) -> DataFr
     segments = segments.join(heard.select("call_id"), "call_id", "left_semi")
     mapping = heard.select("call_id", F.inline("mapping"))
     regions = heard.select("call_id", F.posexplode("regions").alias("channel", "regions"))
-    grouped = turns.assign_groups(segments, cfg)
-    order = grouped.select("call_id", "speaker", "speaker_ord").distinct()
+    grouped = turns.assign_groups_streaming(segments, cfg)
+    order = turns.usable(segments).groupBy("call_id", "speaker").agg(F.min("seg_idx").alias("speaker_ord"))
     groups = turns.collect_groups(grouped).join(mapping, ["call_id", "speaker"], "left").withColumn("channel", F.coalesce("channel", F.lit(0)))
     pieces = turns.split_groups(groups, regions, cfg, ["call_id", "channel"]).join(order, ["call_id", "speaker"])
     place = F.row_number().over(turns.Window.partitionBy("call_id").orderBy("speaker_ord", "group_idx", "piece_idx")) - 1
@@ -99,7 +137,7 @@ def build_chunks(segments: DataFrame, heard: DataFrame, cfg: Settings) -> DataFr
 def _render(cfg: Settings, decoder: Decoder, trim: bool, plugins: Plugins):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rate = cfg.audio.target_sr
-        vad = plugins.vad()
+        vad = detector(plugins.vad)
         for b in batches:
             for call_id, content, spans in zip(b["call_id"], b["content"], b["spans"]):
                 x, own = decoder(content)
@@ -124,7 +162,7 @@ def _render(cfg: Settings, decoder: Decoder, trim: bool, plugins: Plugins):
 def render(chunks: DataFrame, corpus: Corpus, cfg: Settings, plugins: Plugins, decoder: Decoder = audio.decode_wav, trim: bool = True) -> DataFrame:
     """Chunks with the measures and samples of their clips."""
     spans = chunks.groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("chunk_idx", "channel", "start", "end"))).alias("spans"))
-    rows = corpus.calls.select("call_id", "wav_path").join(spans, "call_id").join(corpus.recordings, "wav_path").select("call_id", "content", "spans")
+    rows = at_recordings(spans, corpus, chunks.count()).select("call_id", "content", "spans")
     kind = "call_id string, chunk_idx int, clip_duration double, silence_ratio double, level_db double, samples binary"
     clips = rows.mapInPandas(_render(cfg, decoder, trim, plugins), kind)
     out = chunks.join(clips, ["call_id", "chunk_idx"])
@@ -132,13 +170,14 @@ def render(chunks: DataFrame, corpus: Corpus, cfg: Settings, plugins: Plugins, d
 
 
 def judge(rendered: DataFrame, corpus: Corpus, cfg: Settings) -> DataFrame:
+    """Clips with the first gate that each fails; from here on ``call_id`` is the call's own id."""
     quality = corpus.calls.select("call_id", "audio_quality")
-    rows = rendered.join(quality, "call_id")
+    rows = named(rendered.join(quality, "call_id"), corpus)
     return rows.withColumn("reject_reason", gates.reject_reason(cfg, F.col("clip_duration"), F.col("audio_quality")))
 
 
 def clip_path(cfg: Settings, folder: str):
-    return F.format_string(f"{folder}/%s_ch%d_%03d.wav", text.safe_id(F.col("call_id")), F.col("channel"), F.col("chunk_idx"))
+    return F.format_string(f"{folder}/%s_ch%d_%03d.wav", F.col("clip_stem"), F.col("channel"), F.col("chunk_idx"))
 
 
 def score(judged: DataFrame, cfg: Settings, plugins: Plugins, folder: str = "audio") -> DataFrame:
@@ -146,7 +185,7 @@ def score(judged: DataFrame, cfg: Settings, plugins: Plugins, folder: str = "aud
     rate = cfg.audio.target_sr
     kept = judged.where("reject_reason is null")
     kept = kept.withColumn("alignment_score", score_column(plugins.scorer if cfg.align.enabled else None, "text", "samples", rate))
-    kept = kept.withColumn("second_asr_text", transcript_column(plugins.transcriber if cfg.second_asr.enabled else None, "samples", rate))
+    kept = kept.withColumn("second_asr_text", transcript_column(plugins.transcriber if cfg.second_asr.enabled else None, "samples", rate, cfg.second_asr.batch_size))
     if plugins.transcriber and cfg.second_asr.enabled:
         kept = kept.withColumn("agreed", text.agreement(F.col("text"), F.col("second_asr_text")))
         kept = kept.withColumns({"agreement_score": F.col("agreed.score"), "disagreements": F.col("agreed.missed")}).drop("agreed")
@@ -173,7 +212,7 @@ def write_corpus(records: DataFrame, gold: DataFrame | None, cfg: Settings, out:
 
 
 def skipped_calls(corpus: Corpus, heard: DataFrame) -> DataFrame:
-    """(wav_path, reason) of calls that couldn't be read; pairs without a recording are listed by their document."""
+    """(wav_path, reason) of calls that couldn't be read; documents without a recording make no call, see ``Corpus.pairs``."""
     unreadable = corpus.calls.where("call is null").select("wav_path", F.lit("unreadable document").alias("reason"))
     bad = corpus.segments.where("bad_call").select("call_id").distinct().join(corpus.calls, "call_id").select("wav_path", F.lit("turn without times").alias("reason"))
     deaf = heard.where("error is not null").join(corpus.calls, "call_id").select("wav_path", F.col("error").alias("reason"))
@@ -183,18 +222,23 @@ def skipped_calls(corpus: Corpus, heard: DataFrame) -> DataFrame:
 def run(spark: SparkSession, root: str, out: str, cfg: Settings = Settings(), plugins: Plugins = Plugins(), gold: str | None = None, decoder: Decoder = audio.decode_wav) -> DataFrame:  # noqa: B008
     """The whole path; returns the one-row statistics that it also writes.
 
-    Rendered chunks are written once (``clips``) and everything after reads them, so that no
-    recording is decoded again for a count.
+    Turns, what was heard, and chunks are written before they are read more than once, and rendered chunks
+    (``clips``) are what everything after reads, so that no recording is decoded again for a count.  The
+    kept clips lie in ``recordings`` as a table (path, bytes), under the paths that the manifests name.
     """
     corpus = read_corpus(spark, root)
-    heard = listen(corpus, cfg, plugins, decoder)
-    chunks = build_chunks(corpus.segments.where("not bad_call"), heard.where("error is null"), cfg)
+    manifest.check_split(corpus.calls.count(), cfg)
+    corpus.segments = materialize(corpus.segments, "turns")
+    heard = materialize(listen(corpus, cfg, plugins, decoder), "heard")
+    chunks = materialize(build_chunks(corpus.segments.where("not bad_call"), heard.where("error is null"), cfg), "chunks")
     judge(render(chunks, corpus, cfg, plugins, decoder, cfg.chunk.trim_silence_edges), corpus, cfg).write.mode("overwrite").parquet(f"{out}/clips")
     judged = spark.read.parquet(f"{out}/clips")
+    kept = judged.where("reject_reason is null").withColumn("audio_path", clip_path(cfg, f"{out}/audio"))
+    writers.clip_table(kept, cfg.audio.target_sr).write.mode("overwrite").parquet(f"{out}/recordings")
     score(judged, cfg, plugins, f"{out}/audio").drop("samples").write.mode("overwrite").parquet(f"{out}/scored")
     scored = spark.read.parquet(f"{out}/scored")
-    capped = manifest.cap_overlap(scored, cfg, ["call_id", "chunk_idx"])
-    records = manifest.split_by_call(manifest.to_records(capped), manifest.test_calls_by_shuffle(capped, cfg))
+    capped = manifest.cap_overlap(scored, cfg, ["call_id", "pair", "chunk_idx"])
+    records = manifest.split_by_call(manifest.to_records(capped), manifest.test_calls(capped, cfg))
     write_corpus(records, spark.read.json(gold) if gold else None, cfg, out)
     skipped = skipped_calls(corpus, heard)
     writers.write_lines(skipped, writers.skipped_line(), f"{out}/skipped_calls.txt")

@@ -1,4 +1,8 @@
-"""Settings of the speech-corpus plans; their values enter expressions as literals."""
+"""Settings of the speech-corpus plans; their values enter expressions as literals.
+
+Fixed values: sections, names and defaults are those of the configuration files that the plans read.
+Model names, devices and the like are for plugins, which get them from here; no plan reads them.
+"""
 
 from __future__ import annotations
 
@@ -63,6 +67,8 @@ class Split:
     test_fraction: float = 0.05
     gold_oversample: int = 3
     seed: int = 1337
+    #: "shuffle": a seeded shuffle of all ids, on the driver, for bounded corpora; "digest": a seeded digest, for any.
+    method: str = "shuffle"
 
 
 @dataclass(frozen=True)

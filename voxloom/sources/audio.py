@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.audio import decode_wav, resample
 
@@ -19,6 +20,17 @@ def read_recordings(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "content")
 
 
+def read_clips(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, bytes) of clips: a table that ``writers.clip_table`` made, or the recordings below a folder."""
+
+    def files(glob: str) -> DataFrame:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder)
+
+    if files("*.parquet").select("path").take(1):
+        return spark.read.option("recursiveFileLookup", "true").parquet(folder).select("path", "bytes")
+    return files("*.wav").select(F.regexp_replace("path", "^file:/+", "/").alias("path"), F.col("content").alias("bytes"))
+
+
 def decode(recordings: DataFrame, target_sr: int, decoder: Decoder = decode_wav) -> DataFrame:
     """(path, channel, rate, samples) with 16-bit samples; ``error`` in place of a recording that fails.
 

@@ -76,23 +76,35 @@ def audio_quality(call: Column) -> Column:
     return _get(call, "$.raw_response.audio_quality", "string")
 
 
-def segments(docs: DataFrame) -> DataFrame:
-    """Turns as rows from (call_id, call); ``bad_call`` marks all turns of a call with one that has no usable times."""
-    rows = docs.select("call_id", F.posexplode(transcript(F.col("call"))).alias("seg_idx", "turn"))
+def _number(turn: Column, path: str) -> Column:
+    """A number, or a string that holds one."""
+    return F.coalesce(_get(turn, path, "double"), F.trim(_get(turn, path, "string")).try_cast("double"))
+
+
+def segments(docs: DataFrame, also: tuple[str, ...] = (), outer: bool = False) -> DataFrame:
+    """Turns as rows from (call_id, call) and the columns of ``also``; ``outer`` keeps calls without turns.
+
+    ``bad_call`` marks all turns of a call with one that has no usable times; it is read from the array
+    before turns become rows, so nothing is grouped or joined back.
+    """
+    places = docs.select("call_id", *also, transcript(F.col("call")).alias("turns"))
+    bad = F.exists("turns", lambda t: _number(t, "$.start").isNull() | _number(t, "$.end").isNull())
+    explode = F.posexplode_outer if outer else F.posexplode
+    rows = places.select("call_id", *also, bad.alias("bad"), explode("turns").alias("seg_idx", "turn"))
     t = F.col("turn")
-    number = lambda p: F.coalesce(_get(t, p, "double"), F.expr(f"try_cast(trim(try_variant_get(turn, '{p}', 'string')) AS double)"))
     text = lambda p: strip(F.coalesce(_get(t, p, "string"), F.lit("")))
-    out = rows.select(
+    there = lambda c: F.when(F.col("seg_idx").isNotNull(), c)
+    return rows.select(
         "call_id",
+        *also,
         "seg_idx",
-        number("$.start").alias("start"),
-        number("$.end").alias("end"),
-        text("$.text").alias("text"),
-        text("$.speaker").alias("speaker"),
-        truthy(t, "$.overlap").alias("overlap"),
+        _number(t, "$.start").alias("start"),
+        _number(t, "$.end").alias("end"),
+        there(text("$.text")).alias("text"),
+        there(text("$.speaker")).alias("speaker"),
+        there(truthy(t, "$.overlap")).alias("overlap"),
         _get(t, "$.sentiment", "string").alias("sentiment"),
         _get(t, "$.tone_description", "string").alias("tone_description"),
         _get(t, "$.confidence", "double").alias("src_confidence"),
+        there(F.col("bad")).alias("bad_call"),
     )
-    bad = out.groupBy("call_id").agg(F.bool_or(F.col("start").isNull() | F.col("end").isNull()).alias("bad_call"))
-    return out.join(bad, "call_id")

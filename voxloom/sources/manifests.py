@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,12 @@ def split_files(spark: SparkSession, folder: str, splits: list[str]) -> dict[str
     return found
 
 
+def default_roots(manifest: str) -> list[str]:
+    """Where relative paths are looked up: the working folder, the manifest's folder and its parent."""
+    folder = os.path.abspath(os.path.dirname(manifest) if manifest.endswith(".jsonl") else manifest)
+    return [os.getcwd(), folder, os.path.dirname(folder)]
+
+
 def resolve_paths(rows: DataFrame, listing: DataFrame, roots: list[str], raw: str = "audio_path") -> DataFrame:
     """Rows with ``resolved``: the first of the path itself and the path below each root that is in the listing."""
     candidates = [F.col(raw), *(F.when(~F.col(raw).startswith("/"), F.concat(F.lit(f"{r}/"), F.col(raw))) for r in roots)]
