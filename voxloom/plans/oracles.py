@@ -212,13 +212,13 @@ SELECT a.pair, round(corr(a.x, b.x), 6) AS correlation FROM v a JOIN v b ON a.pa
     "q18_energy_share": f"""WITH {SIGNALS}, e AS (SELECT label, vec_id % 4 AS channel, sum(energy)::BIGINT AS energy FROM frames GROUP BY ALL)
 SELECT *, round(energy / (sum(energy) OVER (PARTITION BY label) + 1e-12), 9) AS share FROM e""",
     "q19_channel_assign": f"""WITH {SIGNALS},
-e AS (SELECT (vec_id // 4)::VARCHAR AS call_id, CASE WHEN vec_id % 4 < 2 THEN 'agent' ELSE 'caller' END AS speaker, (vec_id % 2)::INT AS channel, sum(energy) AS energy FROM frames WHERE frame_idx < 2 GROUP BY ALL),
+e AS (SELECT (vec_id // 4)::VARCHAR AS call_id, CASE WHEN vec_id % 4 < 2 THEN 'agent' ELSE 'caller' END AS speaker, (vec_id % 2)::INT AS channel, sum(energy) AS energy FROM frames GROUP BY ALL),
 top AS (SELECT *, row_number() OVER (PARTITION BY call_id ORDER BY energy DESC, speaker, channel) AS place FROM e),
 first AS (SELECT call_id, speaker, channel FROM top WHERE place = 1)
 SELECT * FROM first UNION ALL
 SELECT DISTINCT e.call_id, e.speaker, 1 - first.channel FROM e JOIN first ON e.call_id = first.call_id AND e.speaker <> first.speaker""",
     "q19_turns_with_channel": f"""WITH {TALK}, {SIGNALS},
-e AS (SELECT (vec_id // 4)::VARCHAR AS call_id, CASE WHEN vec_id % 4 < 2 THEN 'assistant' ELSE 'user' END AS speaker, (vec_id % 2)::INT AS channel, sum(energy) AS energy FROM frames WHERE frame_idx < 2 GROUP BY ALL),
+e AS (SELECT (vec_id // 4)::VARCHAR AS call_id, CASE WHEN vec_id % 4 < 2 THEN 'assistant' ELSE 'user' END AS speaker, (vec_id % 2)::INT AS channel, sum(energy) AS energy FROM frames GROUP BY ALL),
 first AS (SELECT call_id, speaker, channel FROM e QUALIFY row_number() OVER (PARTITION BY call_id ORDER BY energy DESC, speaker, channel) = 1),
 map AS (SELECT * FROM first UNION ALL SELECT DISTINCT e.call_id, e.speaker, 1 - first.channel FROM e JOIN first ON e.call_id = first.call_id AND e.speaker <> first.speaker)
 SELECT call_id, speaker, seg_idx, coalesce(channel, 0) AS channel FROM seg LEFT JOIN map USING (call_id, speaker)""",
