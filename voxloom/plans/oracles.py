@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .queries import FRAME, LOUD
-from .views import HOUR
+from .views import HOUR, TWINS
 
 H = f"{HOUR}::DOUBLE"
 
@@ -66,14 +66,14 @@ run AS (SELECT vec_id, min(frame_idx) AS s, max(frame_idx) + 1 AS e FROM loud GR
 region AS (SELECT vec_id, (row_number() OVER (PARTITION BY vec_id ORDER BY s) - 1)::INT AS r_idx, s, e FROM run),
 tot AS (SELECT vec_id, len(x) // {FRAME} AS total FROM sig)"""
 
-MEASURED = """m AS (
-  SELECT doc_id, CASE WHEN doc_id % 53 = 0 THEN 'x' ELSE text END AS text, n_chars, 0::DOUBLE AS "start", (n_chars % 400)::DOUBLE / 10 AS "end",
+MEASURED = f"""m AS (
+  SELECT doc_id, text, n_chars, 0::DOUBLE AS "start", (n_chars % 400)::DOUBLE / 10 AS "end",
          CASE WHEN doc_id % 5 = 0 THEN NULL ELSE (n_chars % 390)::DOUBLE / 10 END AS clip_duration,
          CASE WHEN doc_id % 7 <> 0 THEN (doc_id % 10)::DOUBLE / 10 END AS silence_ratio,
          CASE WHEN doc_id % 11 <> 0 THEN (n_chars % 350)::DOUBLE / 10 END AS chars_per_sec,
          (doc_id % 9)::DOUBLE / 8 AS overlap_fraction, doc_id % 4 = 0 AS has_overlap,
          CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END AS audio_quality, quality::DOUBLE AS alignment_score, CASE WHEN doc_id % 3 <> 0 THEN 1 - toxic::DOUBLE / 2 END AS agreement_score
-  FROM documents LEFT JOIN labels USING (doc_id)),
+  FROM (SELECT doc_id, text, n_chars FROM documents UNION ALL SELECT doc_id + {TWINS}, 'x', n_chars FROM documents WHERE doc_id % 53 = 0) LEFT JOIN labels USING (doc_id)),
 measured AS (SELECT *, coalesce(clip_duration, greatest(0, "end" - "start")) AS duration FROM m)"""
 
 
