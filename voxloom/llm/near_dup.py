@@ -44,7 +44,7 @@ MISS = 3e-7
 #: Nodes of one side of a comparison inside a task.
 BLOCK = 256
 #: Members of a bucket whose sets meet the hub's in one stream; a larger bucket has several.
-STREAM = 4_096
+STREAM = 256
 
 
 def least_agreement(threshold: int = THRESHOLD) -> int:
@@ -212,8 +212,10 @@ def _block_links(shared: DataFrame, roots: DataFrame, nodes: DataFrame, sets: Da
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_Block(pdf, threshold).links(), columns=["a", "b"])
 
-    left = materialize(members.groupBy(*_GROUP).applyInPandas(promising, members.schema), "promising")
-    more = materialize(left.join(sets, "node").groupBy(*_GROUP).applyInPandas(links, "a binary, b binary"), "links")
+    # little data for much comparing: as many tasks as the session has for a shuffle, however small they are
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = materialize(members.repartition(tasks, *_GROUP).groupBy(*_GROUP).applyInPandas(promising, members.schema), "promising")
+    more = materialize(left.join(sets, "node").repartition(tasks, *_GROUP).groupBy(*_GROUP).applyInPandas(links, "a binary, b binary"), "links")
     discard(left)
     return more
 
