@@ -2,6 +2,8 @@
 
 import itertools
 import random
+import time
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -105,3 +107,114 @@ def test_without_labels_or_rows(spark):
     empty = docs.limit(0)
     assert quality.score(empty, quality.fit(empty, labels)).collect() == []
     assert toxicity.score(empty, toxicity.fit(empty, labels)).collect() == []
+
+
+def test_long_chains_in_blocks_equal_the_loop():
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 3, 10, 97, 1000):
+        e, trans = rng.normal(size=n) * 4, rng.normal(size=(2, 2))
+        assert np.allclose(quality.chain_marginals(e, trans), quality.marginals(e, np.array([n]), trans)[0])
+
+
+def plain_score(model, text):
+    """A document's score by enumerating all label paths of its lines."""
+    steps, size, n = quality.measure([text])
+    x = quality.features(steps, n)
+    e = [float(np.clip(v, -30, 30)) for v in x.astype(float) @ model.weights.astype(float)]
+    total, mass = 0.0, np.zeros(len(e))
+    for path in itertools.product((0, 1), repeat=len(e)):
+        s = np.exp(sum(v for v, k in zip(e, path) if k) + sum(model.transitions[a, b] for a, b in zip(path, path[1:])))
+        total += s
+        mass += s * np.array(path)
+    return float((mass / total) @ (size + 1) / (size + 1).sum())
+
+
+def test_the_quality_query_equals_enumeration(spark, tmp_path):
+    from voxloom.llm import queries
+
+    docs, labels = table(spark, 160)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op7_quality(spark, str(tmp_path)).collect()
+    model = quality.fit(docs, labels, allowed=remainder("doc_id", 3) != 1)
+    want = {}
+    for r in docs.collect():
+        want.setdefault(r.doc_id, []).append(plain_score(model, r.text or ""))
+    for i, scores in want.items():
+        have = sorted(r.score for r in got if r.doc_id == i)
+        assert np.allclose(have, sorted(scores), atol=1e-5)
+    assert {r.doc_id for r in got if r.held_out} == {i for i in want if i is not None and zlib.crc32(str(i).encode()) % 3 == 1}
+
+
+def test_latent_lines_part_a_document_of_two_halves():
+    """Bad documents that are half good: their good lines are told from the bad ones, and labels may differ along a chain."""
+    texts, labels = [], []
+    for i in range(240):
+        junk = " | ".join(RNG.choice(WORDS) for _ in range(30))
+        texts.append("\n".join([good().split("\n")[0] for _ in range(3)] + ([junk] * 5 if i % 2 == 0 else [good().split("\n")[0] for _ in range(3)])))
+        labels.append(i % 2)
+    steps, size, n = quality.measure(texts)
+    model = quality.fit_chain(quality.features(steps, n), n, np.array(labels), size + 1.0)
+    p = quality.line_probabilities(model, steps, n)
+    starts = np.cumsum(n) - n
+    halves = np.array([[p[a], p[a + k - 1]] for a, k, y in zip(starts, n, labels) if not y])
+    assert halves[:, 1].max() < 0.2 and halves[:, 0].mean() > halves[:, 1].mean() + 0.2
+    scores = quality.document_scores(model, texts)
+    assert ((scores >= 0.5) == np.array(labels)).mean() > 0.97
+
+
+def test_very_long_texts_are_scored_whole():
+    model = quality.ChainModel(np.random.default_rng(1).normal(size=quality.N_FEATURES).astype("f4"), np.array([[0.5, -0.5], [-0.5, 0.5]]))
+    text = "\n".join(["a b", "", "###"] * 70_000)
+    began = time.perf_counter()
+    s, t = quality.document_scores(model, [text, text + "\nlast"])
+    assert 0 <= s <= 1 and 0 <= t <= 1 and time.perf_counter() - began < 30
+    assert toxicity.words("x " * 300_000 + "rude") == {"x", "rude"}
+
+
+def test_one_row_a_key_and_bounded_lines(spark):
+    from voxloom.llm import labelled
+
+    docs = spark.createDataFrame([(1, f"text {i}\nmore") for i in range(50)] + [(2, "a\nb\nc"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, 1, 1)], "doc_id long, quality int, toxic int")
+    sample = labelled.labelled_sample(docs, labels, "quality", 10)
+    assert sorted((r.doc_id, r.label) for r in sample.collect()) == [(1, 1), (2, 0), (3, 1)]
+    lines = F.regexp_count("text", F.lit("\n")) + 1
+    assert labelled.within(sample, lines, 6).count() == 3 and labelled.within(sample, lines, 3).count() < 3
+
+
+def test_the_toxicity_query_equals_a_loop(spark, tmp_path):
+    """Every row of op4 recomputed from the model's weights, word by word."""
+    from voxloom.llm import queries
+
+    rude = ["idiotlike", "scumbag", "losers"]
+    rows = [(i, good() + (" " + " ".join(RNG.sample(rude, 1 + i % 3)) if i % 5 == 0 else ""), "s") for i in range(200)] + [(900, None, "s"), (None, "Scumbag", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, int(i % 5 == 0)) for i in range(0, 200)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    want = {}
+    for i, t, _ in rows:
+        eta = 0.0
+        for w in {"".join(g) for k, g in itertools.groupby((t or "").lower(), lambda c: c.isalpha()) if k}:
+            eta += sum(model.weights.get(f, 0.0) for f in (w, w[:5] + "-" if len(w) > 5 else "", w[:7] + "-" if len(w) > 7 else ""))
+        want[i] = [1 / (1 + np.exp(th - eta)) for th in model.thresholds]
+    got = queries.op4_toxicity(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert np.allclose([r.p1, r.p2, r.p3], want[r.doc_id]) and np.isclose(r.expected_severity, sum(want[r.doc_id]))
+        assert r.grade == sum(p >= 0.5 for p in want[r.doc_id]) and r.toxic == (r.grade > 0)
+
+
+def test_grades_come_from_models_that_have_not_seen_the_document():
+    rng = np.random.default_rng(3)
+    rows = [[0, 1] if k % 4 else [0, 1, *(2 + np.arange(1 + k // 4 % 3)).tolist()] for k in range(240)]
+    toxic = np.array([int(k % 4 == 0) for k in range(240)])
+    fold = rng.integers(0, 2, 240)
+    g = toxicity.latent_grades(rows, toxic, fold, 5)
+    assert (g[toxic == 0] == 0).all() and set(g[toxic > 0].tolist()) == {1, 2, 3}
+    strength = np.array([len(r) for r in rows])
+    assert [strength[g == j].mean() for j in (1, 2, 3)] == sorted(strength[g == j].mean() for j in (1, 2, 3))
+    other = toxicity.latent_grades(rows, np.where(np.arange(240) == 0, 0, toxic), fold, 5)
+    assert (other[(fold == fold[0]) & (toxic > 0) & (np.arange(240) > 0)] > 0).all()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize
@@ -14,10 +14,11 @@ def remainder(key: str, n: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, allowed: Column | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, label) of the documents of at most ``most`` labelled keys, drawn by a hash of the key.
+    """(doc_id, text, label) of one document each of at most ``most`` labelled keys, drawn by a hash of the key.
 
-    The drawn keys number at most ``most``, which bounds what is broadcast; only their texts move.
-    Rows without a key or a label are never drawn; of contradicting labels the highest counts.
+    The drawn keys number at most ``most``, which bounds what is broadcast and, as one row a key is
+    taken (the one whose text has the least hash), the sample; only their texts move.  Rows without a
+    key or a label are never drawn; of contradicting labels the highest counts.
     """
     drawn = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull())
     if allowed is not None:
@@ -25,4 +26,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, a
     drawn = drawn.groupBy(F.col(key).alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
     drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return materialize(texts.join(F.broadcast(drawn), "doc_id"), "sample")
+    rows = texts.join(F.broadcast(drawn), "doc_id")
+    return materialize(rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "sample")
+
+
+def within(sample: DataFrame, size: Column, most: int) -> DataFrame:
+    """The rows of a sample, in order of a hash of the key, whose sizes add up to ``most`` at most.
+
+    The sample is bounded already, so its keys and sizes may pass one task.
+    """
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
+    sized = sample.select("doc_id", F.sum(size).over(order).alias("upto"))
+    return sample.join(F.broadcast(sized.where(F.col("upto") <= most).select("doc_id")), "doc_id")

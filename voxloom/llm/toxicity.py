@@ -5,15 +5,18 @@ thresholds: ``P(grade >= j) = sigmoid(w . x - t_j)`` with ``t_1 < t_2 < t_3`` an
 words and the number of distinct words with a given beginning.  The expected severity is the sum of the three probabilities, and a document is toxic
 where grade 1 or more is likelier than not.
 
-The labels hold one bit, so grades are derived: a document labelled clean has grade 0, one
-labelled toxic grade 1, 2 or 3 as it holds at most one, at most three or more of the features that
-mark toxic documents in the sample.  The fit takes at most ``MAX_SAMPLE`` labelled documents and the
-``MAX_WORDS`` features most associated with the label, both bounded by parameter; scoring reads every
-word of every document.
+The labels hold one bit, so the grades above 0 are latent and estimated without the document's own
+label or weights that have seen it: the sample is cut into ``FOLDS`` by a hash, a model of two grades is
+fitted without each fold in turn, and the toxic documents of the fold get grade 1, 2 or 3 by the third in which
+their evidence lies among the toxic documents.  The first threshold is thus learnt from the labels, the
+other two from that order.  The fit takes at most ``MAX_SAMPLE`` labelled documents with at most ``MAX_CELLS``
+features together and the ``MAX_WORDS`` features most associated with the label, all bounded by parameter;
+scoring reads every word of every document.
 
 Defined cases: a null text is empty; without labelled documents of both kinds the model gives every
 document the same severity, that of the sample (0 without any); repeated rows repeat; null keys stay
-null; an empty table gives no rows; other columns are not read (the filter passes them through).
+null; texts of any length are read whole, their distinct words held one text at a time; an empty table
+gives no rows; other columns are not read (the filter passes them through).
 """
 
 from __future__ import annotations
@@ -27,12 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_parts
-from .labelled import labelled_sample
+from .common import materialize, small_parts
+from .labelled import labelled_sample, within
 
 MAX_SAMPLE = 20_000
 MAX_WORDS = 4_000
+#: Features of the sample's documents that the fit holds.
+MAX_CELLS = 8_000_000
 GRADES = 3
+FOLDS = 2
 #: Least documents of the sample that a word must be in.
 LEAST_DOCS = 3
 #: Distinct words whose weights a task remembers before it starts anew.
@@ -99,6 +105,21 @@ def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, l2:
     return p[:n_features], p[n_features] + np.append(0, np.cumsum(np.exp(p[n_features + 1 :])))
 
 
+def latent_grades(rows: list[list[int]], toxic: np.ndarray, fold: np.ndarray, n_features: int) -> np.ndarray:
+    """Grades of the documents: 0 where clean, else by thirds of evidence from models that haven't seen them."""
+    grades = toxic.copy()
+    for k in range(FOLDS):
+        own = np.flatnonzero((fold == k) & (toxic > 0))
+        rest = np.flatnonzero(fold != k)
+        if len(own) < GRADES or len(set(toxic[rest].tolist())) < 2:
+            continue  # too few to order: all stay at grade 1
+        w, _ = fit_ordinal([rows[i] for i in rest], toxic[rest], n_features, steps=150)
+        eta = np.array([w[rows[i]].sum() for i in own])
+        cuts = np.quantile(eta, [j / GRADES for j in range(1, GRADES)])
+        grades[own] = 1 + (eta[:, None] > cuts).sum(axis=1)
+    return grades
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most: int = MAX_SAMPLE) -> OrdinalModel:
     """A model from a bounded sample of the labelled documents."""
     sample = labelled_sample(docs, labels, "toxic", most, key=key, text=text)
@@ -118,21 +139,22 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # log-odds of the word in toxic against clean documents, over its standard error
     odds = F.log((F.col("bad") + 0.5) / (F.col("n") - F.col("bad") + 0.5)) - float(np.log((n_bad + 0.5) / (n_good + 0.5)))
     z = odds / F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("n") - F.col("bad") + 0.5))
-    table = counted.select("word", odds.alias("odds"), z.alias("z")).orderBy(F.abs("z").desc(), "word").limit(MAX_WORDS).collect()
+    table = counted.select("word", z.alias("z")).orderBy(F.abs("z").desc(), "word").limit(MAX_WORDS).collect()
     number = {r.word: i for i, r in enumerate(table)}
-    marks = {i for i, r in enumerate(table) if r.odds > 2 and r.z > 3}
     shipped = docs.sparkSession.sparkContext.broadcast(number)
 
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = shipped.value
         for b in small_parts(batches):
             rows = [sorted(have[f] for w in words(t) for f in word_features(w) if f in have) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(rows, pa.list_(pa.int32()))], ["label", "features"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array(rows, pa.list_(pa.int32()))], ["doc_id", "label", "features"])
 
-    fitted = sample.mapInArrow(featurize, "label int, features array<int>").collect()  # bounded by the sample
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    featured = materialize(sample.select("doc_id", "label", "text").mapInArrow(featurize, f"doc_id {kind}, label int, features array<int>"), "features")
+    featured = within(featured, F.size("features").cast("long"), MAX_CELLS)
+    fitted = featured.orderBy("doc_id").select("label", "features", F.pmod(F.xxhash64("doc_id"), FOLDS).alias("fold")).collect()  # bounded by the sample and MAX_CELLS
     rows = [list(r.features) for r in fitted]
-    marked = np.array([sum(f in marks for f in r) for r in rows])
-    grades = np.where(np.array([r.label for r in fitted]) > 0, 1 + (marked > 1) + (marked > 3), 0)
+    grades = latent_grades(rows, np.array([int(r.label > 0) for r in fitted]), np.array([r.fold for r in fitted]), len(number))
     w, t = fit_ordinal(rows, grades, len(number))
     return OrdinalModel({r.word: float(w[i]) for i, r in enumerate(table)}, tuple(map(float, t)))
 
