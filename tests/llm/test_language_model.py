@@ -97,3 +97,103 @@ def test_empty_and_all_held_out(spark):
     assert lm.score_documents(docs, F.lit(False)).collect() == []
     got = lm.score_documents(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), F.lit(True)).collect()
     assert got[0].n_known == 0 and got[0].train_tokens == 0 and got[0].base_score == 0.0
+
+
+def loop_scores(rows, held, of_ending, weights, total, n_buckets):
+    """log10 probability of every text by plain loops over tokens, classes and outputs."""
+    count = collections.Counter(w for (_, t), h in zip(rows, held) if not h for w in lm.tokens(t))
+    tables, priors = (weights[:n_buckets], weights[n_buckets:]), (total.prior(), total.within())
+
+    def code(word):
+        if word == lm.END:
+            return 0
+        h, e, _ = lm.word_codes([word])
+        return int(h[0]) & ~15 | int(of_ending[e[0]])
+
+    def row(table, key, kind):
+        return tables[table][int(lm._bucket(np.array([key], np.uint64), kind, n_buckets)[0])].astype(float)
+
+    out = []
+    for _, t in rows:
+        codes, score = [code(w) for w in lm.tokens(t)], 0.0
+        for k, word in enumerate(lm.tokens(t)):
+            side = [codes[k - b] % 16 + 1 if k >= b else 0 for b in (1, 2, 3)]
+            last, second = (codes[k - b] if k >= b else 0 for b in (1, 2))
+            n = lm.N_CLASSES + 1
+            z = priors[0].astype(float)
+            for kind, key in enumerate((side[0], side[0] * n + side[1], (side[0] * n + side[1]) * n + side[2], side[1], side[0] * n + side[2]), 1):
+                z = z + row(0, key, kind)
+            z = z + row(0, last, 6) + row(0, (last * lm._BASE + second) % (1 << 64), 7)
+            c, o = codes[k] % 16, (codes[k] >> 8) % lm.N_OUTPUTS
+            y = priors[1][c].astype(float) + row(1, last ^ c, 8) + row(1, second ^ c, 9)
+            p = np.exp(z[c]) / np.exp(z).sum() * np.exp(y[o]) / np.exp(y).sum()
+            score += math.log10(p * (count[word] + 1) / (total.n_output[c, o] + total.v_output[c, o] + 1))
+        out.append(score)
+    return out
+
+
+def test_the_whole_query_equals_a_loop(spark, tmp_path, monkeypatch):
+    from voxloom.llm import queries
+
+    rows = corpus()
+    spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    seen = {}
+    train, cluster, table = lm.train_weights, lm.ending_classes, lm._class_table
+    monkeypatch.setattr(lm, "train_weights", lambda *a: seen.setdefault("weights", train(*a)))
+    monkeypatch.setattr(lm, "ending_classes", lambda t: seen.setdefault("of_ending", cluster(t)))
+    monkeypatch.setattr(lm, "_class_table", lambda *a: seen.setdefault("total", table(*a)))
+    got = queries.op10_language_model(spark, str(tmp_path)).collect()
+    held = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
+    want = sorted((-1 if i is None else i, s) for (i, _), s in zip(rows, loop_scores(rows, held, seen["of_ending"], seen["weights"], seen["total"], lm.N_BUCKETS)))
+    have = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in got)
+    assert [i for i, _ in have] == [i for i, _ in want]
+    assert np.allclose([s for _, s in have], [s for _, s in want], rtol=1e-4, atol=1e-3)
+
+
+def test_probabilities_of_all_words_sum_to_one():
+    """Over classes, outputs and the words behind each output, with the share of words never seen."""
+    rng = np.random.default_rng(5)
+    n_output = rng.integers(0, 50, (lm.N_CLASSES, lm.N_OUTPUTS))
+    v_output = np.minimum(n_output, rng.integers(1, 9, n_output.shape))
+    total = lm.Counts(int(n_output.sum()), int(v_output.sum()), n_output, v_output)
+    of_ending = lm.cluster_endings(np.zeros((lm.N_ENDINGS, lm.N_ENDINGS)))
+    h = lm.histories(*lm.encode_texts(["a b c a b c", None, "b c a"], of_ending))
+    w, v = (rng.normal(size=(lm.N_BUCKETS, lm.N_CLASSES)).astype("f4") for _ in range(2))
+    p = np.exp(lm.log_softmax(w, lm.class_sums(w, total.prior()), h))
+    words = (n_output + v_output + 1.0) / (n_output + v_output + 1.0)  # seen words and the share of the unseen
+    for c in range(lm.N_CLASSES):
+        h.c[:] = c
+        y = np.exp(lm.output_scores(v, total.within(), h))
+        p[:, c] *= (y / y.sum(axis=1, keepdims=True)) @ words[c]
+    assert np.allclose(p.sum(axis=1), 1, atol=1e-5)
+
+
+def test_training_moves_words_within_a_class():
+    """Two words of one class that follow different words: the history tells them apart."""
+    rng = random.Random(1)
+    of_ending = np.ones(lm.N_ENDINGS, np.int64)
+    by_output = {}
+    for word in "red blue apple sky tree house river stone cloud".split():
+        by_output.setdefault(int(lm.outputs(lm.word_codes([word.encode()])[0])[0]), word)
+    a, b, c, d = list(by_output.values())[:4]  # words with outputs of their own
+    texts = [" ".join(rng.choice([f"{a} {b}", f"{c} {d}"]) for _ in range(40)) for _ in range(30)]
+    coded, starts = lm.encode_texts(texts, of_ending)
+    h = lm.histories(coded, starts)
+    prior = np.zeros((lm.N_CLASSES, lm.N_OUTPUTS), np.float32)
+    w, squares = np.zeros((lm.N_BUCKETS, lm.N_OUTPUTS), np.float32), np.ones(lm.N_BUCKETS)
+    for _ in range(60):
+        lm.output_step(w, prior, squares, h)
+    y = np.exp(lm.output_scores(w, prior, h))
+    p = (y / y.sum(axis=1, keepdims=True))[np.arange(len(coded)), h.output]
+    follows = np.isin(np.arange(len(coded)) - np.repeat(starts, np.diff(np.append(starts, len(coded)))), range(1, 80, 2))
+    assert p[follows].mean() > 0.8
+
+
+def test_table_grows_with_the_corpus():
+    sizes = [lm.buckets_for(n) for n in (0, 1 << 28, (1 << 28) + 1, 1 << 30, 1 << 32, 1 << 50)]
+    assert sizes == [1 << 14, 1 << 14, 1 << 15, 1 << 15, 1 << 16, 1 << 18]
+    h = lm.histories(*lm.encode_texts(["a b c"], np.ones(lm.N_ENDINGS, np.int64)), 1 << 16)
+    assert max(h.last.max(), h.pair.max(), h.near.max(), h.skip.max()) < 1 << 16
+    w = np.zeros((1 << 17, lm.N_CLASSES), np.float32)
+    lm.gradient_step(w, np.zeros(lm.N_CLASSES), np.ones(1 << 17), lm.histories(*lm.encode_texts(["a b c"], np.ones(lm.N_ENDINGS, np.int64)), 1 << 17))
+    assert w.any()

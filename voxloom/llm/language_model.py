@@ -1,19 +1,23 @@
 """Language-model scoring by a hashed maximum-entropy model with class-factored softmax.
 
-``p(w | h) = p(class(w) | h) * p(w | class(w))``.  A word's class follows from its ending, hashed into
-``N_ENDINGS``; the endings are clustered by what they stand beside in all training texts (a table of
-``N_ENDINGS`` by ``N_ENDINGS`` counts, a fixed size).  The end token has a class of its own.  The class model is maximum entropy: the
-score of a class is the log of its share of the training tokens plus a sum of weights of hashed
-features of the history h, namely the classes of the
-last one, two and three words (n-grams), the class of the word before the last alone and the pair of
-classes around it (skips), and the last word and the last two words themselves.  The word within its class
-has the add-one estimate from all training tokens, with one share for words never seen, so that the
-probabilities of each class sum to one.
+``p(w | h) = p(class(w) | h) * p(output(w) | class(w), h) * p(w | output(w))``.  A word's class follows
+from its ending, hashed into ``N_ENDINGS``; the endings are clustered by what they stand beside in all
+training texts (a table of ``N_ENDINGS`` by ``N_ENDINGS`` counts, a fixed size).  The end token has a class of
+its own.  Within a class the words are hashed to ``N_OUTPUTS`` outputs, so that the softmax over a class
+has a fixed size whatever the vocabulary; words that share an output have the add-one estimate from all
+training tokens among them, with one share for words never seen, so that probabilities sum to one.
+
+Both softmaxes are maximum entropy: a score is the log of the share of the training tokens plus a sum of
+weights of hashed features of the history h.  For the class these are the classes of the last one, two and
+three words (n-grams), the class of the word before the last alone and the pair of classes around it
+(skips), and the last word and the last two words themselves.  For the output within its class they are the
+last word and, skipping it, the word before.
 
 Training reads every training document once per epoch.  Each epoch is a Spark job: every partition
 starts from the broadcast weights, takes gradient steps over its documents' tokens in batches and
 returns the difference; differences are averaged by weight of tokens in a tree of partial sums, by
-slice of the weight table, and the driver holds the table (``N_BUCKETS * N_CLASSES`` floats, a fixed size).
+slice of the weight tables.  The tables have ``buckets_for`` rows each: 2^14 up to 2^28 training tokens, and
+twice as many with every fourfold corpus, up to 2^18 (16 MB a table), so that the driver can hold them.
 
 Word counts grow with the corpus and stay distributed.  Words with at least one in ``FREQUENT`` of all
 training tokens number at most ``FREQUENT`` and are broadcast; the other words of each document meet
@@ -21,8 +25,8 @@ their counts in a shuffle join, pre-aggregated by document, and come back as sum
 
 Defined cases: a null text is empty and consists of the end token; A-Z count as a-z and words are cut
 at ASCII white space; a null key is not held out; without training documents counts are 0 and the
-model is uniform; repeated rows are scored each (and counted each); an empty table gives no
-rows; other columns are not read.
+model is uniform; repeated rows are scored each (and counted each); texts of any length are scored
+whole, the longest alone in a group; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +48,11 @@ from .syncmers import mix
 #: Stands for the end of a text; holds a blank, so no word equals it.
 END = b" end"
 N_CLASSES = 16
+#: Outputs of a class: a power of two, as many as there are classes, so that both tables have rows of one width.
+N_OUTPUTS = 16
 N_ENDINGS = 512
 N_BUCKETS = 1 << 14
+MOST_BUCKETS = 1 << 18
 FREQUENT = 500_000
 EPOCHS = 1
 #: Tokens of one gradient step, and its rate.
@@ -54,6 +62,8 @@ RATE = 2.0
 _SIDE = N_CLASSES + 1
 #: Active features of a token: five of classes, two of words.
 N_FEATURES = 7
+#: Active features of an output: two words.
+N_WITHIN = 2
 #: Distinct words that a counting task holds before it hands its counts on.
 HELD = 200_000
 #: Rows of the weight table in one partial sum.
@@ -100,35 +110,50 @@ def tokens(text: str | None) -> list[bytes]:
     return words
 
 
-def _bucket(key: np.ndarray, kind: int) -> np.ndarray:
-    return (mix(key * np.uint64(_BASE) + np.uint64(kind)) >> np.uint64(50)).astype(np.int64)  # 14 bits
+def buckets_for(n_tokens: int) -> int:
+    """Rows of each weight table for so many training tokens: they grow with the square root of the corpus."""
+    size = N_BUCKETS
+    while size < MOST_BUCKETS and n_tokens > (1 << 28) * (size // N_BUCKETS) ** 2:
+        size *= 2
+    return size
 
 
-def _class_features() -> np.ndarray:
+def _bucket(key: np.ndarray, kind: int, n_buckets: int) -> np.ndarray:
+    return (mix(key * np.uint64(_BASE) + np.uint64(kind)) >> np.uint64(65 - n_buckets.bit_length())).astype(np.int64)
+
+
+@lru_cache(maxsize=4)
+def _class_features(n_buckets: int) -> np.ndarray:
     """Buckets of the five class features of every history of three classes."""
     h = np.arange(_SIDE**3, dtype=np.uint64)
     side = np.uint64(_SIDE)
     k1, k2, k3 = h // (side * side), h // side % side, h % side
-    return np.stack([_bucket(k, j) for j, k in enumerate((k1, k1 * side + k2, h, k2, k1 * side + k3), 1)], axis=1)
-
-
-_CLASS_FEATURES = _class_features()
+    return np.stack([_bucket(k, j, n_buckets) for j, k in enumerate((k1, k1 * side + k2, h, k2, k1 * side + k3), 1)], axis=1)
 
 
 @dataclass
 class Histories:
-    """Of each token: its class, the number of its history of classes, the buckets of the last word and the last two."""
+    """Of each token: its class and output, the number of its history of classes, the buckets of the last word
+    and the last two, and those of the last word and the one before it together with the token's class."""
 
     c: np.ndarray
     context: np.ndarray
     last: np.ndarray
     pair: np.ndarray
+    output: np.ndarray
+    near: np.ndarray
+    skip: np.ndarray
 
     def part(self, a: int, n: int) -> Histories:
-        return Histories(self.c[a : a + n], self.context[a : a + n], self.last[a : a + n], self.pair[a : a + n])
+        return Histories(*(x[a : a + n] for x in (self.c, self.context, self.last, self.pair, self.output, self.near, self.skip)))
 
 
-def histories(coded: np.ndarray, starts: np.ndarray) -> Histories:
+def outputs(coded: np.ndarray) -> np.ndarray:
+    """The output of every coded token within its class."""
+    return (coded >> np.uint64(8)).astype(np.int64) % N_OUTPUTS
+
+
+def histories(coded: np.ndarray, starts: np.ndarray, n_buckets: int = N_BUCKETS) -> Histories:
     """``coded`` holds hash and class of the tokens of several texts; ``starts``, their first tokens."""
     n = len(coded)
     place = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
@@ -145,7 +170,9 @@ def histories(coded: np.ndarray, starts: np.ndarray) -> Histories:
             word[place < back] = 0
             before.append(word)
     last, second = before
-    return Histories(k, context, _bucket(last, 6), _bucket(last * np.uint64(_BASE) + second, 7))
+    own = k.astype(np.uint64)
+    near, skip = _bucket(last ^ own, 8, n_buckets), _bucket(second ^ own, 9, n_buckets)  # the low bits are the words' classes
+    return Histories(k, context, _bucket(last, 6, n_buckets), _bucket(last * np.uint64(_BASE) + second, 7, n_buckets), outputs(coded), near, skip)
 
 
 _ONES = np.ones(N_CLASSES, np.float32)
@@ -167,12 +194,20 @@ def log_softmax(weights: np.ndarray, by_class: np.ndarray, h: Histories) -> np.n
 
 def class_sums(weights: np.ndarray, prior: np.ndarray) -> np.ndarray:
     """Prior and summed class-feature weights of every history of classes."""
-    return (weights[_CLASS_FEATURES].sum(axis=1) + prior).astype(np.float32)
+    return (weights[_class_features(len(weights))].sum(axis=1) + prior).astype(np.float32)
+
+
+def output_scores(weights: np.ndarray, prior: np.ndarray, h: Histories) -> np.ndarray:
+    """Scores of the outputs of each token's class; ``prior`` has a row for every class."""
+    z = prior[h.c]
+    z += weights[h.near]
+    z += weights[h.skip]
+    return np.clip(z, -40, 40, out=z)
 
 
 def _row_sums(buckets: np.ndarray, rows: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct buckets, sums of their rows, sums of their weights); buckets fit in 15 bits."""
-    order = np.argsort(buckets.astype(np.int16), kind="stable")
+    """(distinct buckets, sums of their rows, sums of their weights)."""
+    order = np.argsort(buckets.astype(np.uint16) if buckets.max() < 1 << 16 else buckets, kind="stable")
     b = buckets[order]
     starts = np.flatnonzero(np.diff(b, prepend=-1))
     n = np.diff(np.append(starts, len(b))) if weights is None else np.add.reduceat(weights[order], starts)
@@ -186,14 +221,27 @@ def gradient_step(w: np.ndarray, prior: np.ndarray, squares: np.ndarray, h: Hist
     p[np.arange(len(h.c)), h.c] -= 1
     met, by_context, n_context = _row_sums(h.context, p)
     parts = [_row_sums(h.last, p), _row_sums(h.pair, p)]
-    parts += [_row_sums(_CLASS_FEATURES[met, j], by_context, n_context) for j in range(_CLASS_FEATURES.shape[1])]
-    g, n = np.zeros(w.shape, np.float32), np.zeros(N_BUCKETS)
+    of_class = _class_features(len(w))
+    parts += [_row_sums(of_class[met, j], by_context, n_context) for j in range(of_class.shape[1])]
+    _descend(w, squares, parts, RATE / N_FEATURES)
+
+
+def _descend(w: np.ndarray, squares: np.ndarray, parts: list, rate: float) -> None:
+    g, n = np.zeros(w.shape, np.float32), np.zeros(len(w))
     for rows, sums, counts in parts:  # distinct within each part
         g[rows] += sums
         n[rows] += counts
     rows = np.flatnonzero(n)
     squares[rows] += n[rows]
-    w[rows] -= ((RATE / N_FEATURES) * g[rows] / np.sqrt(squares[rows] * n[rows] + 1)[:, None]).astype(np.float32)
+    w[rows] -= (rate * g[rows] / np.sqrt(squares[rows] * n[rows] + 1)[:, None]).astype(np.float32)
+
+
+def output_step(w: np.ndarray, prior: np.ndarray, squares: np.ndarray, h: Histories) -> None:
+    """The same for the outputs within the classes."""
+    p = np.exp(output_scores(w, prior, h))
+    p /= (p @ _ONES)[:, None]
+    p[np.arange(len(h.c)), h.output] -= 1
+    _descend(w, squares, [_row_sums(h.near, p), _row_sums(h.skip, p)], RATE / N_WITHIN)
 
 
 def encode_texts(texts: list, of_ending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,7 +289,8 @@ def count_words(train: DataFrame) -> DataFrame:
 def _summed(parts: DataFrame) -> list:
     """Rows (slice, seen, moved) summed by slice in Spark: a few rows of fixed size come back.
 
-    ``moved`` holds doubles; a task first adds up what reached it, so no task holds more than a slice's sum.
+    ``moved`` holds floats, doubles in the sums; a task first adds up what reached it, so no task holds more
+    than a slice's sum.
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,9 +299,9 @@ def _summed(parts: DataFrame) -> list:
             for k, n, raw in zip(*(b.column(i).to_pylist() for i in range(3))):
                 have = sums.setdefault(k, [0, 0.0])
                 have[0] += n
-                have[1] = have[1] + np.frombuffer(raw, np.float64)
+                have[1] = have[1] + np.frombuffer(raw, np.float32).astype(np.float64)
         for k, (n, total) in sums.items():
-            yield _part(k, n, total)
+            yield _part(k, n, total, np.float64)
 
     return parts.repartition("slice").mapInArrow(add, _PART).collect()
 
@@ -260,8 +309,8 @@ def _summed(parts: DataFrame) -> list:
 _PART = "slice int, seen long, moved binary"
 
 
-def _part(k: int, seen: int, moved: np.ndarray) -> pa.RecordBatch:
-    raw = np.ascontiguousarray(moved, np.float64).tobytes()
+def _part(k: int, seen: int, moved: np.ndarray, kind: type = np.float32) -> pa.RecordBatch:
+    raw = np.ascontiguousarray(moved, kind).tobytes()
     return pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([seen], pa.int64()), pa.array([raw], pa.binary())], ["slice", "seen", "moved"])
 
 
@@ -314,9 +363,9 @@ def cluster_endings(table: np.ndarray, dimensions: int = 12, rounds: int = 30) -
     return 1 + distance(centres).argmin(axis=1)
 
 
-def train_weights(train: DataFrame, prior: np.ndarray, of_ending: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
-    """The weight table after ``epochs`` passes over all training documents."""
-    weights = np.zeros((N_BUCKETS, N_CLASSES), np.float32)
+def train_weights(train: DataFrame, prior: np.ndarray, within: np.ndarray, of_ending: np.ndarray, epochs: int = EPOCHS, n_buckets: int = N_BUCKETS) -> np.ndarray:
+    """The weight tables of classes and of outputs, one below the other, after ``epochs`` passes over all training documents."""
+    weights = np.zeros((2 * n_buckets, N_CLASSES), np.float32)
     spark = train.sparkSession
     for _ in range(epochs):
         shipped = spark.sparkContext.broadcast(weights)
@@ -324,17 +373,20 @@ def train_weights(train: DataFrame, prior: np.ndarray, of_ending: np.ndarray, ep
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             start = shipped.value
             w, seen = start.copy(), 0
-            squares = np.ones(N_BUCKETS)
+            squares = np.ones(len(w))
+            classes, outs = slice(0, n_buckets), slice(n_buckets, None)
             for b in batches:
                 for group in _groups(b.column("text").to_pylist()):
                     coded, starts = encode_texts(group, of_ending)
-                    h = histories(coded, starts)
+                    h = histories(coded, starts, n_buckets)
                     for a in range(0, len(coded), BATCH):
-                        gradient_step(w, prior, squares, h.part(a, BATCH))
+                        now = h.part(a, BATCH)
+                        gradient_step(w[classes], prior, squares[classes], now)
+                        output_step(w[outs], within, squares[outs], now)
                     seen += len(coded)
             if seen:
                 moved = (w - start) * np.float64(seen)
-                for s in range(0, N_BUCKETS, SLICE):
+                for s in range(0, len(w), SLICE):
                     yield _part(s // SLICE, seen, moved[s : s + SLICE])
 
         weights = weights.copy()
@@ -345,37 +397,48 @@ def train_weights(train: DataFrame, prior: np.ndarray, of_ending: np.ndarray, ep
 
 @dataclass
 class Counts:
-    """Sums over the training tokens: of all, by class, and the distinct words."""
+    """Training tokens and distinct words: all, and by class and output."""
 
     n: int
     v: int
-    n_class: np.ndarray
-    v_class: np.ndarray
+    n_output: np.ndarray
+    v_output: np.ndarray
 
     def prior(self) -> np.ndarray:
         """Log shares of the classes among the training tokens, where the weights start from."""
-        return np.log((self.n_class + 1) / (self.n + N_CLASSES))
+        return np.log((self.n_output.sum(axis=1) + 1) / (self.n + N_CLASSES))
+
+    def within(self) -> np.ndarray:
+        """Log shares of the outputs within each class; the end token's class has one only."""
+        share = np.log((self.n_output + 1) / (self.n_output.sum(axis=1, keepdims=True) + N_OUTPUTS))
+        share[0] = np.append(0, np.full(N_OUTPUTS - 1, -40))
+        return share.astype(np.float32)
 
 
 def _class_table(counts: DataFrame, of_ending: np.ndarray) -> Counts:
+    size = N_CLASSES * N_OUTPUTS
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, v = np.zeros(N_CLASSES, np.int64), np.zeros(N_CLASSES, np.int64)
+        n, v = np.zeros(size, np.int64), np.zeros(size, np.int64)
         for b in batches:
             words = b.column("word").to_pylist()
-            k = np.zeros(len(words), np.int64)
-            k[[w != END for w in words]] = of_ending[word_codes([w for w in words if w != END])[1]]
-            n += np.bincount(k, b.column("c").to_numpy(), N_CLASSES).astype(np.int64)
-            v += np.bincount(k, minlength=N_CLASSES)
-        yield pa.RecordBatch.from_arrays([pa.array(range(N_CLASSES), pa.int32()), pa.array(n), pa.array(v)], ["k", "n", "v"])
+            k = np.zeros(len(words), np.int64)  # the end token: class and output 0
+            real = np.array([w != END for w in words], bool)
+            h, e, _ = word_codes([w for w in words if w != END])
+            k[real] = of_ending[e] * N_OUTPUTS + outputs(h)
+            n += np.bincount(k, b.column("c").to_numpy(), size).astype(np.int64)
+            v += np.bincount(k, minlength=size)
+        yield pa.RecordBatch.from_arrays([pa.array(range(size), pa.int32()), pa.array(n), pa.array(v)], ["k", "n", "v"])
 
     rows = counts.mapInArrow(run, "k int, n long, v long").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
-    n, v = np.zeros(N_CLASSES, np.int64), np.zeros(N_CLASSES, np.int64)
+    n, v = np.zeros(size, np.int64), np.zeros(size, np.int64)
     for r in rows:
         n[r.k], v[r.k] = r.n, r.v
-    return Counts(int(n.sum()), int(v.sum()), n, v)
+    shape = (N_CLASSES, N_OUTPUTS)
+    return Counts(int(n.sum()), int(v.sum()), n.reshape(shape), v.reshape(shape))
 
 
-def score_documents(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", epochs: int = EPOCHS) -> DataFrame:
+def score_documents(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text", epochs: int = EPOCHS, buckets: int | None = None) -> DataFrame:
     """Base and model log10 probabilities of every document; rows of ``held_out`` aren't learnt from."""
     spark = docs.sparkSession
     slim = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
@@ -385,29 +448,31 @@ def score_documents(docs: DataFrame, held_out: Column, key: str = "doc_id", text
     counts = materialize(count_words(train), "word-counts")
     of_ending = ending_classes(train)
     total = _class_table(counts, of_ending)
-    weights = train_weights(train, total.prior(), of_ending, epochs)
+    n_buckets = buckets or buckets_for(total.n)
+    weights = train_weights(train, total.prior(), total.within(), of_ending, epochs, n_buckets)
     # at most FREQUENT words can have this share of the tokens
     frequent = dict(counts.where(F.col("c") * FREQUENT >= max(total.n, 1)).select("word", "c").collect())
-    shipped = spark.sparkContext.broadcast((weights, total, {bytes(w): c for w, c in frequent.items()}))
+    shipped = spark.sparkContext.broadcast(((weights[:n_buckets], weights[n_buckets:]), total, {bytes(w): c for w, c in frequent.items()}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document, and one for each other distinct word in it."""
-        w, total, frequent = shipped.value
+        (w, within), total, frequent = shipped.value
         part, row = TaskContext.get().partitionId() << 40, 0
-        by_class = class_sums(w, total.prior())
-        log_class = np.log10(total.n_class + total.v_class + 1.0)
+        by_class, shares = class_sums(w, total.prior()), total.within()
+        log_output = np.log10(total.n_output + total.v_output + 1.0)
         logs = {x: float(np.log10(c + 1)) for x, c in frequent.items()}
         for b in batches:
             ids, held = b.column("doc_id"), b.column("held_out")
             at = 0
             for group in _groups(b.column("text").to_pylist()):
                 coded, starts = encode_texts(group, of_ending)
-                h, lp = histories(coded, starts), np.empty(len(coded))
+                h, lp = histories(coded, starts, n_buckets), np.empty(len(coded))
                 for a in range(0, len(coded), BATCH):
                     now = h.part(a, BATCH)
                     z = class_scores(w, by_class, now)
-                    lp[a : a + BATCH] = z[np.arange(len(now.c)), now.c] - np.log(np.exp(z) @ _ONES)
-                model = np.add.reduceat(lp / np.log(10) - log_class[h.c], starts)
+                    y, at_ = output_scores(within, shares, now), np.arange(len(now.c))
+                    lp[a : a + BATCH] = z[at_, now.c] + y[at_, now.output] - np.log((np.exp(z) @ _ONES) * (np.exp(y) @ _ONES))
+                model = np.add.reduceat(lp / np.log(10) - log_output[h.c, h.output], starts)
                 rid, n, known, known_log, rare_rid, rare_word, rare_n = [], [], [], [], [], [], []
                 for words in map(tokens, group):
                     r = part + row
