@@ -1,8 +1,8 @@
 """BPE encoding and decoding by tree concatenation.
 
 A text up to ``split_over`` characters is encoded in place.  A longer one is cut into leaves of
-``leaf`` characters that are encoded in parallel as rows of their own; the leaves' ids are then
-joined pairwise, level by level, into the ids of the whole text.  At each join the ids around the
+``leaf`` characters that are encoded in parallel as rows of their own (equal texts once); the leaves' ids
+are then joined pairwise, level by level, into the ids of the whole text.  At each join the ids around the
 cut are decoded and encoded anew, in a window that grows until it is bounded on both sides by
 places where the splitting pattern always splits (before a blank that follows a non-blank) and
 its first and last tokens are those that the sides already have.  Everything outside the window
@@ -122,24 +122,28 @@ def _digests(codec: Codec, ids: np.ndarray) -> tuple[int, str, str]:
 
 
 def encode_documents(
-    docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text", split_over: int = SPLIT_OVER, leaf: int = LEAF, with_ids: bool = False
+    docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text", split_over: int = SPLIT_OVER, leaf: int = LEAF, with_ids: bool = False, with_text: bool | None = None
 ) -> DataFrame:
     """One row a document: the number of ids and the digests of the ids and of the decoded text.
 
-    With ``with_ids`` the ids themselves follow as an array, and the decoded text.
+    With ``with_ids`` the ids themselves follow as an array, and (unless ``with_text`` is false) the decoded text.
     """
+    with_text = with_ids if with_text is None else with_text
     vocab = read_vocabulary(vocabulary_path)
     shipped = docs.sparkSession.sparkContext.broadcast(vocab)
     slim = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
-    out = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
+    out = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids + ", decoded string" * with_text
+    names = [c.split()[0] for c in out.split(", ")]
 
-    def rows(codec: Codec, keys: pa.Array, coded: list[np.ndarray]) -> pa.RecordBatch:
+    def rows(codec: Codec, keys: pa.Array, coded: list[np.ndarray], names: list[str] = names) -> pa.RecordBatch:
         n, a, b = zip(*(_digests(codec, ids) for ids in coded)) if coded else ((), (), ())
         columns = [keys, pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
         if with_ids:
-            columns += [pa.array([x.astype("<i4") for x in coded], pa.list_(pa.int32())), pa.array([codec.decode(x) for x in coded], pa.string())]
-        return pa.RecordBatch.from_arrays(columns, out.replace(",", " ").split()[::2][: len(columns)])
+            columns.append(pa.array([x.astype("<i4") for x in coded], pa.list_(pa.int32())))
+        if with_text:
+            columns.append(pa.array([codec.decode(x) for x in coded], pa.string()))
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def in_place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shipped.value)
@@ -160,18 +164,20 @@ def encode_documents(
         parts = []
         for _, section in pdf.sort_values(["section", "leaf"]).groupby("section", sort=True):
             parts.append(codec.tree([np.frombuffer(x, "<u4") for x in section["ids"]]))
-        return rows(codec, pa.array(pdf["doc_id"].iloc[:1], from_pandas=True), [np.concatenate(parts)]).to_pandas()
+        return rows(codec, pa.array(pdf["rid"].iloc[:1]), [np.concatenate(parts)], ["rid", *names[1:]]).to_pandas()
 
     size = F.char_length("text")
     short = slim.where(size <= split_over).mapInArrow(in_place, out)
-    names = "|".join(re.escape(s) for s, _ in sorted(vocab.specials, key=lambda x: -len(x[0]))) or "(?!)"
+    specials = "|".join(re.escape(s) for s, _ in sorted(vocab.specials, key=lambda x: -len(x[0]))) or "(?!)"
     # plain and special strings by turns, then leaves of the plain ones
-    parts = F.split("text", f"(?={names})|(?<={names})")
-    numbered = slim.where(size > split_over).withColumn("rid", F.monotonically_increasing_id())
-    sections = numbered.select("doc_id", "rid", F.posexplode(parts).alias("section", "plain"))
+    parts = F.split("text", f"(?={specials})|(?<={specials})")
+    # a long text is known by its digest, which a task that is run again gives again; equal texts are encoded once
+    keyed = slim.where(size > split_over).withColumn("rid", F.sha2("text", 256))
+    texts = keyed.groupBy("rid").agg(F.first("text").alias("text"))
+    sections = texts.select("rid", F.posexplode(parts).alias("section", "plain"))
     sections = sections.withColumn("special", F.col("plain").isin([s for s, _ in vocab.specials]))
     cut = F.when(F.col("special"), F.array("plain")).otherwise(F.regexp_extract_all("plain", F.lit(f"(?s).{{1,{leaf}}}"), F.lit(0)))
-    pieces = sections.select("doc_id", "rid", "section", "special", F.posexplode(cut).alias("leaf", "piece"))
-    coded = pieces.repartition("rid", "section", "leaf").mapInPandas(leaves, f"doc_id {kind}, rid long, section int, special boolean, leaf int, ids binary")
-    long = coded.groupBy("rid").applyInPandas(joined, out)
-    return short.unionByName(long)
+    pieces = sections.select("rid", "section", "special", F.posexplode(cut).alias("leaf", "piece"))
+    coded = pieces.repartition("rid", "section", "leaf").mapInPandas(leaves, "rid string, section int, special boolean, leaf int, ids binary")
+    encoded = coded.groupBy("rid").applyInPandas(joined, out.replace(f"doc_id {kind}", "rid string", 1))
+    return short.unionByName(keyed.select("doc_id", "rid").join(encoded, "rid").select(*names))
