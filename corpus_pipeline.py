@@ -35,10 +35,10 @@ def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids and the round trip of every document that is left, as digests."""
+    """Token ids of every document that is left, and the round trip as digests."""
     import public_tokenizers
 
-    return bpe_codec.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return bpe_codec.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True, with_text=False)
 
 
 STAGES = [
