@@ -58,3 +58,30 @@ def test_run_equals_plain_decisions(spark, tmp_path):
 
 def test_order_of_stages():
     assert [n for n, _ in pipeline.STAGES] == ["quality", "toxicity", "near_dup", "decontamination", "bpe"] and pipeline.ORACLE_SQL is None
+
+
+def test_odd_rows_and_empty_tables(spark, tmp_path):
+    """Null ids and texts, repeated rows, long texts, further columns with clashing names, and no rows at all."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, node string, label int, cell string"
+    texts = [good() for _ in range(40)]
+    rows = [(i, t, "en", "s", len(t), "x", 1, "y") for i, t in enumerate(texts)]
+    rows += [(None, good(), None, None, None, None, None, None), (None, None, None, None, None, None, None, None), (70, None, "en", "s", 0, "x", 1, "y"), (71, "", "en", "s", 0, "x", 1, "y")]
+    rows += [rows[3], rows[3], (72, " \n ", "en", "s", 3, "x", 1, "y"), (73, good(9000), "en", "s", 0, "x", 1, "y")]
+    labels = [(i, 1, 0) for i in range(40)]
+    for name, n in (("full", None), ("empty", 0)):
+        folder = tmp_path / name
+        spark.createDataFrame(rows[:n], schema).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame(labels[:n], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(1, good(30))][:n], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        for stage, f in pipeline.STAGES[:-1]:
+            docs = f(spark, docs, str(folder))
+            assert docs.columns == [c.split()[0] for c in schema.split(", ")], stage
+        got = pipeline.run(spark, str(folder)).collect()
+        if n == 0:
+            assert got == []
+            continue
+        ids = [r.doc_id for r in got]
+        assert ids.count(3) == 1 and set(range(40)) <= set(ids) and {70, 71, 72, 73} <= set(ids) and ids.count(None) == 2
+        for r in got:
+            assert len(r.ids) == r.n_tokens and (r.n_tokens > 0) == (r.doc_id not in (70, 71) and (r.doc_id is not None or r.n_tokens > 0))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_parts
+from .common import discard, small_parts
 from .labelled import labelled_sample, within
 
 MAX_SAMPLE = 4_000
@@ -294,8 +294,8 @@ def fit_chain(x: np.ndarray, n_lines: np.ndarray, labels: np.ndarray, weight: np
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, key: str = "doc_id", text: str = "text", most: int = MAX_SAMPLE) -> ChainModel:
     """A model from a bounded sample of the labelled documents (those that ``allowed`` admits)."""
-    sample = labelled_sample(docs, labels, "quality", most, allowed, key, text)
-    sample = within(sample, F.regexp_count("text", F.lit("\n")) + 1, MAX_LINES)
+    drawn = labelled_sample(docs, labels, "quality", most, allowed, key, text)
+    sample = within(drawn, F.regexp_count("text", F.lit("\n")) + 1, MAX_LINES)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_parts(batches):
@@ -306,6 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, key:
                 yield pa.RecordBatch.from_arrays(columns, ["label", "n_lines", "steps", "sizes"])
 
     rows = sample.mapInArrow(measured, "label int, n_lines long, steps binary, sizes binary").collect()  # at most MAX_LINES lines
+    discard(drawn)
     y = np.array([min(max(r.label, 0), 1) for r in rows])
     if len(set(y.tolist())) < 2:
         return ChainModel(np.zeros(N_FEATURES, np.float32), np.zeros((2, 2)), float(y.mean()) if len(y) else 0.5)

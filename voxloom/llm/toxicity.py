@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_parts
+from .common import discard, materialize, small_parts
 from .labelled import labelled_sample, within
 
 MAX_SAMPLE = 20_000
@@ -70,7 +70,7 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-np.clip(eta[:, None] - np.array(self.thresholds), -35, 35)))
 
 
-def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, l2: float = 1e-3, steps: int = 300, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, l2: float = 4e-4, steps: int = 300, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by full-batch Adam on the ordinal likelihood.
 
     Thresholds are kept in order by fitting the first and the logarithms of the steps between.
@@ -151,8 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     kind = sample.schema["doc_id"].dataType.simpleString()
     featured = materialize(sample.select("doc_id", "label", "text").mapInArrow(featurize, f"doc_id {kind}, label int, features array<int>"), "features")
-    featured = within(featured, F.size("features").cast("long"), MAX_CELLS)
-    fitted = featured.orderBy("doc_id").select("label", "features", F.pmod(F.xxhash64("doc_id"), FOLDS).alias("fold")).collect()  # bounded by the sample and MAX_CELLS
+    fitted = within(featured, F.size("features").cast("long"), MAX_CELLS).orderBy("doc_id").select("label", "features", F.pmod(F.xxhash64("doc_id"), FOLDS).alias("fold")).collect()  # bounded by the sample and MAX_CELLS
+    discard(featured), discard(sample)
     rows = [list(r.features) for r in fitted]
     grades = latent_grades(rows, np.array([int(r.label > 0) for r in fitted]), np.array([r.fold for r in fitted]), len(number))
     w, t = fit_ordinal(rows, grades, len(number))
