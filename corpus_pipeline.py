@@ -2,6 +2,16 @@
 
 Each stage is called with the documents that its predecessor kept, written as Parquet and read again.
 All but the last return the columns of ``documents``.
+
+Defined cases, at every stage: a null or empty text is a document of its own (one empty line of the
+quality classifier, no toxic word, no shingle, no passage, no token) and is kept where the classifier keeps it; a null id
+never matches a label and its row is judged by its text; repeated rows are judged alike, and the near-duplicate stage
+keeps one of them, except of those without words, which are alone; an empty table stays empty, and
+without labels of both kinds a classifier judges all documents by the share of its sample; a text of any length is read
+whole; further columns pass through to the last stage, whatever their names.
+
+Intermediate results lie below ``spark.checkpoint.dir``; ``voxloom.scratch.clear`` deletes them once
+the result is written.
 """
 
 from __future__ import annotations
@@ -9,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from voxloom.llm import bpe_codec, decontamination, near_dup, quality, toxicity
-from voxloom.llm.common import documents, materialize, table
+from voxloom.llm.common import discard, documents, materialize, table
 from voxloom.llm.labelled import remainder
 
 
@@ -56,5 +66,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        discard(before)  # the tables themselves were never written here and stay
     return STAGES[-1][1](spark, docs, sf_dir)
