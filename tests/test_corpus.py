@@ -350,3 +350,13 @@ def test_split_method_is_checked_first(spark, monkeypatch):
             manifest.check_split(n, cfg)
     rows = spark.createDataFrame([(str(i),) for i in range(40)], "call_id string")
     assert manifest.test_calls(rows, digest).count() == 2
+
+
+def test_manifest_for_audio_loaders_and_short_clips(spark):
+    from voxloom.functions import gates
+
+    m = spark.createDataFrame([("a.wav", "x")], "audio_path string, text string")
+    assert writers.for_audio_training(m).columns == ["audio", "text"]
+    rows = spark.createDataFrame([(0.0, 0.9, None), (0.0, 5.0, 0.99), (0.0, 0.5, 1.0), (2.0, 3.0, None)], "start double, end double, clip_duration double")
+    kept = rows.where(~(gates.effective_duration() < CFG.chunk.min_s))
+    assert sorted((r.end, r.clip_duration) for r in kept.collect()) == [(0.5, 1.0), (3.0, None)]
