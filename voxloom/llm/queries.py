@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontamination, language_model, licenses, near_dup, quality, sharding, syncmers, token_counts, toxicity
+from . import bpe_codec, collocations, decontamination, divergence, language_model, licenses, near_dup, quality, repeats, sharding, syncmers, token_counts, toxicity
 from .common import documents, table
 from .labelled import remainder
 
@@ -62,6 +62,18 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(documents(spark, sf_dir), remainder("doc_id", 7) == 2)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir)).drop("kept_text")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -74,6 +86,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_licenses": op8_licenses,
         "op9_bpe_codec": op9_bpe_codec,
         "op10_language_model": op10_language_model,
+        "op11_collocations": op11_collocations,
+        "op12_substring_dedup": op12_substring_dedup,
+        "op13_divergence": op13_divergence,
     }
 
 
@@ -83,4 +98,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_sharding": oracles.SHARDING,
         "op6_near_dup": oracles.NEAR_DUP,
+        "op11_collocations": oracles.COLLOCATIONS,
+        "op12_substring_dedup": oracles.REPEATS,
+        "op13_divergence": oracles.DIVERGENCE,
     }
