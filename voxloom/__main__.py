@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from dataclasses import replace
 from importlib import import_module
 
@@ -18,6 +19,12 @@ from .sources.audio import read_clips
 from .sources.manifests import default_roots
 
 
+def _named(place: str) -> Callable:
+    """What stands at module:function."""
+    module, _, name = place.partition(":")
+    return getattr(import_module(module), name)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="voxloom", description=__doc__)
     sub = p.add_subparsers(dest="what", required=True)
@@ -25,6 +32,8 @@ def main(argv: list[str] | None = None) -> None:
     for name in ("--corpus", "--out"):
         build.add_argument(name, required=True)
     build.add_argument("--gold")
+    for name, of in (("--vad", "speech detector"), ("--scorer", "scorer of texts against clips"), ("--transcriber", "second transcriber")):
+        build.add_argument(name, help=f"module:function that makes the {of}")
     al = sub.add_parser("align", help="corpus folder to manifests by word alignment")
     for name in ("--corpus", "--out", "--aligner"):
         al.add_argument(name, required=True, help="module:function that makes the word aligner" if name == "--aligner" else None)
@@ -52,11 +61,10 @@ def main(argv: list[str] | None = None) -> None:
     if a.what == "build":
         cfg = load_settings(a.config)
         cfg = replace(cfg, align=replace(cfg.align, enabled=cfg.align.enabled and not a.no_align), second_asr=replace(cfg.second_asr, enabled=cfg.second_asr.enabled and not a.no_second_asr))
-        turn_path.run(spark, a.corpus, a.out, cfg, gold=a.gold).show(truncate=False)
+        named = {k: _named(v) for k, v in (("vad", a.vad), ("scorer", a.scorer), ("transcriber", a.transcriber)) if v}
+        turn_path.run(spark, a.corpus, a.out, cfg, Plugins(**named), a.gold).show(truncate=False)
     elif a.what == "align":
-        module, _, name = a.aligner.partition(":")
-        plugins = Plugins(word_aligner=getattr(import_module(module), name))
-        aligned_path.run(spark, a.corpus, a.out, plugins, load_settings(a.config), a.gold, a.limit, a.keep_prep).show(truncate=False)
+        aligned_path.run(spark, a.corpus, a.out, Plugins(word_aligner=_named(a.aligner)), load_settings(a.config), a.gold, a.limit, a.keep_prep).show(truncate=False)
     elif a.what == "table":
         clips = read_clips(spark, a.clips)
         splits = tuple(s.strip() for s in a.splits.split(",") if s.strip())

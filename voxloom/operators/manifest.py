@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.gates import effective_duration
@@ -12,7 +12,7 @@ from ..settings import Settings
 from .ranking import global_rank
 
 
-def cap_overlap(chunks: DataFrame, cfg: Settings, order: list[str]) -> DataFrame:
+def cap_overlap(chunks: DataFrame, cfg: Settings, order: list[str | Column]) -> DataFrame:
     """Clean chunks, and of those with overlap the most confident up to a share of all (``order`` breaks ties).
 
     The cap grows with the corpus, so the k best come from ranks over key ranges rather than from a
@@ -25,7 +25,7 @@ def cap_overlap(chunks: DataFrame, cfg: Settings, order: list[str]) -> DataFrame
     cap = int(cfg.overlap.max_fraction_of_dataset * total)
     if crossed <= cap:
         return chunks
-    keys = [F.coalesce("confidence", F.lit(0.0)).desc(), *(F.col(c).asc() for c in order)]
+    keys = [F.coalesce("confidence", F.lit(0.0)).desc(), *((F.col(c) if isinstance(c, str) else c).asc() for c in order)]
     best = global_rank(chunks.where("has_overlap"), keys, "overlap_rank")
     return clean.unionByName(best.where(F.col("overlap_rank") < cap).drop("overlap_rank"))
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import ctc
+
 
 def frame_energy(signals: DataFrame, samples: str, frame: int, keys: list[str]) -> DataFrame:
     """(keys, frame_idx, energy): sums of squares of whole frames; a ragged tail is ignored."""
@@ -80,3 +84,24 @@ def assign_channels(energy: DataFrame) -> DataFrame:
 def with_channel(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     """Rows with their speaker's channel, 0 where the mapping has none."""
     return rows.join(mapping, ["call_id", "speaker"], "left").withColumn("channel", F.coalesce("channel", F.lit(0)))
+
+
+def ctc_path(emissions: Column, outputs: Column, n_outputs: int, blank: int = 0) -> Column:
+    """(score, first, end): the best path of a row of outputs through emissions (frames of ``n_outputs`` log
+    probabilities one after another) and the frames of each output; null where the frames can't hold them.
+    """
+
+    @F.pandas_udf("score double, first array<int>, end array<int>")
+    def run(matrices: pd.Series, rows: pd.Series) -> pd.DataFrame:
+        found = []
+        for flat, row in zip(matrices, rows):
+            try:
+                trellis = ctc.Trellis(np.asarray(flat, float).reshape(-1, n_outputs), list(row), blank)
+                path, score = ctc.best_path(trellis)
+                place = ctc.spans(path, len(row))
+                found.append((score, place[:, 0].tolist(), place[:, 1].tolist()))
+            except (TypeError, ValueError):
+                found.append((None, None, None))
+        return pd.DataFrame(found, columns=["score", "first", "end"])
+
+    return run(emissions, outputs)

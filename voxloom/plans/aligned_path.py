@@ -59,7 +59,7 @@ def run(spark: SparkSession, root: str, out: str, plugins: Plugins, cfg: Setting
     n_calls = corpus.calls.count()
     manifest.check_split(n_calls, cfg)
     corpus.segments = materialize(corpus.segments, "turns")
-    heard = materialize(turn_path.listen(corpus, cfg, plugins, decoder), "heard")
+    heard = materialize(turn_path.listen(corpus, cfg, None, decoder), "heard")
     texts = speaker_texts(corpus, heard.where("error is null"))
     if keep_prepared:
         prepared(texts, corpus, cfg, f"{out}/prep", decoder).write.mode("overwrite").parquet(f"{out}/prepared")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .queries import FRAME, LOUD
-from .views import HOUR, TWINS
+from .views import FOLDERS, HOUR, TWINS
 
 H = f"{HOUR}::DOUBLE"
 
@@ -270,13 +270,30 @@ SELECT (SELECT count(*) FROM documents) AS calls, (SELECT count(*) FROM document
 SELECT concat_ws('_', call_id, speaker, group_idx) || chr(9) || (CASE WHEN has_overlap THEN 'review' ELSE '?' END) || '(' || printf('%.2f', CASE WHEN overlap_fraction > 0 THEN 1 - overlap_fraction / 2 ELSE 0::DOUBLE END) || ')' || chr(9) || text AS value
 FROM talk WHERE group_idx % 2 = 0""",
     "q42_safe_id": r"SELECT page_id, substr(regexp_replace(url, '[^\p{L}\p{N}]', '_', 'g'), 1, 80) AS safe_id, replace(substr(html, 1, 45), chr(10), ' ') AS preview FROM pages",
-    "q43_limit_calls": "SELECT url AS json_path, min(page_id) AS page_id FROM pages GROUP BY url ORDER BY url LIMIT 25",
+    "q43_limit_calls": f"""WITH p AS (SELECT {list(FOLDERS)}[page_id % {len(FOLDERS)} + 1] || '/' || url AS json_path, page_id FROM pages)
+SELECT json_path, min(page_id) AS page_id FROM p GROUP BY json_path ORDER BY string_split(json_path, '/') LIMIT 25""",
     "q44_ref_text": f"""WITH {TALK} SELECT call_id, speaker, trim(string_agg(text, ' ' ORDER BY "start", seg_idx)) AS ref_text FROM seg WHERE text <> '' AND speaker <> '' GROUP BY ALL""",
     "q45_edge_words": f"""WITH {WORDS}, b AS (SELECT call_id, min(word_idx) FILTER (score >= 0.65::DOUBLE) AS lo, max(word_idx) FILTER (score >= 0.65::DOUBLE) AS hi FROM words GROUP BY ALL)
 SELECT call_id, count(*) FILTER (word_idx BETWEEN lo AND hi) AS n_kept, any_value(lo)::INT AS first_idx, any_value(hi)::INT AS last_idx FROM words JOIN b USING (call_id) GROUP BY ALL""",
     "q46_resolve_path": f"WITH {MANIFEST} SELECT DISTINCT audio_path, resolved FROM resolved WHERE audio_path IS NOT NULL",
 }
 
+#: The best path by recursion over frames: each row carries the score and the states so far of all seven states.
+_SAME["q47_ctc_align"] = """WITH RECURSIVE em AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e, [0, label % 3 + 1, 0, (label // 3) % 3 + 1, 0, label % 2 + 1, 0] AS own FROM embeddings),
+st AS (
+  SELECT vec_id, 0 AS t, e, own, list_transform(range(1, 8), lambda s: {'v': CASE WHEN s <= 2 THEN e[own[s] + 1] ELSE '-infinity'::DOUBLE END, 'p': [s]}) AS c FROM em
+  UNION ALL
+  SELECT vec_id, t + 1, e, own, list_transform(range(1, 8), lambda s: {
+      'v': greatest(c[s].v, CASE WHEN s > 1 THEN c[s - 1].v ELSE '-infinity'::DOUBLE END, CASE WHEN s > 2 AND s % 2 = 0 AND own[s] <> own[s - 2] THEN c[s - 2].v ELSE '-infinity'::DOUBLE END) + e[4 * (t + 1) + own[s] + 1],
+      'p': list_append(CASE
+          WHEN s = 1 OR c[s].v >= greatest(c[s - 1].v, CASE WHEN s > 2 AND s % 2 = 0 AND own[s] <> own[s - 2] THEN c[s - 2].v ELSE '-infinity'::DOUBLE END) THEN c[s].p
+          WHEN s = 2 OR s % 2 = 1 OR own[s] = own[s - 2] OR c[s - 1].v >= c[s - 2].v THEN c[s - 1].p ELSE c[s - 2].p END, s)})
+  FROM st WHERE t < 15),
+best AS (SELECT vec_id, CASE WHEN c[7].v >= c[6].v THEN c[7] ELSE c[6] END AS b FROM st WHERE t = 15)
+SELECT vec_id, b.v AS score, array_to_string([list_position(b.p, s) - 1 FOR s IN [2, 4, 6]], ',') AS "first",
+       array_to_string([16 - list_position(list_reverse(b.p), s) + 1 FOR s IN [2, 4, 6]], ',') AS "end" FROM best"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SAME)

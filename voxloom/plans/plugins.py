@@ -1,7 +1,8 @@
 """Acoustic models as plugins; each is loaded once in every Python worker that runs it.
 
 A plugin is a function without arguments that returns the model: a callable on single clips.
-None of the models is part of this repository; without a plugin its column is null.
+None of the acoustic models is part of this repository; without a plugin its column is null.  What follows from a
+model's emissions is: ``ctc_aligner`` and ``ctc_scorer`` make an aligner and a scorer of it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions import ctc
 from ..functions.audio import speech_regions
 
 
@@ -40,6 +42,40 @@ class WordAligner(Protocol):
         """Words with start, end and score; a missing score counts as 1."""
 
 
+class Acoustic(Protocol):
+    """A model with outputs for letters; output ``blank`` (0 if it has no such attribute) is none of them."""
+
+    vocabulary: dict[str, int]
+
+    def __call__(self, x: np.ndarray, rate: int) -> tuple[np.ndarray, float]:
+        """(log probabilities, frames x outputs; seconds of a frame)."""
+
+
+def ctc_aligner(acoustic: Callable[[], Acoustic], star: bool = True) -> Callable[[], WordAligner]:
+    """A word aligner from emissions: the best path through the text's letters."""
+
+    def load() -> WordAligner:
+        model = acoustic()
+
+        def align(x: np.ndarray, rate: int, text: str) -> list[tuple[str, float, float, float | None]]:
+            emissions, stride = model(x, rate)
+            return ctc.align_words(emissions, stride, text, model.vocabulary, getattr(model, "blank", 0), star)
+
+        return align
+
+    return load
+
+
+def ctc_scorer(acoustic: Callable[[], Acoustic]) -> Callable[[], Scorer]:
+    """A scorer from emissions: the mean posterior of the words over all paths through the text's letters."""
+
+    def load() -> Scorer:
+        model = acoustic()
+        return lambda text, x, rate: ctc.mean_word_posterior(model(x, rate)[0], text, model.vocabulary, getattr(model, "blank", 0))
+
+    return load
+
+
 @dataclass(frozen=True)
 class Plugins:
     vad: Callable[[], Vad] = lambda: speech_regions
@@ -52,9 +88,12 @@ def detector(plugin: Callable[[], Vad]) -> Vad:
     """The speech detector; where it can't be loaded or fails on a signal, the energy threshold stands in."""
     model = _guarded(plugin)
 
+    def rows(x: np.ndarray, rate: int) -> np.ndarray:
+        return np.asarray(model(x, rate), float).reshape(-1, 2)
+
     def regions(x: np.ndarray, rate: int) -> np.ndarray:
-        found = _guarded(model, x, rate) if model is not None else None
-        return speech_regions(x, rate) if found is None else np.asarray(found, float).reshape(-1, 2)
+        found = _guarded(rows, x, rate) if model is not None else None
+        return speech_regions(x, rate) if found is None else found
 
     return regions
 

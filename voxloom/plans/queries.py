@@ -406,7 +406,8 @@ def q42_safe_id(spark, sf_dir):
 
 @query
 def q43_limit_calls(spark, sf_dir):
-    pairs = table(spark, sf_dir, "pages").select(F.col("url").alias("json_path"), "page_id")
+    folder = F.element_at(F.array(*map(F.lit, views.FOLDERS)), (F.col("page_id") % len(views.FOLDERS) + 1).cast("int"))
+    pairs = table(spark, sf_dir, "pages").select(F.concat(folder, F.lit("/"), "url").alias("json_path"), "page_id")
     return calls.first_calls(pairs.groupBy("json_path").agg(F.min("page_id").alias("page_id")), 25)
 
 
@@ -442,3 +443,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _found["q00_outcomes"] = flagship
+
+
+@query
+def q47_ctc_align(spark, sf_dir):
+    """Vectors as emissions of 16 frames and 4 outputs, with a row of three outputs from the label."""
+    rows = table(spark, sf_dir, "embeddings")
+    digits = F.array(F.col("label") % 3 + 1, F.expr("label div 3") % 3 + 1, F.col("label") % 2 + 1)
+    path = signal.ctc_path(F.col("embedding"), digits.cast("array<int>"), 4)
+    return rows.withColumn("path", path).select("vec_id", "path.score", _ids("path.first").alias("first"), _ids("path.end").alias("end"))

@@ -89,9 +89,9 @@ def at_recordings(rows: DataFrame, corpus: Corpus, n_spans: int | None = None) -
     return corpus.recordings.join(F.broadcast(spans) if n_spans is not None and n_spans <= MAX_BROADCAST_SPANS else spans, "wav_path")
 
 
-def _listen(cfg: Settings, plugins: Plugins, decoder: Decoder):
+def _listen(cfg: Settings, plugins: Plugins | None, decoder: Decoder):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vad = detector(plugins.vad)
+        vad = detector(plugins.vad) if plugins else lambda c, rate: ()
         for b in batches:
             for call_id, content, segs in zip(b["call_id"], b["content"], b["segs"]):
                 try:
@@ -113,8 +113,8 @@ def _listen(cfg: Settings, plugins: Plugins, decoder: Decoder):
     return run
 
 
-def listen(corpus: Corpus, cfg: Settings, plugins: Plugins, decoder: Decoder = audio.decode_wav) -> DataFrame:
-    """(call_id, mapping, regions by channel, error) of every call with usable turns."""
+def listen(corpus: Corpus, cfg: Settings, plugins: Plugins | None, decoder: Decoder = audio.decode_wav) -> DataFrame:
+    """(call_id, mapping, regions by channel, error) of every call with usable turns; without plugins no speech is looked for."""
     good = corpus.segments.where("not bad_call").groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("seg_idx", "speaker", "start", "end"))).alias("segs"))
     rows = at_recordings(good, corpus, corpus.segments.count()).select("call_id", "content", "segs")
     kind = "call_id string, mapping array<struct<speaker:string,channel:int>>, regions array<array<struct<s:double,e:double>>>, error string"
@@ -237,7 +237,7 @@ def run(spark: SparkSession, root: str, out: str, cfg: Settings = Settings(), pl
     writers.clip_table(kept, cfg.audio.target_sr).write.mode("overwrite").parquet(f"{out}/recordings")
     score(judged, cfg, plugins, f"{out}/audio").drop("samples").write.mode("overwrite").parquet(f"{out}/scored")
     scored = spark.read.parquet(f"{out}/scored")
-    capped = manifest.cap_overlap(scored, cfg, ["call_id", "pair", "chunk_idx"])
+    capped = manifest.cap_overlap(scored, cfg, [calls.path_order("pair"), "chunk_idx"])  # equal confidences go in order of the pairs
     records = manifest.split_by_call(manifest.to_records(capped), manifest.test_calls(capped, cfg))
     write_corpus(records, spark.read.json(gold) if gold else None, cfg, out)
     skipped = skipped_calls(corpus, heard)

@@ -13,6 +13,9 @@ HOUR = 3_600_000_000.0
 #: What is added to a document's id for its twin.
 TWINS = 1_000_000_000_000
 
+#: Folders whose names order otherwise as text than as parts of a path.
+FOLDERS = ("/c/a-b", "/c/a", "/c/a.b", "/c")
+
 #: Turn limits that suit conversations (roles alternate) and event times in microseconds.
 TALK = replace(Settings(), chunk=Chunking(max_s=60.0, target_mean_s=30.0, merge_gap_max_s=10.0))
 EVENTS = replace(Settings(), chunk=Chunking(max_s=36 * HOUR, target_mean_s=18 * HOUR, merge_gap_max_s=6 * HOUR, split_silence_s=5 * HOUR))

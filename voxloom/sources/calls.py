@@ -33,9 +33,14 @@ def pair_files(paths: DataFrame) -> DataFrame:
     )
 
 
+def path_order(path: str) -> Column:
+    """What paths are ordered by: their parts one after another, so that folder ``a`` comes before ``a-b``."""
+    return F.split(path, "/")
+
+
 def first_calls(pairs: DataFrame, n: int) -> DataFrame:
     """The first n pairs by path; 0 means all."""
-    return pairs.orderBy("json_path").limit(n) if n else pairs
+    return pairs.orderBy(path_order("json_path")).limit(n) if n else pairs
 
 
 def read_json_documents(spark: SparkSession, paths: list[str] | str) -> DataFrame:
@@ -61,10 +66,14 @@ def truthy(c: Column, path: str) -> Column:
     )
 
 
+_TRANSCRIPTS = ("$.analysis.transcript", "$.raw_response.transcript", "$.transcript")
+
+
 def transcript(call: Column) -> Column:
-    """Turns as variants from the first place that holds any."""
-    places = [_get(call, p, "array<variant>") for p in ("$.analysis.transcript", "$.raw_response.transcript", "$.transcript")]
-    return F.coalesce(*(F.when(F.size(p) > 0, p) for p in places), F.array().cast("array<variant>"))
+    """Turns as variants from the first place that holds anything; where that is no list, one turn that can't be read."""
+    unreadable = F.array(F.parse_json(F.lit("null")))
+    places = [F.when(truthy(call, p), F.coalesce(_get(call, p, "array<variant>"), unreadable)) for p in _TRANSCRIPTS]
+    return F.coalesce(*places, F.array().cast("array<variant>"))
 
 
 def call_id(call: Column, fallback: Column) -> Column:
