@@ -11,7 +11,7 @@
    of a longer phrase is one of everything inside it, so if any longer candidate is as frequent, one of these is.
    A window ranks what is left, with only the best ``top`` of each task moving.
 
-Counts are summed within groups of texts before they move, so that a word with a third of all occurrences is a
+Counts are summed within tasks before they move, so that a word with a third of all occurrences is a
 few rows.
 
 Defined cases: a null text is empty; a null language is ``und``, together with one of that name; pieces without
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .bits import Bits, bits_of
 from .common import discard, materialize
 from .syncmers import mix
-from .words import BASE, coded, groups, word_hashes
+from .words import BASE, coded, groups, summed, word_hashes
 
 MOST_WORDS = 5
 LEAST = 100
@@ -110,7 +110,7 @@ def _count_words(docs: DataFrame) -> DataFrame:
                 columns = [pa.concat_arrays([words, pa.nulls(1, pa.string())]), pa.array(np.append(mix(code[at]).view(np.int64), 0)), pa.array(np.append(n[at], n.sum()))]
                 yield pa.RecordBatch.from_arrays([pa.array([p.lang] * len(columns[0]), pa.string()), *columns], ["lang", "word", "code", "n"])
 
-    found = docs.mapInArrow(run, "lang string, word string, code long, n long")
+    found = docs.mapInArrow(lambda batches: summed(run(batches), "n"), "lang string, word string, code long, n long")
     return found.groupBy("lang", "word").agg(F.first("code").alias("code"), F.sum("n").alias("n"))
 
 
@@ -140,7 +140,7 @@ def _count_hashes(docs: DataFrame, known: list[Bits]) -> DataFrame:
 
 
 def _explode(docs: DataFrame, known: list[Bits], most_words: int) -> DataFrame:
-    """(lang, phrase, size, n) of all phrases that may be frequent, summed over groups of texts by their very words."""
+    """(lang, phrase, size, n) of all phrases that may be frequent, summed over the texts of a task by their very words."""
     shipped = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +158,7 @@ def _explode(docs: DataFrame, known: list[Bits], most_words: int) -> DataFrame:
                 columns = [pa.array([p.lang] * len(n), pa.string()), phrase, pa.array(np.full(len(n), size, np.int32)), pa.array(n)]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "n"])
 
-    found = docs.mapInArrow(run, "lang string, phrase string, size int, n long")
+    found = docs.mapInArrow(lambda batches: summed(run(batches), "n"), "lang string, phrase string, size int, n long")
     return found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
 

@@ -18,8 +18,8 @@ links, not with pairs.
 
 Defined cases: a null text, or one without words, has no shingles and is alone; fewer than five
 words are one shingle; repeated rows count as documents of their own with one id; a null id takes
-part but never names a component that has other ids; an empty table gives no rows; other
-columns are not read (the filter passes them through).  The filter decides by row instead of by id:
+part but never names a component that has other ids; texts are read whole, however long, their words in
+slices; an empty table gives no rows; other columns are not read (the filter passes them through).  The filter decides by row instead of by id:
 of rows repeated under one id or without one it keeps one, and a row never goes for its namesake.
 """
 
@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bits import bits_of
 from .common import discard, materialize, small_parts
 from .components import components
 from .sketches import SIZE, WordHashes, band_keys, digest, shingles, sketch
@@ -45,6 +46,8 @@ MISS = 3e-7
 BLOCK = 256
 #: Members of a bucket whose sets meet the hub's in one stream; a larger bucket has several.
 STREAM = 256
+#: Rows whose sets a task remembers to have given.
+MET = 200_000
 
 
 def least_agreement(threshold: int = THRESHOLD) -> int:
@@ -95,24 +98,33 @@ def sketch_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", t
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     """(node, items) for the wanted (node, row): the full sets, from the text of one document each.
 
-    A document is met by id and hash of its text, as many may share either.
+    Documents are met where they are read, by a set of bits of the wanted (id, hash of the text): no text
+    is shuffled, and few sets but the wanted ones.  Rows of one id and one text give their set once a task.
     """
-    texts = docs.select(F.struct(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash")).alias("own"), F.col(text).alias("text"))
-    same = (texts["own.text_hash"] == wanted["row.text_hash"]) & texts["own.doc_id"].eqNullSafe(wanted["row.doc_id"])
-    hit = texts.join(wanted, same).select("node", "text")
+    codes = materialize(wanted.select(F.xxhash64("row.doc_id", "row.text_hash").alias("code")), "wanted")
+    shipped = docs.sparkSession.sparkContext.broadcast(bits_of(codes, "code"))
+    discard(codes)
+    texts = docs.select(F.xxhash64(F.col(key), F.xxhash64(F.col(text))).alias("code"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
+        memo, met = WordHashes(), set()
         for b in small_parts(batches):
+            code = b.column("code").to_numpy()
             nodes, items = [], []
-            for node, t in zip(b.column("node").to_pylist(), b.column("text").to_pylist()):
-                found = shingles(t, memo)
-                if len(found) and digest(found) == node:
-                    nodes.append(node)
+            for i in np.flatnonzero(shipped.value.has(code.view(np.uint64))).tolist():
+                if code[i] in met:
+                    continue
+                if len(met) >= MET:
+                    met.clear()
+                met.add(code[i])
+                found = shingles(b.column("text")[i].as_py(), memo)
+                if len(found):
+                    nodes.append(digest(found))
                     items.append(found.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(items, pa.binary())], ["node", "items"])
 
-    return hit.mapInArrow(run, "node binary, items binary").groupBy("node").agg(F.first("items").alias("items"))
+    found = texts.mapInArrow(run, "node binary, items binary")
+    return found.groupBy("node").agg(F.first("items").alias("items"))
 
 
 def _verified(stars: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import xxhash
 
 from .syncmers import mix
+from .words import slices
 
 WORDS = 5
 #: Coordinates of a sketch, cut into ``BANDS`` bands of ``ROWS``.
@@ -36,10 +37,13 @@ def shingles(text: str | None, memo: WordHashes) -> np.ndarray:
     Words are cut at ASCII white space and A-Z count as a-z; with fewer than five words the whole
     sequence is one shingle, and without any there is none.
     """
-    words = text.encode("utf-8").lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    w = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+    hashed = [np.zeros(0, np.uint64)]
+    for part in slices(text.encode("utf-8").lower()) if text else ():
+        words = part.split()
+        hashed.append(np.fromiter(map(memo.__getitem__, words), np.uint64, len(words)))
+    w = np.concatenate(hashed)
+    if not len(w):
+        return w
     n = max(1, len(w) - WORDS + 1)
     h = np.full(n, min(len(w), WORDS), dtype=np.uint64)
     for j in range(min(len(w), WORDS)):

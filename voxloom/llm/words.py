@@ -16,6 +16,9 @@ GROUP = 1 << 23
 #: Bytes that are cut into Python words at once.
 SLICE = 1 << 21
 
+#: Rows of counts that a task holds before it hands them on.
+HELD = 1 << 20
+
 BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -32,7 +35,7 @@ def groups(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = GR
             at = end
 
 
-def _slices(raw: bytes) -> Iterator[bytes]:
+def slices(raw: bytes) -> Iterator[bytes]:
     """The bytes cut at blanks into parts of about ``SLICE``; the blanks at the cuts are left out."""
     at = 0
     while len(raw) - at > SLICE:
@@ -49,7 +52,7 @@ def coded(raws: list[bytes], split: Callable[[bytes], list[bytes]] = bytes.split
     arrays, pending, sizes = [], [], []
     for raw in raws:
         n = 0
-        for part in _slices(raw):
+        for part in slices(raw):
             found = split(part)
             n += len(found)
             pending += found
@@ -62,6 +65,29 @@ def coded(raws: list[bytes], split: Callable[[bytes], list[bytes]] = bytes.split
     return d.dictionary, d.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.array(sizes, np.int64)
 
 
+def summed(batches: Iterator[pa.RecordBatch], count: str, most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """Rows alike but for ``count`` become one with its sum, over as many batches as a task may hold rows of."""
+    held, n = [], 0
+
+    def merged() -> pa.Table:
+        table = pa.Table.from_batches(held)
+        sums = table.group_by([c for c in table.column_names if c != count]).aggregate([(count, "sum")])
+        return sums.rename_columns([count if c == f"{count}_sum" else c for c in sums.column_names]).select(table.column_names)
+
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n > most:
+            table = merged()
+            if 2 * table.num_rows > most:
+                yield from table.to_batches(max_chunksize=most // 8)
+                held, n = [], 0
+            else:
+                held, n = table.combine_chunks().to_batches(), table.num_rows
+    if held:
+        yield from merged().to_batches(max_chunksize=most // 8)
+
+
 def word_hashes(dictionary: pa.Array, seed: str = "") -> np.ndarray:
     """64-bit hashes of the words, never 0, apart for each seed."""
     s = xxhash.xxh3_64_intdigest(seed.encode()) if seed else 0
