@@ -129,6 +129,9 @@ def _tile(pdf: pd.DataFrame, top: int) -> pd.DataFrame:
     i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
     left, right = np.flatnonzero(group == i), np.flatnonzero(group == j)
     sums = pair_sums(dense[left], dense[right])
+    if len(heads):  # terms of the block that occur in other groups of sources only
+        absent = heads["p"].to_numpy(np.int64)
+        sums += (int(heads["n_terms"].iloc[0]) - len(terms)) * np.abs(absent[left, None] - absent[None, right])
     x, y = np.nonzero(left[:, None] != right[None, :])
     pairs = pd.DataFrame({"source": names[left[x]], "item": names[right[y]], "value": sums[x, y]})
     if i != j:
@@ -176,7 +179,9 @@ def audit(
     # the dense matrix needs every source of a block's language: one head a source and block, with the share of an absent term
     none = F.when(F.col("v") > 0, _share(F.lit(0), F.col("n"), F.col("v"), scale)).otherwise(F.lit(0))
     heads = sizes.select("lang", "source", F.lit(None).cast("string").alias("term"), none.alias("p"), F.lit(0).cast("long").alias("q"))
-    heads = heads.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    block = F.pmod(F.xxhash64("term"), F.lit(n_blocks)).cast("int").alias("block")
+    in_block = kept.groupBy("lang", block).agg(F.count(F.lit(1)).alias("n_terms"))
+    heads = heads.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(in_block, ["lang", "block"], "left").fillna(0, ["n_terms"])
     in_lang = cells.groupBy("lang", "term").agg(F.sum("count").alias("all"))
     full = cells.join(in_lang, ["lang", "term"]).join(sizes, ["lang", "source"])
     shares = full.select(
@@ -185,9 +190,9 @@ def audit(
         "term",
         _share(F.col("count"), F.col("n"), F.col("v"), scale).alias("p"),
         _share(F.col("all"), F.col("n_lang"), F.col("v"), scale).alias("q"),
-        F.pmod(F.xxhash64("term"), F.lit(n_blocks)).cast("int").alias("block"),
+        block,
     )
-    rows = heads.unionByName(shares).withColumn("grp", F.pmod(F.xxhash64("source"), F.lit(n_groups)).cast("int"))
+    rows = heads.unionByName(shares, allowMissingColumns=True).withColumn("grp", F.pmod(F.xxhash64("source"), F.lit(n_groups)).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))))
     rows = rows.withColumns({"i": F.least("grp", "other"), "j": F.greatest("grp", "other")}).drop("other")
     tiles = rows.groupBy("lang", "block", "i", "j").applyInPandas(lambda pdf: _tile(pdf, top), "lang string, source string, part string, item string, value long")
