@@ -61,6 +61,7 @@ def test_repeats_equal_a_loop(spark, more):
 def test_streams_slices_and_long_texts(spark, monkeypatch):
     monkeypatch.setattr(repeats, "STREAM", 7)
     monkeypatch.setattr(repeats, "PIECE", 5)
+    monkeypatch.setattr(repeats, "MET", 3)
     rng = random.Random(6)
     long = [f"w{rng.randrange(3000)}" for _ in range(40_000)]
     have = [(1, " ".join(long), "x", 1), (2, " ".join(long[5000:5200] + ["q"] + long[9000:30_000]), "x", 1), *rows(30)[:20]]

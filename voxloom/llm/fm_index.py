@@ -92,10 +92,14 @@ class FMIndex:
             ranks[known] = rank
         half = max(k for k in ranks if k <= window)  # ranks by so many words
         reach = window - half  # two overlapping halves make a window
+        # only suffixes with a whole window can be met by one; the others join the group before them and own nothing there
+        left = np.repeat(ends, sizes) - np.arange(n)  # words up to the end of the text
+        whole = left[order] >= window
         head, tail = ranks[half][order], ranks[half][np.minimum(order + reach, n - 1)]
-        new = np.r_[True, (np.diff(head) != 0) | (np.diff(tail) != 0)]
-        self.bounds = np.flatnonzero(new)
-        self.least = np.minimum.reduceat(owner[order], self.bounds)
+        new = whole & np.r_[True, (np.diff(head) != 0) | (np.diff(tail) != 0)]
+        self.groups = BitVector(new)
+        holders = np.where(whole, owner[order], np.iinfo(np.int64).max)
+        self.least = np.minimum.reduceat(holders, np.flatnonzero(new)) if new.any() else np.zeros(0, np.int64)
 
         self.matrix = WaveletMatrix(symbols[order - 1], len(names) + 1)
         counts = np.bincount(symbols, minlength=len(names) + 1)
@@ -133,8 +137,7 @@ class FMIndex:
             length[place] = np.maximum(length[place], matched[hit])
             full = hit & (matched >= self.window)
             if full.any():
-                group = np.searchsorted(self.bounds, low[full], "right") - 1
-                least[(begin[lane] + at)[full]] = self.least[group]
+                least[(begin[lane] + at)[full]] = self.least[self.groups.rank(low[full] + 1) - 1]
             # the word before ``at`` can't be put before the match up to ``end``: search from an end further left,
             # where a window with that word may still match, or else before that word
             shorter = np.where(matched >= self.window, at - 1 + self.window, end - 1)

@@ -4,13 +4,13 @@
    Anchors that occur in one document only are left out, by a set of bits of bounded size (``bits``).
 2. An anchor with ``HOT`` occurrences or more stands in a passage that many documents share, each between words of its
    own.  Of these, windows that occur in one document only are left out as well, by a second set of bits.
-3. What is left is cut into pieces, runs of at most ``PIECE`` windows of one anchor.  A shard holds the pieces of many
-   anchors, by hash, so equal windows meet in one shard.  Its distinct pieces, each with the least document that holds it,
-   are compressed into an FM-index.
-4. All pieces are streamed against the index of their shard: backward search over its wavelet matrix gives
-   matching lengths, and for each window the least document that holds it; windows of an earlier document make
-   intervals.  A shard with many pieces has several streams, each with a copy of the index.
-5. Intervals meet their documents in a join; documents without any are finished where they are read.
+3. What is left is cut into pieces, runs of at most ``PIECE`` windows of one anchor.  Equal pieces count as one, with the
+   least document that holds them; their words move once a task.
+4. A shard holds the distinct pieces of many anchors, by hash, so equal windows meet in one shard.  It is compressed into
+   an FM-index, and all its pieces are streamed against it: backward search over the wavelet matrix gives matching lengths,
+   and for each window the least document of any piece that holds it.
+5. Where that is an earlier document, a window of an occurrence of the piece is an interval to remove.  Intervals meet their
+   documents in a join; documents without any are finished where they are read.
 
 Hashes and bits only leave things out that can't match; what is removed is decided on the words themselves.  The number of
 shards follows the number of pieces, so an index has a bounded size on average at any scale.
@@ -24,7 +24,6 @@ millions of words is a single row of one task; an empty table gives no rows; oth
 from __future__ import annotations
 
 import hashlib
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +45,10 @@ RUN = 16
 HOT = 1_000
 #: Windows of one piece at most.
 PIECE = 64
-#: Pieces of a shard on average, and of a stream.
-SHARD, STREAM = 8_000, 8_000
+#: Pieces of a shard on average, and those that are searched side by side.
+SHARD, STREAM = 8_000, 4_000
+#: Pieces whose words a task remembers to have handed on.
+MET = 200_000
 #: Stands for a null id: after all others.
 LAST = (1 << 63) - 1
 
@@ -117,11 +118,12 @@ def _repeated(docs: DataFrame, window: int, run: int, hot: Bits | None = None) -
 
 
 def _pieces(docs: DataFrame, window: int, run: int, repeated: Bits, hot: Bits, shared: Bits) -> DataFrame:
-    """(anchor, document, text_hash, start, piece): the words of windows that may be repeated."""
+    """(anchor, document, text_hash, start, digest, piece): windows that may be repeated, with their words once a task."""
     shipped = docs.sparkSession.sparkContext.broadcast((repeated, hot, shared))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated, hot, shared = shipped.value
+        met: set[bytes] = set()
         for b in groups(batches):
             w = Windows(b.column("text").to_pylist(), window, run)
             keep = repeated.has(w.anchor)
@@ -130,70 +132,51 @@ def _pieces(docs: DataFrame, window: int, run: int, repeated: Bits, hot: Bits, s
             parts = -(-n // PIECE)  # long runs are cut
             nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
             first, n = np.repeat(first, parts) + nth * PIECE, np.minimum(np.repeat(n, parts) - nth * PIECE, PIECE)
-            words, ids = w.words.to_pylist(), w.ids.tolist()
-            pieces = [b" ".join([words[i] for i in ids[a : a + k + window - 1]]).decode("utf-8") for a, k in zip(w.at[first].tolist(), n.tolist())]
+            words, digests, pieces = w.words.to_pylist(), [], []
+            for a, k in zip(w.at[first].tolist(), n.tolist()):
+                piece = b" ".join([words[i] for i in w.ids[a : a + k + window - 1].tolist()])
+                digest = hashlib.blake2b(piece, digest_size=16).digest()
+                digests.append(digest)
+                pieces.append(None if digest in met else piece.decode("utf-8"))
+                if len(met) >= MET:
+                    met.clear()
+                met.add(digest)
             row = w.row[first]
             start = w.at[first] - (np.cumsum(w.sizes) - w.sizes)[row]
             at = pa.array(row)
-            columns = [pa.array(w.anchor[first].view(np.int64)), b.column("document").take(at), b.column("text_hash").take(at), pa.array(start), pa.array(pieces, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["anchor", "document", "text_hash", "start", "piece"])
+            columns = [pa.array(w.anchor[first].view(np.int64)), b.column("document").take(at), b.column("text_hash").take(at), pa.array(start), pa.array(digests, pa.binary()), pa.array(pieces, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["anchor", "document", "text_hash", "start", "digest", "piece"])
 
-    return docs.select("document", "text_hash", "text").mapInArrow(scan, "anchor long, document long, text_hash long, start long, piece string")
+    return docs.select("document", "text_hash", "text").mapInArrow(scan, "anchor long, document long, text_hash long, start long, digest binary, piece string")
 
 
-def _indexes(pieces: DataFrame, window: int) -> DataFrame:
-    """(shard, fm_index): the compressed index of the distinct pieces of each shard."""
-    distinct = pieces.groupBy("shard", "piece").agg(F.min("document").alias("document"))
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("piece")  # a task run again makes the same index
-        index = FMIndex([p.encode("utf-8").split() for p in pdf["piece"]], pdf["document"].tolist(), window)
-        return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "fm_index": [pickle.dumps(index)]})
+def _first_holders(pieces: DataFrame, window: int, n_shards: int) -> DataFrame:
+    """(digest, runs): for each distinct piece, runs (first, last, least) of windows with the least document that holds them."""
+    shard = F.pmod(F.col("anchor"), F.lit(n_shards)).cast("int").alias("shard")
+    distinct = pieces.groupBy(shard, "digest").agg(F.min("document").alias("document"), F.max("piece").alias("piece"))
+    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    return distinct.groupBy("shard").applyInPandas(build, "shard int, fm_index binary")
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        texts = [p.encode("utf-8").split() for p in pdf["piece"]]
+        index = FMIndex(texts, pdf["document"].tolist(), window)
+        runs = []
+        for at in range(0, len(texts), STREAM):
+            _, least = index.first_documents(texts[at : at + STREAM], LAST)
+            for own in least:
+                own = own[: len(own) - window + 1]
+                new = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                last = np.append(new[1:], len(own)) - 1
+                runs.append([(a, z, d) for a, z, d in zip(new.tolist(), last.tolist(), own[new].tolist())])
+        return pd.DataFrame({"digest": pdf["digest"], "runs": runs})
 
+    return distinct.repartition(tasks, "shard").groupBy("shard").applyInPandas(search, "digest binary, runs array<struct<first:long,last:long,least:long>>")
 
-def _intervals(pieces: DataFrame, indexes: DataFrame, window: int) -> DataFrame:
-    """(document, text_hash, first, last): stretches of words to remove, from the pieces streamed against their shard's index."""
-    streams = pieces.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / STREAM).cast("int").alias("streams"))
-    heads = indexes.join(streams, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("streams") - 1)).alias("stream"), "fm_index")
-    dealt = pieces.join(F.broadcast(streams), "shard") if streams.count() <= 100_000 else pieces.join(streams, "shard")
-    dealt = dealt.withColumn("stream", F.pmod(F.xxhash64("document", "text_hash", "start"), F.col("streams")).cast("int")).drop("streams", "anchor")
-    rows = heads.unionByName(dealt, allowMissingColumns=True)
-    rows = rows.select("shard", "stream", F.col("fm_index").isNull().alias("member"), "fm_index", "document", "text_hash", "start", "piece")
-    tasks = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(tasks, "shard", "stream").sortWithinPartitions("shard", "stream", "member")
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = None
-        for b in batches:
-            member = b.column("member").to_numpy(zero_copy_only=False)
-            heads = np.flatnonzero(~member)
-            for a, z in zip(np.r_[0, heads], np.r_[heads, b.num_rows]):
-                part = b.slice(a, z - a)
-                if z > a and not member[a]:
-                    index = pickle.loads(part.column("fm_index")[0].as_py())
-                    part = part.slice(1)
-                if part.num_rows:
-                    yield _search(index, part, window)
-
-    return rows.mapInArrow(search, "document long, text_hash long, first long, last long")
-
-
-def _search(index: FMIndex, part: pa.RecordBatch, window: int) -> pa.RecordBatch:
-    document, start = part.column("document").to_numpy(), part.column("start").to_numpy()
-    _, least = index.first_documents([p.encode("utf-8").split() for p in part.column("piece").to_pylist()], LAST)
-    size = np.array([len(x) for x in least])
-    row = np.repeat(np.arange(len(least)), size)
-    place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-    hit = np.flatnonzero(np.concatenate(least) < document[row])
-    new = np.r_[np.ones(min(len(hit), 1), bool), (np.diff(hit) != 1) | (np.diff(row[hit]) != 0)]
-    begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(hit)) - 1 if len(begin) else begin
-    of = pa.array(row[hit[begin]])
-    first, last = (start[row[hit[x]]] + place[hit[x]] for x in (begin, end))
-    columns = [part.column("document").take(of), part.column("text_hash").take(of), pa.array(first, pa.int64()), pa.array(last + window, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["document", "text_hash", "first", "last"])
+def _intervals(pieces: DataFrame, holders: DataFrame, window: int) -> DataFrame:
+    """(document, text_hash, first, last): stretches of words to remove."""
+    found = pieces.select("document", "text_hash", "start", "digest").join(holders, "digest")
+    found = found.select("document", "text_hash", "start", F.inline("runs")).where(F.col("least") < F.col("document"))
+    return found.select("document", "text_hash", (F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last") + window).alias("last"))
 
 
 _OUT = "n_words long, n_removed long, kept_text string, kept_sha256 string"
@@ -235,11 +218,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     pieces = materialize(_pieces(named, window, run, bits_of(anchors, "code"), common, bits_of(shared, "code")), "pieces")
     discard(anchors), discard(shared)
 
-    n_shards = max(1, -(-pieces.count() // shard))
-    dealt = pieces.withColumn("shard", F.pmod(F.col("anchor"), F.lit(n_shards)).cast("int"))
-    indexes = materialize(_indexes(dealt, window), "indexes")
-    intervals = materialize(_intervals(dealt, indexes, window), "intervals")
-    discard(indexes), discard(pieces)
+    n_shards = max(1, -(-pieces.where(F.col("piece").isNotNull()).count() // shard))
+    holders = materialize(_first_holders(pieces, window, n_shards), "holders")
+    intervals = materialize(_intervals(pieces, holders, window), "intervals")
+    discard(holders), discard(pieces)
 
     # documents with intervals move to them; the others are finished where they are read
     marked = bits_of(intervals.select(_hash(F.col("document"), F.col("text_hash")).alias("code")).distinct(), "code")
