@@ -1,11 +1,11 @@
 """Phrase collocation mining: what words a language keeps together.
 
 1. Words are counted by language; those with ``least`` occurrences or more are frequent.
-2. A phrase can be frequent only where the phrases inside it are.  Two scans count hashes of two and of three words
-   that pass this test so far; what reaches ``least`` becomes a set of bits of bounded size (``bits``), which lets
-   the next scan explode little else than frequent phrases.  Hashes and bits only leave things out that can't count.
-3. A last scan explodes all phrases of 2 to ``most_words`` words that may be frequent into rows
-   (lang, phrase, count), which a hash aggregate by language sums up exactly.
+2. A phrase can be frequent only where the phrases inside it are.  A scan explodes all phrases of two words that pass this
+   test into rows (lang, phrase, count), which a hash aggregate by language sums up; one of three words follows, and
+   one of all longer ones.
+3. What is frequent at one size becomes a set of hashes in bits of bounded size (``bits``) for the scan of the next.
+   The bits only leave phrases out that can't be frequent; all counts are of the words themselves.
 4. Each candidate meets the counts of its first and last words at every cut in joins; the score is decimal
    arithmetic.  Candidates inside a one-word extension that occurs as often are dropped by an anti-join: an occurrence
    of a longer phrase is one of everything inside it, so if any longer candidate is as frequent, one of these is.
@@ -32,16 +32,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bits import Bits, bits_of
-from .common import discard, materialize
+from .common import materialize
 from .syncmers import mix
 from .words import BASE, coded, groups, summed, word_hashes
 
 MOST_WORDS = 5
 LEAST = 100
 TOP = 2_000
-#: Hashes that a task holds before it hands their counts on.
-HELD = 1 << 22
-
 #: Every mark that ends a piece becomes a line feed; tabs become blanks.
 _MARKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 
@@ -114,67 +111,41 @@ def _count_words(docs: DataFrame) -> DataFrame:
     return found.groupBy("lang", "word").agg(F.first("code").alias("code"), F.sum("n").alias("n"))
 
 
-def _count_hashes(docs: DataFrame, known: list[Bits]) -> DataFrame:
-    """(code, n) of the phrases with one word more than those known."""
-    shipped = docs.sparkSession.sparkContext.broadcast(known)
-    size = len(known) + 1
-
-    def tally(held: list[np.ndarray]) -> pa.RecordBatch:
-        code, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n)], ["code", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for p in coded_pieces(batches):
-            for own, _, made in phrases(p.codes, shipped.value, size):
-                if own == size:
-                    held.append(made)
-                    n += len(made)
-            if n > HELD:
-                yield tally(held)
-                held, n = [], 0
-        if held:
-            yield tally(held)
-
-    return docs.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def _explode(docs: DataFrame, known: list[Bits], most_words: int) -> DataFrame:
-    """(lang, phrase, size, n) of all phrases that may be frequent, summed over the texts of a task by their very words."""
+def _explode(docs: DataFrame, known: list[Bits], sizes: range) -> DataFrame:
+    """(lang, phrase, size, code, n) of all phrases of these sizes that may be frequent, summed over the texts of a task by their very words."""
     shipped = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in coded_pieces(batches):
             own = p.ids
-            for size, at, _ in phrases(p.codes, shipped.value, most_words):
+            for size, at, made in phrases(p.codes, shipped.value, sizes[-1]):
                 if not len(at):
                     break
                 # the number of the phrase without its last word, and the last word: no hash decides what is equal
                 _, first, same, n = np.unique(own[at] * len(p.words) + p.ids[at + size - 1], return_index=True, return_inverse=True, return_counts=True)
                 own = np.full(len(p.ids), -1)
                 own[at] = same
-                words = [p.words.take(pa.array(p.ids[at[first] + j])) for j in range(size)]
-                phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", p.words.type)).cast(pa.large_string()).cast(pa.string())
-                columns = [pa.array([p.lang] * len(n), pa.string()), phrase, pa.array(np.full(len(n), size, np.int32)), pa.array(n)]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "n"])
+                if size in sizes:
+                    words = [p.words.take(pa.array(p.ids[at[first] + j])) for j in range(size)]
+                    phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", p.words.type)).cast(pa.large_string()).cast(pa.string())
+                    columns = [pa.array([p.lang] * len(n), pa.string()), phrase, pa.array(np.full(len(n), size, np.int32)), pa.array(made[first].view(np.int64)), pa.array(n)]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "code", "n"])
 
-    found = docs.mapInArrow(lambda batches: summed(run(batches), "n"), "lang string, phrase string, size int, n long")
-    return found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    found = docs.mapInArrow(lambda batches: summed(run(batches), "n"), "lang string, phrase string, size int, code long, n long")
+    return found.groupBy("lang", "phrase", "size", "code").agg(F.sum("n").alias("n"))
 
 
 def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, most_words: int = MOST_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, size, n) of all phrases of 1 to ``most_words`` words with ``least`` occurrences, and (lang, total) of all words."""
+    """(lang, phrase, size, code, n) of all phrases of 1 to ``most_words`` words with ``least`` occurrences, and (lang, total) of all words."""
     named = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     words = materialize(_count_words(named).where((F.col("n") >= least) | F.col("word").isNull()), "words")
-    frequent = words.where(F.col("word").isNotNull())
-    known = [bits_of(frequent, "code")]
-    for _ in range(2, min(most_words, 4)):
-        codes = materialize(_count_hashes(named, known).where(F.col("n") >= least), "codes")
-        known.append(bits_of(codes, "code"))
-        discard(codes)
-    longer = _explode(named, known, most_words).where(F.col("n") >= least)
-    single = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "n")
-    found = materialize(single.unionByName(longer), "phrases")
+    found = words.where(F.col("word").isNotNull()).select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "code", "n")
+    known, last = [], found
+    for sizes in (range(2, 3), range(3, 4), range(4, most_words + 1)):
+        if sizes and sizes[0] <= most_words:
+            known.append(bits_of(last, "code"))
+            last = materialize(_explode(named, known, sizes).where(F.col("n") >= least), "phrases")
+            found = found.unionByName(last)
     return found, words.where(F.col("word").isNull()).select("lang", F.col("n").alias("total"))
 
 
