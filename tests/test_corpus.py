@@ -148,7 +148,9 @@ def test_turn_path(spark, folder, tmp_path):
     gold = tmp_path / "gold.jsonl"
     gold.write_text(json.dumps({"text": "طلا", "audio_path": "g.wav"}) + "\n", encoding="utf-8")
     plugins = Plugins(scorer=lambda: lambda text, x, rate: 0.9, transcriber=lambda: lambda x, rate: "سلام وقت شما بخیر باشد" if len(x) % 2 == 0 else None)
-    stats = turn_path.run(spark, folder, str(tmp_path / "out"), CFG, plugins, str(gold)).first()
+    stats = turn_path.run(spark, folder, str(tmp_path / "out"), CFG, plugins, str(gold), files=True).first()
+    listed = [r.audio_path for r in spark.read.json([f"{tmp_path}/out/train.jsonl", f"{tmp_path}/out/test.jsonl"]).where("tier != 'gold'").select("audio_path").collect()]
+    assert len(listed) == 8 - 0 and all(audio.decode_wav(open(p, "rb").read())[1] == SR for p in listed)
     assert (stats.calls, stats.calls_skipped, stats.chunks_kept, stats.after_overlap_cap) == (7, 2, 8, 8)
     assert (stats.train, stats.test) == (6, 2) and stats.rejected == {"excess_overlap": 4, "not_persian": 4}
     clips = spark.read.parquet(f"{tmp_path}/out/clips").orderBy("call_id", "chunk_idx").collect()

@@ -53,6 +53,8 @@ def main(argv: list[str] | None = None) -> None:
     diag = sub.add_parser("diagnose", help="every intermediate of a call")
     diag.add_argument("--dir", required=True)
     diag.add_argument("--dump")
+    for x in (build, al):
+        x.add_argument("--files", action="store_true", help="also write the clips as files, at the paths that the manifests name")
     for x in (build, al, diag):
         x.add_argument("--config")
     a = p.parse_args(argv)
@@ -62,9 +64,9 @@ def main(argv: list[str] | None = None) -> None:
         cfg = load_settings(a.config)
         cfg = replace(cfg, align=replace(cfg.align, enabled=cfg.align.enabled and not a.no_align), second_asr=replace(cfg.second_asr, enabled=cfg.second_asr.enabled and not a.no_second_asr))
         named = {k: _named(v) for k, v in (("vad", a.vad), ("scorer", a.scorer), ("transcriber", a.transcriber)) if v}
-        turn_path.run(spark, a.corpus, a.out, cfg, Plugins(**named), a.gold).show(truncate=False)
+        turn_path.run(spark, a.corpus, a.out, cfg, Plugins(**named), a.gold, files=a.files).show(truncate=False)
     elif a.what == "align":
-        aligned_path.run(spark, a.corpus, a.out, Plugins(word_aligner=_named(a.aligner)), load_settings(a.config), a.gold, a.limit, a.keep_prep).show(truncate=False)
+        aligned_path.run(spark, a.corpus, a.out, Plugins(word_aligner=_named(a.aligner)), load_settings(a.config), a.gold, a.limit, a.keep_prep, files=a.files).show(truncate=False)
     elif a.what == "table":
         clips = read_clips(spark, a.clips)
         splits = tuple(s.strip() for s in a.splits.split(",") if s.strip())

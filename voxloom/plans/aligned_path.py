@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,36 +13,64 @@ from ..operators import manifest, reports, turns
 from ..scratch import materialize
 from ..settings import Settings
 from ..sources import writers
-from ..sources.audio import Decoder, decode
+from ..sources.audio import Decoder, Sound
+from ..sources.clip_files import write_clip_files
 from . import turn_path
-from .plugins import Plugins, words_column
+from .plugins import Plugins, aligned_words
 
 
 def speaker_texts(corpus: turn_path.Corpus, heard: DataFrame) -> DataFrame:
-    """(call_id, speaker, channel, ref_text): each speaker's turns in order as one text."""
-    rows = turns.turns_by_speaker(corpus.segments.where("not bad_call"))
+    """(call_id, speaker, channel, ref_text) of the heard calls: each speaker's turns in order as one text."""
+    rows = turns.turns_by_speaker(corpus.segments.where("not bad_call").join(heard.select("call_id"), "call_id", "left_semi"))
     joined = F.trim(F.array_join(F.transform("turns", lambda t: t["text"]), " "))
     mapping = heard.select("call_id", F.inline("mapping"))
     return rows.select("call_id", "speaker", joined.alias("ref_text")).join(mapping, ["call_id", "speaker"], "left").withColumn("channel", F.coalesce("channel", F.lit(0)))
 
 
+def _by_call(texts: DataFrame, corpus: turn_path.Corpus) -> DataFrame:
+    """(call_id, wav_path, content, clip_stem, speakers): the speakers of each call, beside its recording."""
+    speakers = texts.groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("speaker", "channel", "ref_text"))).alias("speakers"))
+    rows = turn_path.at_recordings(speakers, corpus, None if corpus.opener else texts.count())
+    return rows.join(corpus.calls.select("call_id", "clip_stem"), "call_id").select("call_id", "wav_path", "content", "clip_stem", "speakers")
+
+
 def prepared(texts: DataFrame, corpus: turn_path.Corpus, cfg: Settings, folder: str, decoder: Decoder = audio.decode_wav) -> DataFrame:
     """(path, bytes, text_path, text): each speaker's channel as a recording beside the reference text."""
-    channels = decode(corpus.recordings.select(F.col("wav_path").alias("path"), "content"), cfg.audio.target_sr, decoder).withColumnRenamed("path", "wav_path")
-    rows = texts.join(corpus.calls.select("call_id", "wav_path", "clip_stem"), "call_id").join(channels.drop("error"), ["wav_path", "channel"])
-    stem = F.format_string(f"{folder}/%s_%s", F.col("clip_stem"), F.col("speaker"))
-    rows = rows.select(stem.alias("stem"), "ref_text", "samples")
-    clips = writers.clip_table(rows.select(F.concat("stem", F.lit(".wav")).alias("audio_path"), "samples"), cfg.audio.target_sr)
-    texts_out = rows.select(F.concat("stem", F.lit(".wav")).alias("path"), F.concat("stem", F.lit(".txt")).alias("text_path"), F.col("ref_text").alias("text"))
-    return clips.join(texts_out, "path")
+    rate, opener = cfg.audio.target_sr, corpus.opener
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for path, content, stem, speakers in zip(b["wav_path"], b["content"], b["clip_stem"], b["speakers"]):
+                sound = Sound(path, content, rate, cfg.audio.resampler, decoder, opener)
+                names = [f"{folder}/{stem}_{s['speaker']}" for s in speakers]
+                clips = [audio.encode_wav(sound.channels[s["channel"]], rate) for s in speakers]
+                sound.close()
+                yield pd.DataFrame({"path": [f"{n}.wav" for n in names], "bytes": clips, "text_path": [f"{n}.txt" for n in names], "text": [s["ref_text"] for s in speakers]})
+
+    return _by_call(texts, corpus).mapInPandas(run, "path string, bytes binary, text_path string, text string")
 
 
 def align(texts: DataFrame, corpus: turn_path.Corpus, cfg: Settings, plugins: Plugins, decoder: Decoder = audio.decode_wav) -> DataFrame:
-    """(call_id, speaker, channel, words, error) from the word aligner, without low words at either end."""
-    channels = decode(corpus.recordings.select(F.col("wav_path").alias("path"), "content"), cfg.audio.target_sr, decoder).withColumnRenamed("path", "wav_path")
-    rows = texts.join(corpus.calls.select("call_id", "wav_path"), "call_id").join(channels.drop("error"), ["wav_path", "channel"])
-    out = rows.withColumn("aligned", words_column(plugins.word_aligner, "ref_text", "samples", cfg.audio.target_sr))
-    return out.select("call_id", "speaker", "channel", turns.trim_edge_words(F.col("aligned.words"), cfg.forced_align.min_word_score).alias("words"), F.col("aligned.error").alias("error"))
+    """(call_id, speaker, channel, words, error) from the word aligner, without low words at either end.
+
+    A recording is decoded where its speakers are aligned, so that only words leave the task.
+    """
+    rate, opener, load = cfg.audio.target_sr, corpus.opener, plugins.word_aligner
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = load()
+        for b in batches:
+            for call_id, path, content, speakers in zip(b["call_id"], b["wav_path"], b["content"], b["speakers"]):
+                sound, rows = Sound(path, content, rate, cfg.audio.resampler, decoder, opener), []
+                for s in speakers:
+                    words, error = aligned_words(model, lambda c=s["channel"]: sound.channels[c], rate, s["ref_text"])
+                    rows.append((call_id, s["speaker"], s["channel"], words, error))
+                sound.close()
+                yield pd.DataFrame(rows, columns=["call_id", "speaker", "channel", "words", "error"])
+
+    kind = "call_id string, speaker string, channel int, words array<struct<text:string,start:double,end:double,score:double>>, error string"
+    out = _by_call(texts, corpus).mapInPandas(run, kind)
+    return out.withColumn("words", turns.trim_edge_words(F.col("words"), cfg.forced_align.min_word_score))
 
 
 def build_chunks(aligned: DataFrame, cfg: Settings) -> DataFrame:
@@ -51,7 +82,7 @@ def build_chunks(aligned: DataFrame, cfg: Settings) -> DataFrame:
     return chunks.withColumns({"speaker_chunk": F.col("chunk_idx"), **empty}).withColumn("chunk_idx", place.cast("int"))
 
 
-def run(spark: SparkSession, root: str, out: str, plugins: Plugins, cfg: Settings = Settings(), gold: str | None = None, limit: int = 0, keep_prepared: bool = False, decoder: Decoder = audio.decode_wav) -> DataFrame:  # noqa: B008
+def run(spark: SparkSession, root: str, out: str, plugins: Plugins, cfg: Settings = Settings(), gold: str | None = None, limit: int = 0, keep_prepared: bool = False, decoder: Decoder = audio.decode_wav, files: bool = False) -> DataFrame:  # noqa: B008
     """The whole path; returns the one-row statistics.  A call whose alignment fails is skipped with its reason."""
     if plugins.word_aligner is None:
         raise ValueError("the aligned path needs a word aligner")
@@ -63,6 +94,10 @@ def run(spark: SparkSession, root: str, out: str, plugins: Plugins, cfg: Setting
     texts = speaker_texts(corpus, heard.where("error is null"))
     if keep_prepared:
         prepared(texts, corpus, cfg, f"{out}/prep", decoder).write.mode("overwrite").parquet(f"{out}/prepared")
+        if files:
+            prep = spark.read.parquet(f"{out}/prepared")
+            lines = prep.select(F.col("text_path").alias("path"), F.encode("text", "UTF-8").alias("bytes"))
+            write_clip_files(prep.select("path", "bytes").unionByName(lines), out)
     align(texts, corpus, cfg, plugins, decoder).write.mode("overwrite").parquet(f"{out}/words")
     aligned = spark.read.parquet(f"{out}/words")
     failed = aligned.where("error is not null").groupBy("call_id").agg(F.min("error").alias("reason"))
@@ -76,6 +111,8 @@ def run(spark: SparkSession, root: str, out: str, plugins: Plugins, cfg: Setting
     short = gates.effective_duration() < cfg.chunk.min_s
     whole = spark.read.parquet(f"{out}/clips")
     writers.clip_table(whole.where(~short), cfg.audio.target_sr).write.mode("overwrite").parquet(f"{out}/recordings")
+    if files:
+        write_clip_files(spark.read.parquet(f"{out}/recordings"), out)
     clips = whole.drop("samples")
     kept = clips.where(~short)
     records = manifest.split_by_call(manifest.to_records(kept), manifest.test_calls(kept, cfg))

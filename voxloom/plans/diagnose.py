@@ -14,6 +14,7 @@ from ..operators import reports
 from ..scratch import materialize
 from ..settings import Settings
 from ..sources import writers
+from ..sources.audio import Sound
 from . import turn_path
 from .plugins import Plugins
 
@@ -25,7 +26,7 @@ def channel_report(corpus: turn_path.Corpus, cfg: Settings) -> DataFrame:
         for b in batches:
             for path, content in zip(b["wav_path"], b["content"]):
                 x, rate = audio.decode_wav(content)
-                x = audio.resample(x, rate, cfg.audio.target_sr)
+                x = audio.resample(x, rate, cfg.audio.target_sr, cfg.audio.resampler)
                 r = float(np.corrcoef(x)[0, 1]) if len(x) == 2 and x.shape[1] > 1 else float("nan")
                 yield pd.DataFrame({"wav_path": path, "channel": range(len(x)), "level_db": [audio.level_db(c) for c in x], "correlation": r, "seconds": x.shape[1] / cfg.audio.target_sr})
 
@@ -35,20 +36,22 @@ def channel_report(corpus: turn_path.Corpus, cfg: Settings) -> DataFrame:
 def energy_report(corpus: turn_path.Corpus, cfg: Settings) -> DataFrame:
     """Share of a speaker's energy in every channel during that speaker's turns."""
     segs = corpus.segments.where("speaker <> ''").groupBy("call_id").agg(F.collect_list(F.struct("speaker", "start", "end")).alias("segs"))
-    rows = turn_path.at_recordings(segs, corpus, corpus.segments.count())
+    rows = turn_path.at_recordings(segs, corpus, None if corpus.opener else corpus.segments.count())
+    opener = corpus.opener
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for call_id, content, segs in zip(b["call_id"], b["content"], b["segs"]):
-                x, rate = audio.decode_wav(content)
-                x = audio.resample(x, rate, cfg.audio.target_sr)
+            for call_id, path, content, segs in zip(b["call_id"], b["wav_path"], b["content"], b["segs"]):
+                sound = Sound(path, content, cfg.audio.target_sr, cfg.audio.resampler, opener=opener)
+                x = sound.channels
+                sound.close()
                 e = audio.energies(x, cfg.audio.target_sr, np.array([s["start"] for s in segs]), np.array([s["end"] for s in segs]))
                 names = np.array([s["speaker"] for s in segs])
                 for n in sorted(set(names)):
                     mine = e[names == n].sum(axis=0)
                     yield pd.DataFrame({"call_id": call_id, "speaker": n, "channel": range(len(x)), "share": mine / (mine.sum() + 1e-12)})
 
-    return rows.select("call_id", "content", "segs").mapInPandas(run, "call_id string, speaker string, channel int, share double")
+    return rows.select("call_id", "wav_path", "content", "segs").mapInPandas(run, "call_id string, speaker string, channel int, share double")
 
 
 def chunk_report(judged: DataFrame) -> DataFrame:

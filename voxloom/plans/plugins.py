@@ -148,21 +148,13 @@ def transcript_column(plugin: Callable[[], Transcriber] | None, samples: str, ra
     return run(samples)
 
 
-def words_column(plugin: Callable[[], WordAligner], text: str, samples: str, rate: int) -> Column:
-    """Aligned words; errors are kept in ``error``, as they skip the call."""
-    kind = "words array<struct<text:string,start:double,end:double,score:double>>, error string"
-
-    @F.pandas_udf(kind)
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        model = plugin()
-        for texts, raws in batches:
-            rows = []
-            for t, r in zip(texts, raws):
-                try:
-                    found = model(_pcm(r), rate, t.strip()) if t and t.strip() and r else []
-                    rows.append(([{"text": w, "start": float(a), "end": float(b), "score": 1.0 if s is None else float(s)} for w, a, b, s in found], None))
-                except Exception as e:  # noqa: BLE001
-                    rows.append(([], str(e)[:300]))
-            yield pd.DataFrame(rows, columns=["words", "error"])
-
-    return run(text, samples)
+def aligned_words(model: WordAligner, sound: Callable[[], np.ndarray], rate: int, text: str) -> tuple[list[dict], str | None]:
+    """(words, error) of one channel; an error is kept, as it skips the call.  Without text nothing is decoded."""
+    if not text or not text.strip():
+        return [], None
+    try:
+        x = sound()
+        found = model(x, rate, text.strip()) if len(x) else []
+        return [{"text": w, "start": float(a), "end": float(b), "score": 1.0 if s is None else float(s)} for w, a, b, s in found], None
+    except Exception as e:  # noqa: BLE001
+        return [], str(e)[:300] or type(e).__name__

@@ -1,7 +1,8 @@
 """From call documents and recordings to a scored, tiered and split manifest.
 
 Waveforms enter two Arrow functions, one before chunks exist (speech and channels) and one after
-(clips); between them only intervals and text move.  A call that can't be read becomes a row of
+(clips); between them only intervals and text move.  Where tasks can open the recordings, the first reads each of them
+once and the second only the bytes of its spans, so no waveform is ever shuffled or broadcast.  A call that can't be read becomes a row of
 ``skipped``; it never fails the job.
 
 A call is a pair of files.  Ids of calls may repeat (every file may name the same request), so up to the
@@ -24,7 +25,8 @@ from ..operators import manifest, reports, turns
 from ..scratch import materialize
 from ..settings import Settings
 from ..sources import calls, writers
-from ..sources.audio import Decoder, read_recordings
+from ..sources.audio import Decoder, Opener, Sound, opener_for, read_recordings
+from ..sources.clip_files import write_clip_files
 from .plugins import Plugins, detector, score_column, transcript_column
 
 #: Rows of spans that may be broadcast to where the recordings are read.
@@ -43,6 +45,7 @@ class Corpus:
     segments: DataFrame
     recordings: DataFrame
     pairs: DataFrame
+    opener: Opener | None = None
 
 
 def _plain(path):
@@ -70,7 +73,7 @@ def read_corpus(spark: SparkSession, root: str, limit: int = 0) -> Corpus:
         "call",
         calls.audio_quality(F.col("call")).alias("audio_quality"),
     )
-    return Corpus(rows, calls.segments(rows.where("call is not null")), wav.select(_plain("path").alias("wav_path"), "content"), pairs)
+    return Corpus(rows, calls.segments(rows.where("call is not null")), wav.select(_plain("path").alias("wav_path"), "content"), pairs, opener_for(root))
 
 
 def named(rows: DataFrame, corpus: Corpus) -> DataFrame:
@@ -80,24 +83,28 @@ def named(rows: DataFrame, corpus: Corpus) -> DataFrame:
 
 
 def at_recordings(rows: DataFrame, corpus: Corpus, n_spans: int | None = None) -> DataFrame:
-    """Rows of calls with the content of their recordings.
+    """Rows of calls with their recordings (``wav_path``, ``content``).
 
-    Up to ``MAX_BROADCAST_SPANS`` spans (``n_spans`` is their counted number) go to where the recordings
-    are read, so that no waveform is shuffled; more of them meet in a shuffle.
+    Tasks that can open the recordings get rows without content, dealt by call.  Otherwise up to ``MAX_BROADCAST_SPANS``
+    spans (``n_spans`` is their counted number) go to where Spark reads the recordings; more of them meet in a shuffle.
     """
     spans = corpus.calls.select("call_id", "wav_path").join(rows, "call_id")
+    if corpus.opener:
+        # a row of few bytes stands for minutes of sound, so the number of tasks mustn't follow the bytes
+        tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return spans.repartition(tasks, "call_id").withColumn("content", F.lit(None).cast("binary"))
     return corpus.recordings.join(F.broadcast(spans) if n_spans is not None and n_spans <= MAX_BROADCAST_SPANS else spans, "wav_path")
 
 
-def _listen(cfg: Settings, plugins: Plugins | None, decoder: Decoder):
+def _listen(cfg: Settings, plugins: Plugins | None, decoder: Decoder, opener: Opener | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vad = detector(plugins.vad) if plugins else lambda c, rate: ()
         for b in batches:
-            for call_id, content, segs in zip(b["call_id"], b["content"], b["segs"]):
+            for call_id, path, content, segs in zip(b["call_id"], b["wav_path"], b["content"], b["segs"]):
+                rate = cfg.audio.target_sr
+                sound = Sound(path, content, rate, cfg.audio.resampler, decoder, opener)
                 try:
-                    x, rate = decoder(content)
-                    x = audio.resample(x, rate, cfg.audio.target_sr)
-                    rate = cfg.audio.target_sr
+                    x = sound.channels
                     names = [s["speaker"] for s in segs]
                     if len(x) == 1:
                         mapping = dict.fromkeys(names, 0)
@@ -108,6 +115,8 @@ def _listen(cfg: Settings, plugins: Plugins | None, decoder: Decoder):
                     row = {"mapping": [{"speaker": n, "channel": c} for n, c in mapping.items()], "regions": regions, "error": None}
                 except Exception as err:  # noqa: BLE001  a bad recording is a row, not a failed job
                     row = {"mapping": [], "regions": [], "error": str(err)[:300] or type(err).__name__}
+                finally:
+                    sound.close()
                 yield pd.DataFrame([{"call_id": call_id, **row}])
 
     return run
@@ -116,9 +125,9 @@ def _listen(cfg: Settings, plugins: Plugins | None, decoder: Decoder):
 def listen(corpus: Corpus, cfg: Settings, plugins: Plugins | None, decoder: Decoder = audio.decode_wav) -> DataFrame:
     """(call_id, mapping, regions by channel, error) of every call with usable turns; without plugins no speech is looked for."""
     good = corpus.segments.where("not bad_call").groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("seg_idx", "speaker", "start", "end"))).alias("segs"))
-    rows = at_recordings(good, corpus, corpus.segments.count()).select("call_id", "content", "segs")
+    rows = at_recordings(good, corpus, None if corpus.opener else corpus.segments.count()).select("call_id", "wav_path", "content", "segs")
     kind = "call_id string, mapping array<struct<speaker:string,channel:int>>, regions array<array<struct<s:double,e:double>>>, error string"
-    return rows.mapInPandas(_listen(cfg, plugins, decoder), kind)
+    return rows.mapInPandas(_listen(cfg, plugins, decoder, corpus.opener), kind)
 
 
 def build_chunks(segments: DataFrame, heard: DataFrame, cfg: Settings) -> DataFrame:
@@ -134,17 +143,16 @@ def build_chunks(segments: DataFrame, heard: DataFrame, cfg: Settings) -> DataFr
     return pieces.withColumn("chunk_idx", place.cast("int")).drop("speaker_ord", "group_idx", "piece_idx")
 
 
-def _render(cfg: Settings, decoder: Decoder, trim: bool, plugins: Plugins):
+def _render(cfg: Settings, decoder: Decoder, trim: bool, plugins: Plugins, opener: Opener | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rate = cfg.audio.target_sr
         vad = detector(plugins.vad)
         for b in batches:
-            for call_id, content, spans in zip(b["call_id"], b["content"], b["spans"]):
-                x, own = decoder(content)
-                x = audio.resample(x, own, rate)
+            for call_id, path, content, spans in zip(b["call_id"], b["wav_path"], b["content"], b["spans"]):
+                sound = Sound(path, content, rate, cfg.audio.resampler, decoder, opener)
                 rows = []
                 for s in spans:
-                    clip = audio.cut(x[s["channel"]], rate, s["start"], s["end"], cfg.audio.edge_pad_s)
+                    clip = sound.cut(s["channel"], s["start"], s["end"], cfg.audio.edge_pad_s)
                     regions = vad(clip, rate)
                     if trim and len(regions):
                         clip = audio.cut(clip, rate, max(0.0, regions[0][0] - cfg.chunk.trim_margin_s), regions[-1][1] + cfg.chunk.trim_margin_s, 0.0)
@@ -154,6 +162,7 @@ def _render(cfg: Settings, decoder: Decoder, trim: bool, plugins: Plugins):
                     silent = max(0.0, 1.0 - spoken / seconds) if seconds else 1.0
                     pcm = np.clip(np.rint(clip * 32767), -32768, 32767).astype("<i2").tobytes()
                     rows.append((call_id, s["chunk_idx"], seconds, silent, audio.level_db(clip), pcm))
+                sound.close()
                 yield pd.DataFrame(rows, columns=["call_id", "chunk_idx", "clip_duration", "silence_ratio", "level_db", "samples"])
 
     return run
@@ -162,9 +171,9 @@ def _render(cfg: Settings, decoder: Decoder, trim: bool, plugins: Plugins):
 def render(chunks: DataFrame, corpus: Corpus, cfg: Settings, plugins: Plugins, decoder: Decoder = audio.decode_wav, trim: bool = True) -> DataFrame:
     """Chunks with the measures and samples of their clips."""
     spans = chunks.groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("chunk_idx", "channel", "start", "end"))).alias("spans"))
-    rows = at_recordings(spans, corpus, chunks.count()).select("call_id", "content", "spans")
+    rows = at_recordings(spans, corpus, None if corpus.opener else chunks.count()).select("call_id", "wav_path", "content", "spans")
     kind = "call_id string, chunk_idx int, clip_duration double, silence_ratio double, level_db double, samples binary"
-    clips = rows.mapInPandas(_render(cfg, decoder, trim, plugins), kind)
+    clips = rows.mapInPandas(_render(cfg, decoder, trim, plugins, corpus.opener), kind)
     out = chunks.join(clips, ["call_id", "chunk_idx"])
     return out.withColumn("chars_per_sec", gates.chars_per_second(F.col("text"), F.col("clip_duration")))
 
@@ -219,12 +228,13 @@ def skipped_calls(corpus: Corpus, heard: DataFrame) -> DataFrame:
     return unreadable.unionByName(bad).unionByName(deaf)
 
 
-def run(spark: SparkSession, root: str, out: str, cfg: Settings = Settings(), plugins: Plugins = Plugins(), gold: str | None = None, decoder: Decoder = audio.decode_wav) -> DataFrame:  # noqa: B008
+def run(spark: SparkSession, root: str, out: str, cfg: Settings = Settings(), plugins: Plugins = Plugins(), gold: str | None = None, decoder: Decoder = audio.decode_wav, files: bool = False) -> DataFrame:  # noqa: B008
     """The whole path; returns the one-row statistics that it also writes.
 
     Turns, what was heard, and chunks are written before they are read more than once, and rendered chunks
     (``clips``) are what everything after reads, so that no recording is decoded again for a count.  The
-    kept clips lie in ``recordings`` as a table (path, bytes), under the paths that the manifests name.
+    kept clips lie in ``recordings`` as a table (path, bytes), under the paths that the manifests name, and with ``files`` at these
+    paths themselves.
     """
     corpus = read_corpus(spark, root)
     manifest.check_split(corpus.calls.count(), cfg)
@@ -235,6 +245,8 @@ def run(spark: SparkSession, root: str, out: str, cfg: Settings = Settings(), pl
     judged = spark.read.parquet(f"{out}/clips")
     kept = judged.where("reject_reason is null").withColumn("audio_path", clip_path(cfg, f"{out}/audio"))
     writers.clip_table(kept, cfg.audio.target_sr).write.mode("overwrite").parquet(f"{out}/recordings")
+    if files:
+        write_clip_files(spark.read.parquet(f"{out}/recordings"), out)
     score(judged, cfg, plugins, f"{out}/audio").drop("samples").write.mode("overwrite").parquet(f"{out}/scored")
     scored = spark.read.parquet(f"{out}/scored")
     capped = manifest.cap_overlap(scored, cfg, [calls.path_order("pair"), "chunk_idx"])  # equal confidences go in order of the pairs

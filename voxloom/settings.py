@@ -15,6 +15,8 @@ class Audio:
     edge_pad_s: float = 0.15
     mono_per_channel: bool = True
     n_mels: int = 128
+    #: "sinc": band-limited; "linear": interpolation.
+    resampler: str = "sinc"
 
 
 @dataclass(frozen=True)
