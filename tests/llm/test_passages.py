@@ -4,6 +4,7 @@ import random
 import tracemalloc
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from voxloom.llm import decontamination as dc
@@ -172,6 +173,36 @@ def test_a_long_item_is_spread_over_blocks(spark, monkeypatch):
         assert {(w.item, w.start, w.cp.tobytes()) for b in got for w in b if w.item == 1} == set(whole)
 
 
+@pytest.mark.parametrize("per_pass", [1, 2, 50])
+def test_one_row_for_an_item_of_many_blocks_and_texts(spark, monkeypatch, per_pass):
+    rng = random.Random(11)
+    long = prose(400, rng)
+    items = [(1, long), (2, prose(30, rng)), (1, prose(40, rng)), (3, prose(30, rng)), (3, None), (2, ""), (4, prose(60, rng))]
+    items += [items[1], (None, prose(30, rng))]
+    texts = [long, "x " + long[700:900] + " y", items[1][1] + " " + items[2][1], items[3][1] + items[8][1], prose(50, rng), None, "", long[:300] + items[6][1]]
+    docs = spark.createDataFrame([(i % 6, t, "s") for i, t in enumerate(texts)] + [(0, texts[0], "s")], "doc_id long, text string, source string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    plain = lambda df: sorted(map(str, df.collect()))
+    want = plain(dc.find_leaks(docs, bench))
+    kept = plain(dc.drop_leaks(docs, bench))
+    pairs = [w.split("n_windows")[0] for w in want]
+    assert len(pairs) == 9 and pairs.count("Row(doc_id=0, item_id=1, ") == 2  # of two rows alike; every other pair once
+    monkeypatch.setattr(dc, "PIECE", 200)
+    monkeypatch.setattr(dc, "BLOCKS", per_pass)
+    monkeypatch.setattr(dc, "blocks", lambda b, i, f=dc.blocks: f(b, i, size=500))
+    assert len(list(dc.blocks(bench, "item_id"))) > 4
+    assert plain(dc.find_leaks(docs, bench)) == want
+    assert plain(dc.drop_leaks(docs, bench)) == kept and len(kept) == 3
+
+
+def test_blocks_share_passes(spark, monkeypatch):
+    rng = random.Random(12)
+    bench = spark.createDataFrame([(i, prose(20, rng)) for i in range(60)], "item_id long, text string")
+    monkeypatch.setattr(dc, "blocks", lambda b, i, f=dc.blocks: f(b, i, size=300))
+    sizes = [len(p) for p in dc.passes(bench)]
+    assert sum(sizes) == len(list(dc.blocks(bench, "item_id"))) and max(sizes) <= dc.BLOCKS + 2 and len(sizes) <= sum(sizes) / dc.BLOCKS + 1
+
+
 def test_the_whole_query_equals_brute_force(spark, tmp_path):
     """op2 over small tables against the full edit table of every window and document."""
     from voxloom.llm import queries

@@ -10,9 +10,11 @@ budget.  So an exact quotation of ``WINDOW + STRIDE - 1`` = 51 characters or mor
 the item it begins, shorter ones of 48 only where they hold a window, and yet shorter ones never.
 
 The benchmark is the query set and is held against all documents in blocks whose index has a
-bounded size (``passages.BLOCK`` code points); a larger benchmark takes more passes.
+bounded size (``passages.BLOCK`` code points).  A pass over the documents takes ``BLOCKS`` of them, and more only where one
+item fills more; a task holds the indexes of ``BLOCKS`` blocks at most.  Passes are written before the next begins, so what
+the driver has sent out for one doesn't stay.
 
-Defined cases: null or empty texts and items match nothing, nor do items of fewer than q
+Defined cases: items of one id are one item, whatever their texts, and repeated items count once; null or empty texts and items match nothing, nor do items of fewer than q
 characters; letter case and the kind of white space don't count; repeated rows repeat in the
 result; null ids stay null; empty tables give no rows; texts of any length are scanned whole, in
 overlapping spans; other columns are not read (the filter passes them through).
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .alignment import banded
+from .common import discard, materialize
 from .passages import BLOCK, SPAN, GramIndex, Shapes, Window, crowded, cut_windows, fold, meetings, short_hashes
 
 Q = 8
@@ -38,6 +41,8 @@ RATE = 0.1
 PART = 1_024
 #: Characters of an item that come to the driver in one row; a multiple of ``STRIDE``.
 PIECE = 1 << 14
+#: Blocks of one pass, and indexes that a task holds.
+BLOCKS = 4
 #: Windows that are aligned at once.
 VERIFIED = 1_024
 
@@ -133,10 +138,11 @@ def blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text", size:
     row that reaches the driver nor a block grows with an item.
     """
     stripped = F.btrim(F.col(text), F.lit(_BLANKS))
-    items = benchmark.select(F.col(key).alias("item"), stripped.alias("text")).where(F.col("text").isNotNull())
+    items = benchmark.select(F.col(key).alias("item"), stripped.alias("text")).where(F.col("text").isNotNull()).distinct()
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.length("text") - WINDOW), F.lit(PIECE))
     pieces = items.select("item", "text", F.explode(starts).alias("start"))
-    pieces = pieces.select("item", "start", F.expr(f"substring(text, start + 1, {PIECE + WINDOW - STRIDE})"))
+    # texts of one item follow each other, and so do the pieces of a text
+    pieces = pieces.orderBy("item", F.xxhash64("text"), "start").select("item", "start", F.expr(f"substring(text, start + 1, {PIECE + WINDOW - STRIDE})"))
     now: list[Window] = []
     held = 0
     for item, start, t in pieces.toLocalIterator():
@@ -151,6 +157,33 @@ def blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text", size:
         yield now
 
 
+def passes(benchmark: DataFrame, key: str = "item_id") -> Iterator[list[list[Window]]]:
+    """Blocks by pass: ``BLOCKS`` of them, and those after them that go on with the last one's item."""
+    now: list[list[Window]] = []
+    for block in blocks(benchmark, key):
+        if block and len(now) >= BLOCKS and now[-1][-1].item != block[0].item:
+            yield now
+            now = []
+        if block:
+            now.append(block)
+    if now:
+        yield now
+
+
+class Scanners:
+    """The scanners of a pass; beyond ``BLOCKS`` they are made anew for each batch of texts."""
+
+    def __init__(self, blocks_: list[list[Window]]):
+        self.blocks, self.kept = blocks_, {}
+
+    def __iter__(self) -> Iterator[Scanner]:
+        for i, windows in enumerate(self.blocks):
+            scanner = self.kept.get(i) or Scanner(windows)
+            if i < BLOCKS - (len(self.blocks) > BLOCKS):
+                self.kept[i] = scanner
+            yield scanner
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id") -> DataFrame:
     """One row for each document and item that it holds, with the place and the edits."""
     spark = docs.sparkSession
@@ -159,18 +192,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     item_type = to_arrow_type(benchmark.schema[item].dataType)
     slim = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
 
-    def scan(windows: list[Window]) -> DataFrame:
-        shipped = spark.sparkContext.broadcast(windows)
-
+    def scan(shipped) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            scanner = Scanner(shipped.value)
+            scanners = Scanners(shipped.value)
             for b in batches:
-                rows = []
-                for i, t in enumerate(b.column("text").to_pylist()):
-                    by_item: dict = {}
-                    for w, edits, start, end in scanner(t):
-                        by_item.setdefault(scanner.windows[w].item, []).append((edits, start, end))
-                    rows += [(i, it, len(f), sum(x[0] for x in f), min(x[1] for x in f), max(x[2] for x in f)) for it, f in by_item.items()]
+                by_pair: dict = {}
+                texts = b.column("text").to_pylist()
+                for scanner in scanners:
+                    for i, t in enumerate(texts):
+                        for w, edits, start, end in scanner(t):
+                            by_pair.setdefault((i, scanner.windows[w].item), []).append((edits, start, end))
+                rows = [(i, it, len(f), sum(x[0] for x in f), min(x[1] for x in f), max(x[2] for x in f)) for (i, it), f in by_pair.items()]
                 cols = list(zip(*rows)) or [()] * 6
                 types = [pa.int32(), pa.int32(), pa.int64(), pa.int64()]
                 keys = b.column("doc_id").take(pa.array(cols[0], pa.int64()))
@@ -179,27 +211,41 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 
         return slim.mapInArrow(run, schema)
 
-    found = None
-    for windows in blocks(benchmark, item):
-        part = scan(windows)
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], schema)
+    found, last = None, None
+    for blocks_ in passes(benchmark, item):
+        if last is not None:
+            part = materialize(scan(last), "leaks")
+            last.destroy()
+            found = part if found is None else found.unionByName(part)
+        last = spark.sparkContext.broadcast(blocks_)
+    if last is None:
+        return spark.createDataFrame([], schema)
+    return scan(last) if found is None else found.unionByName(scan(last))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id") -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
     at = docs.columns.index(text)
 
-    def clean(windows: list[Window], kept: DataFrame) -> DataFrame:
-        shipped = docs.sparkSession.sparkContext.broadcast(windows)
-
+    def clean(shipped, kept: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            scanner = Scanner(shipped.value)
+            scanners = Scanners(shipped.value)
             for b in batches:
-                yield b.filter(pa.array([not scanner(t, any_=True) for t in b.column(at).to_pylist()], pa.bool_()))
+                texts = b.column(at).to_pylist()
+                good = np.ones(len(texts), bool)
+                for scanner in scanners:
+                    for i in np.flatnonzero(good).tolist():
+                        good[i] = not scanner(texts[i], any_=True)
+                yield b.filter(pa.array(good))
 
         return kept.mapInArrow(run, docs.schema)
 
-    for windows in blocks(benchmark, item):
-        docs = clean(windows, docs)
-    return docs
+    given, last = docs, None
+    for blocks_ in passes(benchmark, item):
+        if last is not None:
+            before, docs = docs, materialize(clean(last, docs), "clean")
+            last.destroy()
+            if before is not given:
+                discard(before)
+        last = docs.sparkSession.sparkContext.broadcast(blocks_)
+    return docs if last is None else clean(last, docs)
