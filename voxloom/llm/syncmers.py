@@ -42,6 +42,8 @@ ROWS_PER_CELL = 512
 SAMPLED = 16
 #: Pairs of equal anchors that are followed one by one; beyond, whole words of bits are.
 PAIRS = 1 << 22
+#: Elements of a bit vector's step that cost as much as one of a run's.
+RUN_COST = 500
 #: Code points that are hashed at once.
 PIECE = 1 << 19
 
@@ -168,8 +170,69 @@ def _chain_of_bits(x: list, y: np.ndarray) -> int:
     return len(y) - v.bit_count()
 
 
+def _sliding_most(v: np.ndarray, n: int) -> np.ndarray:
+    """Of each place the most of the ``n`` values that end there, fewer at the start."""
+    done, out = 1, v
+    while done < n:
+        step = min(done, n - done)
+        out = np.concatenate([out[:step], np.maximum(out[step:], out[:-step])])
+        done += step
+    return out
+
+
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where runs of one element begin."""
+    return np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+
+
+def _chain_of_runs(x: np.ndarray, y: np.ndarray) -> int:
+    """Longest common subsequence by runs of x: one step over y for each, however long the run.
+
+    ``row[j]`` is the chain of what is done of x and the first j of y.  A run of n equal elements adds min(n, those
+    in y[i:j]) to the best row[i]; with c[j] of them before j that is c[j] plus the most of row[i] - c[i] over
+    the i whose c[i] lies within n of c[j], and among those with one c[i] the last is best.
+    """
+    row = np.zeros(len(y) + 1, np.int64)
+    begin = _runs(x)
+    for h, n in zip(x[begin].tolist(), np.diff(np.append(begin, len(x))).tolist()):
+        places = np.flatnonzero(y == h)
+        if n == 1 and len(places) <= 64:  # each place lifts what follows it as far as the next rise
+            for p in places[::-1].tolist():
+                up = row[p] + 1
+                row[p + 1 : np.searchsorted(row, up)] = up
+            continue
+        if not len(places):
+            continue
+        best = row[places] - np.arange(len(places))  # the last i with each c[i] that has a next h
+        most = _sliding_most(best, min(n, len(places)))  # over the n values before each c[j]
+        # a row's own place and, from its last h on, what that brings; rows between two h's take over the one before
+        brought = most + np.arange(1, len(places) + 1)
+        after = int(places[0]) + 1
+        upto = np.repeat(np.arange(len(places)), np.diff(np.append(places, len(y))))  # c[j] - 1, from there on
+        np.maximum(row[after:], brought[upto], out=row[after:])
+    return int(row[-1])
+
+
+def _chain(x: np.ndarray, y: np.ndarray) -> int:
+    """The longest common subsequence of two sequences of the same elements, the cheapest way."""
+    values, nx = np.unique(x, return_counts=True)
+    _, ny = np.unique(y, return_counts=True)
+    if len(values) == 1:
+        return min(len(x), len(y))
+    if int(nx @ ny) <= PAIRS:
+        return _chain_of_pairs(x.tolist(), y.tolist())
+    if len(_runs(x)) * len(y) > len(_runs(y)) * len(x):
+        x, y = y, x
+    if len(_runs(x)) * RUN_COST < len(x):
+        return _chain_of_runs(x, y)
+    return _chain_of_bits(x.tolist(), y)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Twice the longest common chain over the number of anchors of both."""
+    """Twice the longest common chain over the number of anchors of both.
+
+    Common ends cost one look, and runs of one anchor, as constant text gives them, one step each.
+    """
     total = len(a) + len(b)
     if not total:
         return 1.0
@@ -183,9 +246,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     x, y = a[np.isin(a, b)], b[np.isin(b, a)]
     chain = head + tail
     if len(x):
-        _, nx = np.unique(x, return_counts=True)
-        _, ny = np.unique(y, return_counts=True)
-        chain += _chain_of_pairs(x.tolist(), y.tolist()) if int(nx @ ny) <= PAIRS else _chain_of_bits(x.tolist(), y)
+        chain += _chain(x, y)
     return 2.0 * chain / total
 
 
