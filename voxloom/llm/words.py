@@ -12,12 +12,12 @@ import xxhash
 from .syncmers import mix
 
 #: Bytes of text that are coded together; a longer text is coded alone.
-GROUP = 1 << 23
+GROUP = 1 << 22
 #: Bytes that are cut into Python words at once.
 SLICE = 1 << 21
 
 #: Rows of counts that a task holds before it hands them on.
-HELD = 1 << 20
+HELD = 1 << 18
 
 BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(BASE, -1, 1 << 64)
