@@ -22,9 +22,9 @@ def rows():
 def loop(rows, n_shards):
     by = collections.defaultdict(list)
     for i, t, s, *_ in rows:
-        d = hashlib.md5(f"{sharding.SEED}:{'' if i is None else i}".encode()).hexdigest()
-        size = len((t or "").encode()) + 1
-        by[s].append((d, -1 if i is None else i, zlib.crc32((t or "").encode()), size))
+        crc, size = zlib.crc32((t or "").encode()), len((t or "").encode()) + 1
+        d = hashlib.md5(f"{sharding.SEED}:{'' if i is None else i}:{crc}:{size}".encode()).hexdigest()
+        by[s].append((d, -1 if i is None else i, crc, size))
     ranked = []
     for s, have in by.items():
         for r, x in enumerate(sorted(have), 1):
@@ -50,6 +50,14 @@ def test_shards_equal_a_loop(spark, per_bucket, least):
     assert {r.law for r in got} == {"rows"} and {r.grown_shard for r in got} == {None}
 
 
+def test_null_and_repeated_keys_and_copies(spark, monkeypatch):
+    """Hot keys spread over cells by their texts; copies move as one row."""
+    monkeypatch.setattr(sharding, "DEALT", 7)
+    have = [(None, f"t{i}", "hot", "x", 1) for i in range(300)] + [(5, f"u{i}", "hot", "x", 1) for i in range(300)] + [(None, "copy", "hot", "x", 1)] * 300 + [(6, "x" * 3_000_000, "a", "x", 1)]
+    df = sharding.interleave_shards(spark.createDataFrame(have, SCHEMA).repartition(3))
+    assert collections.Counter((-1 if r.doc_id is None else r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in df.collect()) == loop(have, 16)
+
+
 def test_every_shard_matches_the_mixture(spark):
     have = rows()
     got = sharding.interleave_shards(spark.createDataFrame(have, SCHEMA), 8).collect()
@@ -86,7 +94,7 @@ def test_registered_sql(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 14))
 def test_each_operator_returns_its_contract(spark, n):
     from voxloom.llm import queries
 
@@ -97,10 +105,13 @@ def test_each_operator_returns_its_contract(spark, n):
         6: {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint", "kept": "boolean"},
         7: {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
         9: {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+        11: {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint"},
+        12: {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
+        13: {"lang": "string", "source": "string", "part": "string", "item": "string", "value": "bigint", "rank": "int"},
         10: {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"},
     }.get(n, {"doc_id": "bigint"})
     name = next(q for q in queries.queries() if q.startswith(f"op{n}_"))
     df = queries.queries()[name](spark, "/root/testdata/sf0.001")
     assert need.items() <= dict(df.dtypes).items()
-    if n in (1, 3, 4, 5, 6, 7, 9, 10):
+    if n in (1, 3, 4, 5, 6, 7, 9, 10, 12):
         assert df.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()

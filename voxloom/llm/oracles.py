@@ -21,12 +21,12 @@ bytes AS (
   SELECT doc_id, source, coalesce(text, '') AS text,
          list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS b
   FROM documents),
-base AS (
+summed AS (
   SELECT doc_id, source, octet_length(encode(text))::BIGINT + 1 AS size,
          CASE WHEN len(b) = 0 THEN 0 ELSE
-           xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) END AS text_crc32,
-         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS digest
+           xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) END AS text_crc32
   FROM bytes, crc),
+base AS (SELECT *, md5(concat_ws(':', '{SEED}', coalesce(doc_id::VARCHAR, ''), text_crc32::BIGINT, size)) AS digest FROM summed),
 ranked AS (
   SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY digest, doc_id, text_crc32, size) - 1)::DOUBLE
             / (2 * count(*) OVER (PARTITION BY source))::DOUBLE AS fraction
