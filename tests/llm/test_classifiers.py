@@ -6,6 +6,7 @@ import time
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from voxloom.llm import quality, toxicity
@@ -180,7 +181,52 @@ def test_one_row_a_key_and_bounded_lines(spark):
     sample = labelled.labelled_sample(docs, labels, "quality", 10)
     assert sorted((r.doc_id, r.label) for r in sample.collect()) == [(1, 1), (2, 0), (3, 1)]
     lines = F.regexp_count("text", F.lit("\n")) + 1
-    assert labelled.within(sample, lines, 6).count() == 3 and labelled.within(sample, lines, 3).count() < 3
+    assert labelled.within(sample, lines, 6, share=1).count() == 3 and labelled.within(sample, lines, 5, share=1).count() == 2
+
+
+def test_huge_rows_neither_fill_a_sample_nor_end_it(spark):
+    from voxloom.llm import labelled
+
+    size = F.col("size")
+    table = lambda rows: spark.createDataFrame([(i, int(y), n) for i, (y, n) in enumerate(rows)], "doc_id long, label int, size long")
+    kept = lambda rows, most: {r.doc_id for r in labelled.within(table(rows), size, most).collect()}
+    small = [(i % 3 == 0, 1 + i % 5) for i in range(60)]
+    for huge in (2_001, 150_000, 199_999, 200_001, 10**12):
+        for y in (0, 1):
+            assert kept([*small, (y, huge)], 200_000) == set(range(60))
+    assert kept([(0, 500), (1, 1), (0, 600)], 1000) == {0, 1}  # all of one class are huge: the smallest first
+    assert kept([(0, 400), (1, 600), (1, 700)], 1000) == {0, 1}
+    assert kept([(0, 1)] * 10 + [(1, 1)] * 150, 110) == set(range(10)) | kept([(0, 1)] * 10 + [(1, 1)] * 150, 110)
+    assert len(kept([(0, 1)] * 10 + [(1, 1)] * 150, 110)) == 110  # a class may use what the other leaves
+    have = kept([(i % 2, 1) for i in range(1000)], 100)
+    assert len([i for i in have if i % 2]) == len([i for i in have if not i % 2]) == 50
+    with pytest.raises(ValueError):
+        kept([(0, 5000), (1, 1)], 1000)
+    assert kept([(1, 3), (1, 4)], 1000) == {0, 1} and kept([], 10) == set()
+
+
+def test_one_long_labelled_text_leaves_the_fit_alone(spark):
+    rows = [(i, good() if i % 2 else bad()) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(62)], "doc_id long, quality int, toxic int")
+
+    def verdicts(more):
+        docs = spark.createDataFrame(rows + more, "doc_id long, text string")
+        return {r.doc_id: r.predicted for r in quality.score(docs, quality.fit(docs, labels)).collect() if r.doc_id < 60}
+
+    plain = verdicts([])
+    assert plain == {i: i % 2 for i in range(60)}
+    for n in (150_000, 199_999, 200_001):
+        for doc in (60, 61):
+            assert verdicts([(doc, "\n" * (n - 1))]) == plain
+
+
+def test_lines_are_measured_alike_in_blocks(monkeypatch):
+    texts = [good(), "", "a\n\nb", bad() * 3, "x" * 500, "\n" * 70]
+    whole = quality.measure(texts)
+    monkeypatch.setattr(quality, "CHUNK", 40)
+    for a, b in zip(whole, quality.measure(texts)):
+        assert (a == b).all()
+    assert [x.tolist() for x in quality.measure([""])][1:] == [[0.0], [1]]
 
 
 def test_the_toxicity_query_equals_a_loop(spark, tmp_path):

@@ -30,11 +30,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, a
     return materialize(rows.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "sample")
 
 
-def within(sample: DataFrame, size: Column, most: int) -> DataFrame:
-    """The rows of a sample, in order of a hash of the key, whose sizes add up to ``most`` at most.
+def within(sample: DataFrame, size: Column, most: int, share: int = 100) -> DataFrame:
+    """Rows of a sample, of both classes (label 0 and others), whose sizes add up to ``most`` at most.
 
-    The sample is bounded already, so its keys and sizes may pass one task.
+    Each class has half of ``most``, and what the other leaves.  Rows go in order of a hash of the key.  Those larger than
+    ``most / share`` are left out, so that a few huge rows neither fill the sample nor outweigh it; where a class has no others, its
+    smallest is taken.  A class's first row may have up to ``most`` alone; it is an error if it has more.  The sample is bounded already, so its keys and sizes may pass one task.
     """
-    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
-    sized = sample.select("doc_id", F.sum(size).over(order).alias("upto"))
-    return sample.join(F.broadcast(sized.where(F.col("upto") <= most).select("doc_id")), "doc_id")
+    positive = (F.col("label") > 0).alias("positive")
+    sized = sample.select("doc_id", positive, size.cast("long").alias("size"))
+    huge = F.col("size") * share > most
+    order = Window.partitionBy("positive").orderBy(huge, F.when(huge, F.col("size")).otherwise(0), F.xxhash64("doc_id"), "doc_id")
+    sized = sized.withColumn("nth", F.row_number().over(order)).where(~huge | (F.col("nth") == 1))
+    sized = sized.withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    of_class = F.sum("size").over(Window.partitionBy("positive"))
+    sized = sized.withColumn("rest", F.sum("size").over(Window.partitionBy()) - of_class)
+    room = F.greatest(F.lit(most // 2), most - F.col("rest"))
+    kept = sized.where((F.col("upto") <= room) | (F.col("nth") == 1) & (F.col("size") <= most))
+    kept = materialize(kept.select("doc_id", "positive"), "within")
+    if kept.select("positive").distinct().count() < sample.select(positive).distinct().count():
+        raise ValueError(f"no document of one class fits into a sample of {most} lines or features; raise the bound")
+    return sample.join(F.broadcast(kept.select("doc_id")), "doc_id")

@@ -10,7 +10,7 @@ document's label, rounds of posterior regularisation follow: the lines' labels a
 model expects, moved no further than it takes for the length-weighted good share of a good document to be
 ``SURE`` or more and of a bad one ``1 - SURE`` or less; then the weights are fitted to them.  So a
 half-good document may have good lines and bad ones, and the transitions see both.  The fit reads at
-most ``MAX_SAMPLE`` labelled documents of at most ``MAX_LINES`` lines together (a bounded, documented sample)
+most ``MAX_SAMPLE`` labelled documents of at most ``MAX_LINES`` lines together and a hundredth of that each (a bounded, documented sample)
 and sees only their text; key, language and source are never inputs.  Scoring reads every line of every
 document.
 
@@ -76,12 +76,29 @@ def _class_table() -> np.ndarray:
 _TABLE = _class_table()
 
 
-def measure(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Step codes of every line, lengths of the lines, and the number of lines of each text."""
-    raw = [t.encode("utf-8") for t in texts]
-    n_lines = np.array([r.count(b"\n") + 1 for r in raw], dtype=np.int64)
-    lines = [line for r in raw for line in r.split(b"\n")]
-    joined = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+def _line_blocks(raws: list[bytes]) -> Iterator[bytes]:
+    """All lines of the texts in order, as blocks of whole lines of about ``CHUNK`` bytes; a longer line is a block."""
+    held, n = [], 0
+    for raw in raws:
+        at = 0
+        while len(raw) - at > CHUNK:
+            cut = raw.find(b"\n", at + CHUNK)
+            if cut < 0:
+                break
+            yield b"\n".join([*held, raw[at:cut]])
+            held, n, at = [], 0, cut + 1
+        held.append(raw[at:] if at else raw)
+        n += len(raw) - at
+        if n > CHUNK:
+            yield b"\n".join(held)
+            held, n = [], 0
+    if held:
+        yield b"\n".join(held)
+
+
+def _measure_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    joined = np.frombuffer(block + b"\n", np.uint8)
+    lines = block.split(b"\n")
     ends = np.flatnonzero(joined == 10)
     starts = np.append(0, ends[:-1] + 1)
     size = (ends - starts).astype(float)
@@ -100,8 +117,18 @@ def measure(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     share["word"] = size / np.maximum(n_words, 1)
     share["distinct"] = np.where(n_words > 0, n_distinct / np.maximum(n_words, 1), 1.0)
     share["size"] = np.log1p(size)
-    steps = np.stack([share[name] > cut for name, cuts in _CUTS.items() for cut in cuts], axis=1)
-    return steps, size, n_lines
+    return np.stack([share[name] > cut for name, cuts in _CUTS.items() for cut in cuts], axis=1), size
+
+
+def measure(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Step codes of every line, lengths of the lines, and the number of lines of each text.
+
+    Lines are measured in blocks, so that what a text needs is its step codes and one block's words.
+    """
+    raw = [t.encode("utf-8") for t in texts]
+    n_lines = np.array([r.count(b"\n") + 1 for r in raw], dtype=np.int64)
+    steps, sizes = zip(*map(_measure_block, _line_blocks(raw)))
+    return np.concatenate(steps), np.concatenate(sizes), n_lines
 
 
 def features(steps: np.ndarray, n_lines: np.ndarray) -> np.ndarray:
@@ -295,7 +322,7 @@ def fit_chain(x: np.ndarray, n_lines: np.ndarray, labels: np.ndarray, weight: np
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, key: str = "doc_id", text: str = "text", most: int = MAX_SAMPLE) -> ChainModel:
     """A model from a bounded sample of the labelled documents (those that ``allowed`` admits)."""
     drawn = labelled_sample(docs, labels, "quality", most, allowed, key, text)
-    sample = within(drawn, F.regexp_count("text", F.lit("\n")) + 1, MAX_LINES)
+    sample = within(drawn, F.regexp_count("text", F.lit("\n")) + 1, MAX_LINES)  # of both classes, if there are
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_parts(batches):

@@ -133,6 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     sizes = dict(sample.groupBy((F.col("label") > 0).cast("int").alias("toxic")).count().collect())
     n_bad, n_good = sizes.get(1, 0), sizes.get(0, 0)
     if not n_bad or not n_good:
+        discard(sample)
         return OrdinalModel(thresholds=(-30.0, 30.0, 31.0) if n_bad else (30.0, 31.0, 32.0))
     counted = sample.mapInArrow(distinct, "word string, label int").groupBy("word")
     counted = counted.agg(F.sum((F.col("label") > 0).cast("long")).alias("bad"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_DOCS)
