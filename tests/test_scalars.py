@@ -207,6 +207,31 @@ def test_matched_words_equal_difflib():
         text.MAX_PAIRS = most
 
 
+def test_matched_words_at_every_size_and_in_long_texts(monkeypatch):
+    import random
+    import time
+    from difflib import SequenceMatcher
+
+    from voxloom.functions import text
+
+    rng = random.Random(1)
+    for k in range(600):
+        v = rng.randrange(1, 7)
+        a = [str(rng.randrange(v)) for _ in range(rng.randrange(25))]
+        b = [w for w in a if rng.random() < 0.8] + ["new"] if k % 3 == 0 else [str(rng.randrange(v)) for _ in range(rng.randrange(25))]
+        monkeypatch.setattr(text, "MAX_PAIRS", rng.choice([0, 3, 30, 1 << 20]))
+        monkeypatch.setattr(text, "MAX_RUN", rng.choice([2, 4, 64]))
+        want = np.zeros(len(a), bool)
+        for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
+            want[m.a : m.a + m.size] = True
+        assert np.array_equal(text.matched_words(a, b), want)
+    monkeypatch.undo()
+    a = [str(rng.randrange(50)) for _ in range(200_000)]
+    for b in ([w for w in a if rng.random() < 0.9], [str(rng.randrange(50)) for _ in range(200_000)]):
+        began = time.perf_counter()
+        assert text.matched_words(a, b).sum() > 30_000 and time.perf_counter() - began < 20
+
+
 def test_agreement_divides_matched_by_all(spark):
     from voxloom.functions import text
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_left
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -30,16 +31,30 @@ def collapse(c: Column) -> Column:
     return strip(F.regexp_replace(c, f"{BLANKS}+", " "))
 
 
+def _forms(s: pd.Series) -> pd.Series:
+    return s.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t))
+
+
 @F.pandas_udf(T.StringType())
 def compatibility_form(s: pd.Series) -> pd.Series:
     """NFKC, which has no built-in function."""
-    return s.map(lambda t: None if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t))
+    return _forms(s)
+
+
+@F.pandas_udf(T.StructType().add("one", "string").add("two", "string"))
+def compatibility_forms(one: pd.Series, two: pd.Series) -> pd.DataFrame:
+    """NFKC of two texts, which reach Python together."""
+    return pd.DataFrame({"one": _forms(one), "two": _forms(two)})
+
+
+def _one_spelling(form: Column) -> Column:
+    c = F.translate(form, LETTERS_FROM + DIGITS_FROM, LETTERS_TO + DIGITS_TO)
+    return collapse(F.regexp_replace(F.regexp_replace(c, MARKS, ""), NOT_KEPT, " "))
 
 
 def normalize_persian(c: Column) -> Column:
     """One spelling for what differs only in writing; null becomes empty."""
-    c = F.translate(compatibility_form(F.coalesce(c, F.lit(""))), LETTERS_FROM + DIGITS_FROM, LETTERS_TO + DIGITS_TO)
-    return collapse(F.regexp_replace(F.regexp_replace(c, MARKS, ""), NOT_KEPT, " "))
+    return _one_spelling(compatibility_form(F.coalesce(c, F.lit(""))))
 
 
 def script_ratio(c: Column, low: str = "0600", high: str = "06FF") -> Column:
@@ -59,47 +74,110 @@ def preview(c: Column, size: int = 45) -> Column:
     return F.replace(F.substring(c, 1, size), F.lit("\n"), F.lit(" "))
 
 
-#: Pairs of equal words that the block search holds at once; beyond, it goes word by word.
-MAX_PAIRS = 1 << 22
+#: Pairs of equal runs of words that the block search holds at once, and the longest runs that it begins with.
+MAX_PAIRS, MAX_RUN = 1 << 20, 64
+
+
+class _Blocks:
+    """Matching blocks of two rows of words: the longest common run (the first in a, then in b), then the same to its left and right.
+
+    Runs of ``size`` words or more are found at once, as stretches of diagonals; a part of the texts clips them.  A part that
+    has none left is searched for shorter ones, in itself.  Without runs of two the rule is to take each word of a in
+    turn where b has it next.
+    """
+
+    def __init__(self, a: list[str], b: list[str]):
+        number: dict[str, int] = {}
+        x, y = (np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int64) for words in (a, b))
+        self.n, self.split = len(x), len(x) + 1
+        self.grams = [np.concatenate([x, [-1], y, [-2]])]  # by size; a run over an end of a text equals no other
+        self.words_b: dict[int, list[int]] = {}
+        self.out = np.zeros(len(a), bool)
+
+    def gram(self, size: int) -> np.ndarray:
+        while len(self.grams) < size:
+            last, n = self.grams[-1], len(self.grams)
+            key = last[:-1] * (int(self.grams[0].max(initial=0)) + 3) + self.grams[0][n:] + 2
+            self.grams.append(np.unique(key, return_inverse=True)[1])
+        return self.grams[size - 1]
+
+    def pairs(self, a0: int, a1: int, b0: int, b1: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(order of b's runs, first of each of a's among them, how many of each, places of a's)"""
+        g = self.gram(size)
+        x, y = g[a0 : max(a1 - size + 1, a0)], g[self.split + b0 : max(self.split + b1 - size + 1, self.split + b0)]
+        order = np.argsort(y, kind="stable")
+        low, high = np.searchsorted(y[order], x, "left"), np.searchsorted(y[order], x, "right")
+        return order + b0, low, high - low, np.arange(a0, a0 + len(x))
+
+    def runs(self, a0: int, a1: int, b0: int, b1: int, size: int) -> np.ndarray:
+        """Rows diagonal, begin and end (in a) of the maximal common runs of ``size`` or more."""
+        order, low, n, place = self.pairs(a0, a1, b0, b1, size)
+        i = np.repeat(place, n)
+        if not len(i):
+            return np.zeros((3, 0), np.int64)
+        d = order[np.repeat(low - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(len(i))] - i
+        by = np.lexsort((i, d))
+        i, d = i[by], d[by]
+        opens = np.flatnonzero((np.diff(d, prepend=d[:1] - 1) != 0) | (np.diff(i, prepend=-2) != 1))
+        return np.stack([d[opens], i[opens], i[np.append(opens[1:], len(i)) - 1] + size])
+
+    def first_size(self, n_b: int) -> int | None:
+        """The least size from two on with few enough pairs."""
+        for size in range(2, MAX_RUN + 1):
+            if int(self.pairs(0, self.n, 0, n_b, size)[2].sum()) <= MAX_PAIRS:
+                return size
+        return None
+
+    def search(self, a0: int, a1: int, b0: int, b1: int, size: int) -> None:
+        parts = [(a0, a1, b0, b1, self.runs(a0, a1, b0, b1, size))]
+        while parts:
+            a0, a1, b0, b1, (d, s, e) = parts.pop()
+            if a0 >= a1 or b0 >= b1:
+                continue
+            s, e = np.maximum(s, np.maximum(a0, b0 - d)), np.minimum(e, np.minimum(a1, b1 - d))
+            there = e - s >= size
+            d, s, e = d[there], s[there], e[there]
+            if not len(d):
+                if size == 2:
+                    self.singles(a0, a1, b0, b1)
+                else:
+                    self.search(a0, a1, b0, b1, size - 1)
+                continue
+            longest = np.flatnonzero(e - s == (e - s).max())
+            k = longest[np.lexsort((d[longest], s[longest]))[0]]
+            begin, end, off = int(s[k]), int(e[k]), int(d[k])
+            self.out[begin:end] = True
+            left, right = s < begin, e > end
+            parts += [(a0, begin, b0, begin + off, (d[left], s[left], e[left])), (end, a1, end + off, b1, (d[right], s[right], e[right]))]
+
+    def singles(self, a0: int, a1: int, b0: int, b1: int) -> None:
+        if not self.words_b:
+            for j, w in enumerate(self.grams[0][self.split : -1].tolist()):
+                self.words_b.setdefault(w, []).append(j)
+        for i, w in enumerate(self.grams[0][a0:a1].tolist(), a0):
+            there = self.words_b.get(w)
+            if there:
+                k = bisect_left(there, b0)
+                if k < len(there) and there[k] < b1:
+                    self.out[i] = True
+                    b0 = there[k] + 1
 
 
 def matched_words(a: list[str], b: list[str]) -> np.ndarray:
-    """Which words of a lie in matching blocks with b: the longest common run (the first in a, then in b), then the same to
-    its left and right.
+    """Which words of a lie in matching blocks with b.
 
-    All maximal common runs are found once, as stretches of diagonals; a part of the texts clips them.
+    Texts that repeat so much that even long runs have too many pairs go word by word.
     """
-    out = np.zeros(len(a), bool)
-    number: dict[str, int] = {}
-    x, y = (np.array([number.setdefault(w, len(number)) for w in words], dtype=np.int64) for words in (a, b))
-    order = np.argsort(y, kind="stable")
-    low, high = np.searchsorted(y[order], x, "left"), np.searchsorted(y[order], x, "right")
-    n = high - low
-    if int(n.sum()) > MAX_PAIRS:
+    if not a or not b:
+        return np.zeros(len(a), bool)
+    blocks = _Blocks(a, b)
+    size = blocks.first_size(len(b))
+    if size is None:
         for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks():
-            out[m.a : m.a + m.size] = True
-        return out
-    i = np.repeat(np.arange(len(x)), n)
-    j = order[np.repeat(low - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(len(i))] if len(i) else i
-    d = j - i
-    order = np.lexsort((i, d))
-    i, d = i[order], d[order]
-    opens = np.flatnonzero((np.diff(d, prepend=d[:1] - 1) != 0) | (np.diff(i, prepend=-2) != 1))
-    runs = np.stack([d[opens], i[opens], i[np.append(opens[1:], len(i)) - 1] + 1]) if len(i) else np.zeros((3, 0), np.int64)
-    parts = [(0, len(a), 0, len(b), runs)]
-    while parts:
-        a0, a1, b0, b1, (d, s, e) = parts.pop()
-        s, e = np.maximum(s, np.maximum(a0, b0 - d)), np.minimum(e, np.minimum(a1, b1 - d))
-        there = e > s
-        d, s, e = d[there], s[there], e[there]
-        if not len(d):
-            continue
-        k = np.lexsort((d, s, s - e))[0]
-        begin, end, off = int(s[k]), int(e[k]), int(d[k])
-        out[begin:end] = True
-        left, right = s < begin, e > end
-        parts += [(a0, begin, b0, begin + off, (d[left], s[left], e[left])), (end, a1, end + off, b1, (d[right], s[right], e[right]))]
-    return out
+            blocks.out[m.a : m.a + m.size] = True
+    else:
+        blocks.search(0, len(a), 0, len(b), size)
+    return blocks.out
 
 
 @F.pandas_udf(T.StructType().add("score", "double").add("missed", T.ArrayType(T.StringType())))
@@ -120,4 +198,5 @@ def _matched(ref: pd.Series, hyp: pd.Series) -> pd.DataFrame:
 def agreement(ref: Column, hyp: Column) -> Column:
     """score: share of the reference's words that the second text has in matching blocks (null
     without a second text or without words); missed: the others, in order."""
-    return _matched(normalize_persian(ref), F.when(hyp.isNotNull(), normalize_persian(hyp)))
+    forms = compatibility_forms(F.coalesce(ref, F.lit("")), F.coalesce(hyp, F.lit("")))
+    return _matched(_one_spelling(forms["one"]), F.when(hyp.isNotNull(), _one_spelling(forms["two"])))
