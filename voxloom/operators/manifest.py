@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import random
+from array import array
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.gates import effective_duration
+from ..functions.numbers import python_round
 from ..settings import Settings
 from .ranking import global_rank
 
@@ -42,21 +46,26 @@ def test_calls_by_hash(chunks: DataFrame, cfg: Settings, call: str = "call_id")
     return ranked.where(F.col("call_rank") < n_test(calls.count(), cfg)).drop("call_rank")
 
 
-#: Most calls whose ids may come to the driver for the seeded shuffle.
-MAX_SHUFFLED_CALLS = 2_000_000
+#: Most calls whose places may be shuffled on the driver: 8 bytes each.
+MAX_SHUFFLED_CALLS = 50_000_000
 
 
 def test_calls_by_shuffle(chunks: DataFrame, cfg: Settings, call: str = "call_id") -> DataFrame:
     """The test calls as Python's seeded shuffle of the sorted ids gives them.
 
-    The shuffle is sequential, so the ids come to the driver; for more than ``MAX_SHUFFLED_CALLS``
-    use the digest.
+    The shuffle is sequential, so it is done on the driver, but on places in the sorted order only; the ids stay
+    where they are and meet the chosen places by their ranks.  For more than ``MAX_SHUFFLED_CALLS`` use the digest.
     """
-    ids = [r[0] for r in chunks.select(call).distinct().orderBy(call).limit(MAX_SHUFFLED_CALLS + 1).collect()]
-    if len(ids) > MAX_SHUFFLED_CALLS:
+    calls = chunks.select(call).distinct()
+    ranked = global_rank(calls, [F.col(call).asc()], "call_rank")
+    n = ranked.count()
+    if n > MAX_SHUFFLED_CALLS:
         raise ValueError(f"more than {MAX_SHUFFLED_CALLS} calls; split by digest instead")
-    random.Random(cfg.split.seed).shuffle(ids)
-    return chunks.sparkSession.createDataFrame([(i,) for i in ids[: n_test(len(ids), cfg)]], chunks.select(call).schema)
+    places = array("q", range(n))
+    random.Random(cfg.split.seed).shuffle(places)
+    chosen = pd.DataFrame({"call_rank": np.frombuffer(places, np.int64)[: n_test(n, cfg)]})
+    picked = chunks.sparkSession.createDataFrame(chosen, "call_rank long")
+    return ranked.join(picked, "call_rank", "left_semi").select(call)
 
 
 def check_split(n_calls: int, cfg: Settings) -> None:
@@ -88,5 +97,5 @@ def merge_gold(train: DataFrame, gold: DataFrame, cfg: Settings) -> DataFrame:
 
 def to_records(chunks: DataFrame) -> DataFrame:
     """Chunks with ``duration`` and ``extent`` in milliseconds' precision."""
-    d = F.round(effective_duration(), 3) if "clip_duration" in chunks.columns else F.round(F.greatest(F.lit(0.0), F.col("end") - F.col("start")), 3)
-    return chunks.withColumns({"duration": d, "extent": F.array(F.round("start", 3), F.round("end", 3))})
+    d = effective_duration() if "clip_duration" in chunks.columns else F.greatest(F.lit(0.0), F.col("end") - F.col("start"))
+    return chunks.withColumns({"duration": python_round(d, 3), "extent": F.array(python_round(F.col("start"), 3), python_round(F.col("end"), 3))})

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -175,10 +176,11 @@ def silence_clusters(regions: DataFrame, keys: list[str], silence: float) -> Dat
     return rows.groupBy(*keys, "c_idx").agg(F.min_by("s", "r_idx").alias("s"), F.max_by("e", "r_idx").alias("e"), F.count(F.lit(1)).alias("n_regions"))
 
 
-def next_cut(start: np.ndarray, end: np.ndarray, i: int, max_s: float, target: float, pause: float) -> int:
+def next_cut(start: np.ndarray, end: np.ndarray, i: int, max_s: float, target: float, pause: float, more: bool = False) -> int | None:
     """Where the chunk that opens with word i ends: at the longest pause past the target, else where it is full.
 
-    The look-ahead doubles until the chunk is full, so a walk over all words stays linear.
+    The look-ahead doubles until the chunk is full, so a walk over all words stays linear.  Where ``more`` words
+    are to come and these don't fill the chunk, the end can't be told yet.
     """
     ahead = 64
     while True:
@@ -187,6 +189,8 @@ def next_cut(start: np.ndarray, end: np.ndarray, i: int, max_s: float, target: f
         if full <= i + len(past) or i + 1 + ahead >= len(end):
             break
         ahead *= 2
+    if more and full >= len(end):
+        return None
     k = np.arange(i + 1, full)
     gaps = start[k] - end[k - 1]
     fit = (end[k - 1] - start[i] >= target) & (gaps >= pause)
@@ -196,21 +200,45 @@ def next_cut(start: np.ndarray, end: np.ndarray, i: int, max_s: float, target: f
 def pack_words(words: DataFrame, cfg: Settings, keys: list[str] = ["call_id", "speaker"]) -> DataFrame:  # noqa: B006
     """Words (word_idx, text, start, end, score) with the ``chunk_idx`` of the chunk that each falls into.
 
-    Each cut depends on the one before, so a speaker's words are walked in order, one speaker at a time.
+    Each cut depends on the one before, so sorted words are walked as a stream: a task holds a batch and the words of one
+    open chunk, never a speaker.
     """
     c = cfg.chunk
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema)
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("word_idx", kind="stable")
-        start, end = pdf["start"].to_numpy(float), pdf["end"].to_numpy(float)
-        ids, i, chunk = np.zeros(len(pdf), "int32"), 0, 0
-        while i < len(pdf):
-            j = next_cut(start, end, i, c.max_s, c.target_mean_s, c.pause_cut_s)
-            ids[i:j], i, chunk = chunk, j, chunk + 1
-        return pdf.assign(chunk_idx=ids)
-
-    return words.groupBy(*keys).applyInPandas(walk, f"{kinds}, chunk_idx int")
+    rows = words.repartition(*keys).sortWithinPartitions(*keys, "word_idx")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+    def walk(table: pa.Table, number: int, more: bool) -> tuple[np.ndarray, int]:
+        """(chunks of the words decided on, number of the chunk that is open); the first word opens chunk ``number``."""
+        n = table.num_rows
+        opens = np.zeros(n, bool)
+        opens[:1] = True
+        for k in keys:
+            code = table.column(k).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            opens[1:] |= code[1:] != code[:-1]
+        start, end = (table.column(x).to_numpy().astype(float) for x in ("start", "end"))
+        bounds = np.append(np.flatnonzero(opens), n)
+        ids, i = np.zeros(n, "int32"), 0
+        for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            chunk = number if a == 0 else 0
+            while i < z:
+                j = next_cut(start[:z], end[:z], i, c.max_s, c.target_mean_s, c.pause_cut_s, more and z == n)
+                if j is None:
+                    return ids[:i], chunk
+                ids[i:j], i, chunk = chunk, j, chunk + 1
+        return ids, 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, number = None, 0
+        for b in batches:
+            table = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            ids, number = walk(table, number, more=True)
+            held = table.slice(len(ids))
+            yield from table.slice(0, len(ids)).append_column("chunk_idx", pa.array(ids, pa.int32())).combine_chunks().to_batches()
+        if held is not None and held.num_rows:
+            ids, _ = walk(held, number, more=False)
+            yield from held.append_column("chunk_idx", pa.array(ids, pa.int32())).combine_chunks().to_batches()
+
+    return rows.mapInArrow(run, f"{kinds}, chunk_idx int")
 
 
 def word_chunks(packed: DataFrame, keys: list[str] = ["call_id", "speaker"]) -> DataFrame:  # noqa: B006
