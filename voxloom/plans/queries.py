@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import gates, scoring, text
 from ..operators import manifest, reports, signal, turns
+from ..scratch import materialize
 from ..settings import Settings
 from ..sources import calls, manifests, writers
 from . import views
@@ -376,8 +377,10 @@ def q38_training_rows(spark, sf_dir):
 
 @query
 def q39_build_stats(spark, sf_dir):
-    judged = _judged(spark, sf_dir)
-    capped = _capped(spark, sf_dir).withColumn("call_id", F.expr("doc_id div 10").cast("string"))
+    # texts are judged and scored once; what is counted several times is written without them
+    judged = materialize(_judged(spark, sf_dir).select("doc_id", "reject_reason"), "judged")
+    scored = materialize(_scored(spark, sf_dir).drop("text"), "scored")
+    capped = manifest.cap_overlap(scored, CFG, ["doc_id"]).withColumn("call_id", F.expr("doc_id div 10").cast("string"))
     capped = manifest.split_by_call(capped, manifest.test_calls_by_hash(capped, CFG))
     call_rows = table(spark, sf_dir, "documents").select((F.col("doc_id") % 29 == 0).alias("skipped"))
     s = reports.build_stats(judged, capped, call_rows)
