@@ -83,3 +83,61 @@ def test_long_templates_and_repetitive_texts():
     (name, share, _), = scanner(f"{prose(50, rng)} {edit(body, 300, rng)} {prose(50, rng)}")
     assert name == "long/text" and li.COVERAGE <= share < 1
     assert scanner("-" * 100_000) == [] and scanner(("- " * 50 + "\n") * 1000) == []
+
+
+def full_table(pattern, text):
+    """(edits, start, end) of the best place of a pattern, from the whole edit table."""
+    row = [(0, j) for j in range(len(text) + 1)]
+    for i, c in enumerate(pattern, 1):
+        new = [(i, 0)]
+        for j, d in enumerate(text, 1):
+            new.append(min((row[j - 1][0] + (c != d), row[j - 1][1]), (row[j][0] + 1, row[j][1]), (new[j - 1][0] + 1, new[j - 1][1])))
+        row = new
+    edits, end = min((x[0], j) for j, x in enumerate(row))
+    return edits, row[end][1], end
+
+
+def test_the_whole_query_equals_full_tables(spark):
+    """Coverage, spans and the choice between rivals, recomputed window by window."""
+    rng = random.Random(31)
+    one, two, three = (prose(n, rng)[:size].strip() for n, size in ((40, 160), (40, 140), (60, 240)))
+    rival = one[:70] + "zqx" + one[73:]  # another license, three letters apart
+    templates = {"A/notice": one, "D/notice": rival, "B/notice": two, "C/text": three}
+    rows = []
+    for k, t in enumerate(list(templates.values()) * 6):
+        rows.append((k, f"{prose(8, rng)} {edit(t, rng.randrange(4), rng) if k >= 4 else t} {prose(8, rng)}"))
+    rows += [(100, f"{two} {prose(30, rng)} {one}"), (101, prose(60, rng)), (102, three[: len(three) // 2]), (103, None)]
+    got = {}
+    for r in li.find_licenses(spark.createDataFrame(rows, "doc_id long, text string"), templates).collect():
+        got.setdefault(r.doc_id, {})[f"{r.license}/{r.form}"] = (r.coverage, [(s.start, s.end) for s in r.spans])
+    scanner = li.LicenseScanner(templates)
+    for doc, text in rows:
+        folded = "".join(map(chr, fold(text))) if text else ""
+        best = {}
+        for name, t in templates.items():
+            covered, sure, places = np.zeros(len(t)), np.zeros(len(t)), []
+            for w in scanner.windows:
+                if w.item == name and folded:
+                    edits, start, end = full_table("".join(map(chr, w.cp)), folded)
+                    if edits <= w.edits:
+                        fit = np.full(len(w.cp), 1 - edits / len(w.cp))
+                        part = slice(w.start, w.start + len(w.cp))
+                        covered[part] = np.maximum(covered[part], fit)
+                        if edits <= 3:
+                            sure[part] = np.maximum(sure[part], fit)
+                        places.append((start, end))
+            best[name] = (covered.mean(), sure.mean(), places)
+        beaten = set()
+        for x, y in (("A/notice", "D/notice"), ("D/notice", "A/notice")):
+            if best[x][0] < best[y][0]:
+                beaten.add(x)
+        for name, (most, sure, places) in best.items():
+            found = got.get(doc, {}).get(name)
+            if found:
+                assert name not in beaten and li.COVERAGE <= found[0] <= most + 1e-9 and found[0] >= sure - 1e-9
+                assert all(any(abs(a - s) <= 6 or a >= s for s, _ in found[1]) for a, _ in places)
+                assert min(s for s, _ in found[1]) >= min(a for a, _ in places) - 6 and max(e for _, e in found[1]) <= max(b for _, b in places) + 6
+            else:
+                assert name in beaten or sure < li.COVERAGE, (doc, name, best[name][:2])
+    assert all(len(got.get(k, {})) == 1 for k in range(4)) and set(got[100]) == {"A/notice", "B/notice"} and not {101, 103} & set(got)
+    assert [got[k][n][0] for k, n in enumerate(templates)] == [1.0] * 4
