@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .bits import Bits, bits_of
 from .common import materialize
 from .syncmers import mix
-from .words import BASE, coded, groups, summed, word_hashes
+from .words import BASE, coded, groups, summed, word_hasher, word_hashes
 
 MOST_WORDS = 5
 LEAST = 100
@@ -94,7 +94,7 @@ def phrases(codes: np.ndarray, known: list[Bits], n: int) -> Iterator[tuple[int,
 
 
 def _count_words(docs: DataFrame) -> DataFrame:
-    """(lang, word, code, n); all words of a language together are a row without a word."""
+    """(lang, word, n); all words of a language together are a row without a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in coded_pieces(batches):
@@ -102,23 +102,21 @@ def _count_words(docs: DataFrame) -> DataFrame:
             at = np.flatnonzero(n)
             if len(at):
                 words = p.words.take(pa.array(at)).cast(pa.large_string()).cast(pa.string())
-                code = np.zeros(len(p.words), np.uint64)
-                code[p.ids[p.ids >= 0]] = p.codes[p.ids >= 0]
-                columns = [pa.concat_arrays([words, pa.nulls(1, pa.string())]), pa.array(np.append(mix(code[at]).view(np.int64), 0)), pa.array(np.append(n[at], n.sum()))]
-                yield pa.RecordBatch.from_arrays([pa.array([p.lang] * len(columns[0]), pa.string()), *columns], ["lang", "word", "code", "n"])
+                columns = [pa.concat_arrays([words, pa.nulls(1, pa.string())]), pa.array(np.append(n[at], n.sum()))]
+                yield pa.RecordBatch.from_arrays([pa.array([p.lang] * len(columns[0]), pa.string()), *columns], ["lang", "word", "n"])
 
-    found = docs.mapInArrow(lambda batches: summed(run(batches), "n"), "lang string, word string, code long, n long")
-    return found.groupBy("lang", "word").agg(F.first("code").alias("code"), F.sum("n").alias("n"))
+    found = docs.mapInArrow(lambda batches: summed(run(batches), "n"), "lang string, word string, n long")
+    return found.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def _explode(docs: DataFrame, known: list[Bits], sizes: range) -> DataFrame:
-    """(lang, phrase, size, code, n) of all phrases of these sizes that may be frequent, summed over the texts of a task by their very words."""
+    """(lang, phrase, n) of all phrases of these sizes that may be frequent, summed over the texts of a task by their very words."""
     shipped = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in coded_pieces(batches):
             own = p.ids
-            for size, at, made in phrases(p.codes, shipped.value, sizes[-1]):
+            for size, at, _ in phrases(p.codes, shipped.value, sizes[-1]):
                 if not len(at):
                     break
                 # the number of the phrase without its last word, and the last word: no hash decides what is equal
@@ -128,23 +126,45 @@ def _explode(docs: DataFrame, known: list[Bits], sizes: range) -> DataFrame:
                 if size in sizes:
                     words = [p.words.take(pa.array(p.ids[at[first] + j])) for j in range(size)]
                     phrase = pc.binary_join_element_wise(*words, pa.scalar(b" ", p.words.type)).cast(pa.large_string()).cast(pa.string())
-                    columns = [pa.array([p.lang] * len(n), pa.string()), phrase, pa.array(np.full(len(n), size, np.int32)), pa.array(made[first].view(np.int64)), pa.array(n)]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "code", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array([p.lang] * len(n), pa.string()), phrase, pa.array(n)], ["lang", "phrase", "n"])
 
-    found = docs.mapInArrow(lambda batches: summed(run(batches), "n"), "lang string, phrase string, size int, code long, n long")
-    return found.groupBy("lang", "phrase", "size", "code").agg(F.sum("n").alias("n"))
+    found = docs.mapInArrow(lambda batches: summed(run(batches), "n"), "lang string, phrase string, n long")
+    return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def phrase_codes(found: DataFrame) -> DataFrame:
+    """(code): the hashes that ``phrases`` gives these phrases, made of the few that are frequent so that none travels with all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = [p.encode("utf-8").split(b" ") for p in b.column("phrase").to_pylist()]
+            hashers = {lang: word_hasher(lang) for lang in set(b.column("lang").to_pylist())}
+            hashes = [list(map(hashers[lang], ws)) for lang, ws in zip(b.column("lang").to_pylist(), words)]
+            sizes = np.array([len(h) for h in hashes])
+            code = np.zeros(len(hashes), np.uint64)
+            for size in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == size)
+                table = np.array([hashes[i] for i in at], np.uint64)
+                own = table[:, 0]
+                for j in range(1, size):
+                    own = mix(own * np.uint64(BASE) + table[:, j])
+                code[at] = own if size > 1 else mix(own)
+            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64))], ["code"])
+
+    return found.select("lang", "phrase").mapInArrow(run, "code long")
 
 
 def count_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, most_words: int = MOST_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, size, code, n) of all phrases of 1 to ``most_words`` words with ``least`` occurrences, and (lang, total) of all words."""
+    """(lang, phrase, size, n) of all phrases of 1 to ``most_words`` words with ``least`` occurrences, and (lang, total) of all words."""
     named = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     words = materialize(_count_words(named).where((F.col("n") >= least) | F.col("word").isNull()), "words")
-    found = words.where(F.col("word").isNotNull()).select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "code", "n")
+    size = F.size(F.split("phrase", " ", -1)).alias("size")
+    found = words.where(F.col("word").isNotNull()).select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "n")
     known, last = [], found
     for sizes in (range(2, 3), range(3, 4), range(4, most_words + 1)):
         if sizes and sizes[0] <= most_words:
-            known.append(bits_of(last, "code"))
-            last = materialize(_explode(named, known, sizes).where(F.col("n") >= least), "phrases")
+            known.append(bits_of(phrase_codes(last), "code"))
+            last = materialize(_explode(named, known, sizes).where(F.col("n") >= least).select("lang", "phrase", size, "n"), "phrases")
             found = found.unionByName(last)
     return found, words.where(F.col("word").isNull()).select("lang", F.col("n").alias("total"))
 

@@ -88,10 +88,14 @@ def summed(batches: Iterator[pa.RecordBatch], count: str, most: int = HELD) -> I
         yield from merged().to_batches(max_chunksize=most // 8)
 
 
-def word_hashes(dictionary: pa.Array, seed: str = "") -> np.ndarray:
-    """64-bit hashes of the words, never 0, apart for each seed."""
+def word_hasher(seed: str = "") -> Callable[[bytes], int]:
+    """A 64-bit hash of a word, never 0, apart for each seed."""
     s = xxhash.xxh3_64_intdigest(seed.encode()) if seed else 0
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, s) or 1 for w in dictionary.to_pylist()), np.uint64, len(dictionary))
+    return lambda word: xxhash.xxh3_64_intdigest(word, s) or 1
+
+
+def word_hashes(dictionary: pa.Array, seed: str = "") -> np.ndarray:
+    return np.fromiter(map(word_hasher(seed), dictionary.to_pylist()), np.uint64, len(dictionary))
 
 
 def rolling(codes: np.ndarray, n: int) -> np.ndarray:
