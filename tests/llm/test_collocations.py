@@ -74,3 +74,38 @@ def test_scores_beyond_64_bits(spark):
 
 def test_empty(spark):
     assert got(collocations.collocations(spark.createDataFrame([], SCHEMA))) == []
+
+
+def test_sums_over_batches_in_bounded_memory():
+    import pyarrow as pa
+
+    from voxloom.llm import words
+
+    rng = random.Random(4)
+    rows = [(rng.choice("ab"), f"p{rng.randrange(rng.choice([5, 500]))}", rng.randrange(9)) for _ in range(4000)]
+    want = Counter()
+    for lang, p, n in rows:
+        want[lang, p] += n
+    for most in (8, 64, 100_000):
+        batches = [pa.RecordBatch.from_arrays(list(map(pa.array, zip(*rows[a : a + 37]))), ["lang", "phrase", "n"]) for a in range(0, len(rows), 37)]
+        got, biggest = Counter(), 0
+        for b in words.summed(iter(batches), "n", most):
+            assert b.schema.names == ["lang", "phrase", "n"]
+            biggest = max(biggest, b.num_rows)
+            for r in b.to_pylist():
+                got[r["lang"], r["phrase"]] += r["n"]
+        assert got == want and biggest <= max(most // 8, 1)
+    assert list(words.summed(iter([]), "n")) == []
+
+
+def test_words_in_slices_are_the_words_of_the_whole(monkeypatch):
+    from voxloom.llm import words
+
+    rng = random.Random(5)
+    raws = ["".join(rng.choice("ab  \n\té") for _ in range(n)).encode() for n in (0, 1, 300, 5000)]
+    whole = words.coded(raws)
+    for size in (3, 50):
+        monkeypatch.setattr(words, "SLICE", size)
+        d, ids, sizes = words.coded(raws)
+        assert [d[i].as_py() for i in ids.tolist()] == [w for r in raws for w in r.split()] == [whole[0][i].as_py() for i in whole[1].tolist()]
+        assert sizes.tolist() == [len(r.split()) for r in raws] == whole[2].tolist()
