@@ -275,6 +275,14 @@ def test_rounding_is_pythons(spark):
     assert spark.range(1).select(python_round(F.lit(None).cast("double"), 3).alias("r")).first().r is None
 
 
+def test_clip_lines_round_as_python(spark):
+    from voxloom.sources.writers import clip_line
+
+    values = [0.825, 0.855, 0.125, 0.375, 0.615, 0.1, 0.0, 1.0, None]
+    df = spark.createDataFrame([(f"p{i}", "accept", v, "t") for i, v in enumerate(values)], "audio_path string, tier string, confidence double, text string")
+    assert [r.v for r in df.select(clip_line().alias("v")).collect()] == [f"p{i}\taccept({v or 0:.2f})\tt" for i, v in enumerate(values)]
+
+
 def test_the_seeded_split_shuffles_places_not_ids(spark):
     import random
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.audio import encode_wav
+from ..functions.numbers import python_round
 
 
 def write_jsonl(df: DataFrame, path: str) -> int:
@@ -28,8 +29,11 @@ def skipped_line(path: str = "wav_path", reason: str | None = None) -> Column:
 
 
 def clip_line() -> Column:
-    """A clip's path, tier with confidence, and text, parted by tabs."""
-    label = F.format_string("%s(%.2f)", F.coalesce("tier", F.lit("?")), F.coalesce("confidence", F.lit(0.0)))
+    """A clip's path, tier with confidence, and text, parted by tabs.
+
+    The confidence is rounded from its exact binary value first, as format_string rounds what it would print in full.
+    """
+    label = F.format_string("%s(%.2f)", F.coalesce("tier", F.lit("?")), python_round(F.coalesce("confidence", F.lit(0.0)), 2))
     return F.concat_ws("\t", F.col("audio_path"), label, F.col("text"))
 
 
