@@ -74,8 +74,7 @@ def align(texts: DataFrame, corpus: turn_path.Corpus, cfg: Settings, plugins: Pl
 
 
 def build_chunks(aligned: DataFrame, cfg: Settings) -> DataFrame:
-    words = aligned.where("error is null").select("call_id", "speaker", F.posexplode("words").alias("word_idx", "w")).select("call_id", "speaker", "word_idx", "w.*")
-    chunks = turns.word_chunks(turns.pack_words(words, cfg)).join(aligned.select("call_id", "speaker", "channel"), ["call_id", "speaker"])
+    chunks = turns.chunk_words(aligned.where("error is null"), cfg, ["call_id", "speaker", "channel"])
     # chunks are numbered per speaker for file names, per call for rendering
     place = F.row_number().over(turns.Window.partitionBy("call_id").orderBy("speaker", "chunk_idx")) - 1
     empty = {"segment_indices": F.array().cast("array<int>"), "has_overlap": F.lit(False), "overlap_fraction": F.lit(0.0)}

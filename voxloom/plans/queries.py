@@ -95,15 +95,9 @@ def q09_split_group(spark, sf_dir):
     return out.select(*KEYS, "group_idx", "piece_idx", "start", "end", _ids("segment_indices").alias("seg_ids"), "has_overlap")
 
 
-def _words(spark, sf_dir):
+def _spoken(spark, sf_dir):
     words = F.filter(F.split("text", r"[ \t\n\r]+"), lambda w: w != "")
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("call_id"), F.lit("reader").alias("speaker"), F.posexplode(words).alias("word_idx", "text"))
-    w = Window.partitionBy("call_id").orderBy("word_idx").rowsBetween(Window.unboundedPreceding, 0)
-    length = 60 * F.length("text")
-    rows = rows.withColumn("upto", F.sum(length + (F.col("word_idx") * 37) % 11 * 80).over(w))
-    return rows.select(
-        *KEYS, "word_idx", "text", (F.col("upto") - length).cast("double").alias("start"), F.col("upto").cast("double").alias("end"), ((F.col("word_idx") * 7) % 10 / 10.0).cast("double").alias("score")
-    )
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("call_id"), F.lit("reader").alias("speaker"), views.read_aloud(words).alias("words"))
 
 
 PACK = Settings(chunk=views.Chunking(max_s=28_000.0, target_mean_s=12_000.0, pause_cut_s=400.0))
@@ -111,7 +105,7 @@ PACK = Settings(chunk=views.Chunking(max_s=28_000.0, target_mean_s=12_000.0, pau
 
 @query
 def q10_chunk_words(spark, sf_dir):
-    return turns.word_chunks(turns.pack_words(_words(spark, sf_dir), PACK)).select(*KEYS, "chunk_idx", "start", "end", "n_words", F.md5("text").alias("text_md5"), F.round("confidence", 6).alias("confidence"))
+    return turns.chunk_words(_spoken(spark, sf_dir), PACK).select(*KEYS, "chunk_idx", "start", "end", "n_words", F.md5("text").alias("text_md5"), F.round("confidence", 6).alias("confidence"))
 
 
 def _talk_chunks(spark, sf_dir):
@@ -422,7 +416,7 @@ def q44_ref_text(spark, sf_dir):
 
 @query
 def q45_edge_words(spark, sf_dir):
-    w = _words(spark, sf_dir).groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("word_idx", "score"))).alias("words"))
+    w = _spoken(spark, sf_dir).where(F.size("words") > 0)
     kept = turns.trim_edge_words(F.col("words"), 0.65)
     return w.withColumn("kept", kept).select("call_id", F.size("kept").cast("long").alias("n_kept"), F.array_min(F.transform("kept", lambda x: x["word_idx"])).alias("first_idx"), F.array_max(F.transform("kept", lambda x: x["word_idx"])).alias("last_idx"))
 

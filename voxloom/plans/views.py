@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..settings import Chunking, Gates, Settings
 
@@ -66,6 +70,23 @@ def event_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("call_id", "speaker", (F.row_number().over(w) - 1).alias("r_idx"), (F.col("start") + late).alias("s"), (F.col("end") + HOUR / 2).alias("e"))
 
 
+_TOLD = T.StructType().add("word_idx", "integer").add("text", "string").add("start", "double").add("end", "double").add("score", "double")
+
+
+@F.arrow_udf(T.ArrayType(_TOLD))
+def read_aloud(words: pa.Array) -> pa.Array:
+    """Words with times and scores: 60 ms a character, pauses and scores by place."""
+    text, n = words.flatten(), pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    bounds = np.append(0, np.cumsum(n))
+    place = np.arange(len(text)) - np.repeat(bounds[:-1], n)
+    length = 60 * pc.utf8_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto = np.append(0, np.cumsum(length + place * 37 % 11 * 80))
+    upto = upto[1:] - np.repeat(upto[bounds[:-1]], n)
+    fields = {"word_idx": place.astype(np.int32), "text": text, "start": (upto - length).astype(float), "end": upto.astype(float), "score": place * 7 % 10 / 10.0}
+    told = pa.StructArray.from_arrays([pa.array(v) for v in fields.values()], list(fields))
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), told, mask=words.is_null())
+
+
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as 16-bit signals."""
     pcm = F.transform("embedding", lambda x: F.round(x.cast("double") * 32767).cast("long"))
