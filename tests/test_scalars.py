@@ -4,6 +4,7 @@ import random
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -295,3 +296,34 @@ def test_the_seeded_split_shuffles_places_not_ids(spark):
     want = shuffled[: max(1, int(len(ids) * CFG.split.test_fraction))]
     assert sorted(r[0] for r in manifest.test_calls_by_shuffle(chunks, CFG).collect()) == sorted(want)
     assert manifest.test_calls_by_shuffle(chunks.limit(0), CFG).collect() == []
+
+
+def test_texts_matched_together_equal_each_alone(spark, monkeypatch):
+    import random
+    from difflib import SequenceMatcher
+
+    from voxloom.functions import text
+
+    rng, calls = random.Random(4), []
+    monkeypatch.setattr(text, "ROWS", 60)
+    monkeypatch.setattr(text, "WORDS", 300)
+    kernel = text._matched_texts
+    monkeypatch.setattr(text, "_matched_texts", lambda *a: calls.append(len(a[1]) - 1) or kernel(*a))
+    refs, hyps = [], []
+    for k in range(300):
+        v = rng.choice([1, 2, 5, 40])
+        a = [f"w{rng.randrange(v)}" for _ in range(rng.randrange(40))]
+        b = [w for w in a if rng.random() < 0.8] if k % 2 else [f"w{rng.randrange(v)}" for _ in range(rng.randrange(40))]
+        refs.append(" ".join(a))
+        hyps.append(None if k % 7 == 0 else " ".join(b))
+    got = text._matched.func(pa.array(refs), pa.array(hyps)).to_pylist()
+    for r, h, g in zip(refs, hyps, got):
+        a, there = r.split(), set()
+        if h is None:
+            assert g == {"score": None, "missed": []}
+            continue
+        for m in SequenceMatcher(None, a, h.split(), autojunk=False).get_matching_blocks():
+            there |= set(range(m.a, m.a + m.size))
+        assert g == {"score": len(there) / len(a) if a else None, "missed": [w for i, w in enumerate(a) if i not in there]}
+    assert 5 < len(calls) < 150  # many texts a call
+    assert text._matched.func(pa.array([], pa.string()), pa.array([], pa.string())).to_pylist() == []
