@@ -80,3 +80,11 @@ def test_pair_sums_in_parts(monkeypatch):
 
 def test_empty(spark):
     assert got(divergence.audit(spark.createDataFrame([], SCHEMA))) == []
+
+
+def test_texts_are_cut_into_terms_once(spark, monkeypatch):
+    have = spark.createDataFrame(rows(), SCHEMA)
+    scans, frame = [], type(have)
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, f=frame.mapInArrow, **b: scans.append(self.columns) or f(self, *a, **b))
+    divergence.audit(have, least_docs=5)
+    assert scans == [["lang", "source", "text"]]

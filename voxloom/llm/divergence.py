@@ -1,8 +1,7 @@
 """Source divergence audit: how the word use of sources within a language differs.
 
-1. One scan counts in how many documents of a language each term stands; terms in ``least_docs`` or more are
-   kept.  A set of bits of bounded size (``bits``) lets the second scan count little else than kept terms by
-   source; a join with the kept terms then leaves exactly these.
+1. One scan counts documents and occurrences of every term by language and source, summed within tasks before they
+   move.  Terms in ``least_docs`` or more documents of the language are kept; a join leaves their counts.
 2. Kept terms are dealt by hash into blocks, sources into groups.  A tile is the dense int64 matrix of a
    language's sources by the terms of one block, filled with what a term that doesn't occur is worth.
 3. Each tile compares all pairs of its sources by broadcasting and gives a matrix of partial sums, and for
@@ -28,9 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bits import Bits, bits_of
 from .common import discard, materialize
-from .words import coded, groups, word_hashes
+from .words import coded, groups
 
 LEAST_DOCS = 30
 SCALE = 1_000_000_000
@@ -52,30 +50,8 @@ def _terms(b: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, ids, np.repeat(np.arange(len(raws)), sizes)
 
 
-def _frequency(docs: DataFrame) -> DataFrame:
-    """(lang, term, docs, code): documents that hold the term, summed over groups of documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in groups(batches):
-            words, ids, rows = _terms(b)
-            size = max(len(words), 1)
-            langs = b.column("lang").dictionary_encode()
-            own = np.unique(rows * size + ids)
-            key, n = np.unique(langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[own // size] * size + own % size, return_counts=True)
-            of, place = key // size, key % size
-            code = np.zeros(len(key), np.uint64)
-            for i, lang in enumerate(langs.dictionary.to_pylist()):
-                code[of == i] = word_hashes(words.take(pa.array(place[of == i])), lang)
-            columns = [langs.dictionary.take(pa.array(of)), words.take(pa.array(place)).cast(pa.large_string()).cast(pa.string()), pa.array(n), pa.array(code.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "docs", "code"])
-
-    found = docs.select("lang", "text").mapInArrow(run, "lang string, term string, docs long, code long")
-    return found.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.first("code").alias("code"))
-
-
-def _counts(docs: DataFrame, kept: Bits) -> DataFrame:
-    """(lang, source, term, count) of terms that are kept, and of few others."""
-    shipped = docs.sparkSession.sparkContext.broadcast(kept)
+def _counts(docs: DataFrame) -> DataFrame:
+    """(lang, source, term, docs, count): documents that hold the term and its occurrences, summed over groups of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in groups(batches):
@@ -83,23 +59,22 @@ def _counts(docs: DataFrame, kept: Bits) -> DataFrame:
             size = max(len(words), 1)
             langs, sources = b.column("lang").dictionary_encode(), b.column("source").dictionary_encode()
             lang, source = (x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (langs, sources))
-            wanted = np.zeros((len(langs.dictionary), size), bool)
-            for i, name in enumerate(langs.dictionary.to_pylist()):
-                wanted[i, : len(words)] = shipped.value.has(word_hashes(words, name))
-            keep = wanted[lang[rows], ids]
-            rows, ids = rows[keep], ids[keep]
-            key, n = np.unique((lang * len(sources.dictionary) + source)[rows] * size + ids, return_counts=True)
+            n_sources = max(len(sources.dictionary), 1)
+            # occurrences by row, then by group of rows
+            own, n = np.unique(rows * size + ids, return_counts=True)
+            key, at = np.unique((lang * n_sources + source)[own // size] * size + own % size, return_inverse=True)
             of, place = key // size, key % size
             columns = [
-                langs.dictionary.take(pa.array(of // max(len(sources.dictionary), 1))),
-                sources.dictionary.take(pa.array(of % max(len(sources.dictionary), 1))),
+                langs.dictionary.take(pa.array(of // n_sources)),
+                sources.dictionary.take(pa.array(of % n_sources)),
                 words.take(pa.array(place)).cast(pa.large_string()).cast(pa.string()),
-                pa.array(n),
+                pa.array(np.bincount(at, minlength=len(key))),
+                pa.array(np.bincount(at, n, len(key)).astype(np.int64)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "count"])
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "docs", "count"])
 
-    found = docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, count long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"))
+    found = docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, docs long, count long")
+    return found.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("count"))
 
 
 def _share(count: Column, total: Column, n_terms: Column, scale: int) -> Column:
@@ -163,9 +138,11 @@ def audit(
     part ``term`` lists the terms that it uses most above the language's share."""
     blank = F.lit("")
     named = docs.select(*(F.coalesce(F.col(c).cast("string"), blank).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))))
-    kept = materialize(_frequency(named).where(F.col("docs") >= least_docs).select("lang", "term", "code"), "terms")
-    counted = _counts(named, bits_of(kept, "code"))
-    cells = materialize(counted.join(kept.select("lang", "term"), ["lang", "term"]), "cells")
+    counted = materialize(_counts(named), "counted")
+    kept = materialize(counted.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("all")).where(F.col("docs") >= least_docs).drop("docs"), "terms")
+    # a term comes with its count in the language
+    cells = materialize(counted.drop("docs").join(kept, ["lang", "term"]), "cells")
+    discard(counted)
 
     n_terms = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     n_tokens = cells.groupBy("lang", "source").agg(F.sum("count").alias("n"))
@@ -182,8 +159,7 @@ def audit(
     block = F.pmod(F.xxhash64("term"), F.lit(n_blocks)).cast("int").alias("block")
     in_block = kept.groupBy("lang", block).agg(F.count(F.lit(1)).alias("n_terms"))
     heads = heads.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(in_block, ["lang", "block"], "left").fillna(0, ["n_terms"])
-    in_lang = cells.groupBy("lang", "term").agg(F.sum("count").alias("all"))
-    full = cells.join(in_lang, ["lang", "term"]).join(sizes, ["lang", "source"])
+    full = cells.join(sizes, ["lang", "source"])
     shares = full.select(
         "lang",
         "source",
